@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from roadstate.operators.series import (
+    HALO,
+    SEGMENT,
     SeriesLayout,
     layout_for,
     running_last,
@@ -80,13 +82,19 @@ def with_lags(
 
 
 def _window_columns(
-    df: DataFrame, cols: Mapping[str, str], size: int, window, time_text: str, full_only: bool
+    df: DataFrame,
+    cols: Mapping[str, str],
+    size: int,
+    window,
+    time_text: str,
+    full_only: bool,
+    emitted: Mapping[str, str],
 ) -> DataFrame:
     """The last ``size`` arrivals of each row as one emitted record.
 
     The emitted record is the one with the greatest text time (an absent time
     sorts first, the later arrival wins a tie), joined by the means of the
-    window.
+    window. ``emitted`` renames columns of the arriving row that goes with it.
     """
     frame = window.rowsBetween(1 - size, 0)
     record = F.struct(*[F.col(c) for c in df.columns])
@@ -112,16 +120,18 @@ def _window_columns(
     if full_only:
         staged = staged.where(F.col("_filled") == size)
     # Which row triggered the output, whatever record is emitted.
-    trigger = [c for c in ("_segment", "_halo") if c in df.columns]
+    trigger = [c for c in (SEGMENT, HALO) if c in df.columns]
     picked = staged.select(
         base.alias("_base"),
         *[F.col(c).alias(f"_own{c}") for c in trigger],
+        *[F.col(c).alias(name) for c, name in emitted.items()],
         *[F.col(f"_mean_{c}").alias(name) for c, name in cols.items()],
     )
-    kept = [c for c in df.columns if c not in trigger and c not in cols.values()]
+    added = [*cols.values(), *emitted.values()]
+    kept = [c for c in df.columns if c not in trigger and c not in added]
     return picked.select(
         *[F.col(f"_base.{c}").alias(c) for c in kept],
-        *cols.values(),
+        *added,
         *[F.col(f"_own{c}").alias(c) for c in trigger],
     )
 
@@ -134,14 +144,21 @@ def count_window(
     order: Sequence[str] = ("seq",),
     time_text: str = "timestamp",
     full_only: bool = True,
+    emit_order: str | None = None,
     layout: SeriesLayout | None = None,
 ) -> DataFrame:
     """Sliding count window with slide 1; with ``full_only`` the first
-    ``size - 1`` arrivals of a series emit nothing."""
+    ``size - 1`` arrivals of a series emit nothing.
+
+    A record can be emitted again by later arrivals, so its own order column is
+    not the order of emission; ``emit_order`` names a column for that (the first
+    order column of the arriving row).
+    """
     layout = layout_for(df, keys, order, layout)
     rows = layout.with_halo(df, size - 1)
+    emitted = {order[0]: emit_order} if emit_order else {}
     return layout.without_halo(
-        _window_columns(rows, cols, size, layout.window(), time_text, full_only)
+        _window_columns(rows, cols, size, layout.window(), time_text, full_only, emitted)
     )
 
 
@@ -155,6 +172,7 @@ def enrich_series(
     order: Sequence[str] = ("seq",),
     time_text: str = "timestamp",
     full_only: bool = True,
+    emit_order: str | None = None,
     layout: SeriesLayout | None = None,
 ) -> DataFrame:
     """``with_lags`` then ``count_window`` on one shuffle and one sort.
@@ -165,8 +183,9 @@ def enrich_series(
     layout = layout_for(df, keys, order, layout)
     rows = layout.with_halo(df, n + size - 1)
     lagged = rows.withColumns(_lag_columns(lags, n, layout.window()))
+    emitted = {order[0]: emit_order} if emit_order else {}
     return layout.without_halo(
-        _window_columns(lagged, rolling, size, layout.window(), time_text, full_only)
+        _window_columns(lagged, rolling, size, layout.window(), time_text, full_only, emitted)
     )
 
 

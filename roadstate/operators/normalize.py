@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from roadstate.functions.scalars import (
@@ -62,12 +64,14 @@ def normalize_alerts(
     default_message: str = DEFAULT_MESSAGE,
     source_topic: str | None = None,
     value: str = "value",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Alert messages of one feed as rows of the common alert table."""
     text = F.col(value).cast("string")
-    docs = raw.select(text.alias("raw_message"), json_doc(text).alias("_doc"))
+    docs = raw.select(*keep, text.alias("raw_message"), json_doc(text).alias("_doc"))
     doc = F.col("_doc")
     return docs.select(
+        *keep,
         best_effort_time(
             json_text(doc, "$.alert_time"), json_text(doc, "$.timestamp"), json_text(doc, "$.event_time")
         ).alias("alert_time"),

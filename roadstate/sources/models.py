@@ -7,7 +7,6 @@ publication; the newest row of an alias is current).
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -74,7 +73,7 @@ def load_model(spark: SparkSession, root: str, alias: str = ALIAS) -> StateModel
         # k rows each.
         transitions = spark.read.parquet(f"{path}/transitions").collect()
         profiles = spark.read.parquet(f"{path}/profiles").collect()
-    except (AnalysisException, Exception) as error:  # an unreadable version counts as absent
+    except Exception as error:  # an unreadable version counts as absent
         print(f"model {path} is not available: {error}")
         return None
     return StateModel(
