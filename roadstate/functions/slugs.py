@@ -45,21 +45,25 @@ def slug(col: Column | str, sep: str = "_", empty: str | None = "unknown", form:
     """
     text = F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
     if empty is not None:
-        text = F.when(text == "", F.lit("unknown")).otherwise(text)
+        text = F.regexp_replace(text, "^$", "unknown")
     single, multiple = _foldings(form)
     folded = F.translate(text, "".join(single), "".join(single.values()))
     if multiple:
-        table = F.create_map(*[F.lit(x) for pair in multiple.items() for x in pair])
+        pairs = "\x01".join(f"{char}\x02{parts}" for char, parts in multiple.items())
+        table = F.str_to_map(F.lit(pairs), F.lit("\x01"), F.lit("\x02"))
         spelled = F.array_join(
             F.transform(F.split(folded, ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), ""
         )
-        rare = "[" + "".join(re.escape(c) for c in multiple) + "]"
-        folded = F.when(folded.rlike(rare), spelled).otherwise(folded)
+        # One hash lookup per character; a regular expression would try every member.
+        rare = F.translate(text, "".join(multiple), "") != text
+        folded = F.when(rare, spelled).otherwise(folded)
     folded = F.regexp_replace(folded, r"[^\x00-\x7F]" if form == "NFKD" else r"\p{Mn}", "")
+    folded = F.when(text.rlike(r"^[\x00-\x7F]*$"), text).otherwise(folded)
     # ASCII case mapping only; other letters are separators anyway.
     body = F.regexp_replace(F.lower(folded), "[^a-z0-9]+", sep)
-    body = F.regexp_replace(body, f"^{re.escape(sep)}+|{re.escape(sep)}+$", "")
-    return body if empty is None else F.when(body == "", F.lit(empty)).otherwise(body)
+    edge = re.escape(sep)
+    body = F.regexp_replace(body, f"^{edge}+|{edge}+$", "")
+    return body if empty is None else F.regexp_replace(body, "^$", empty)
 
 
 def dash_slug(col: Column | str) -> Column:

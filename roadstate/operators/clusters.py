@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.ml.clustering import KMeans
+from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -21,6 +22,9 @@ CLUSTERS, SEED, RESTARTS, HORIZON_MINUTES, MIN_TRAINING_ROWS = 3, 42, 10, 30, 50
 STATUS_NAMES = ("clear", "moderate", "congested")
 
 
+PARALLEL_FITS = 10
+
+
 @dataclass(frozen=True)
 class Scaling:
     """Per-feature fill value, mean and scale (a handful of numbers each)."""
@@ -187,6 +191,19 @@ class StateModel:
         )
 
 
+def _best_of(points: DataFrame, k: int, seeds: Sequence[int]) -> KMeansModel:
+    """The fit with the lowest training cost.
+
+    The fits share the cached points and run side by side, since each is a chain
+    of short jobs that alone would leave most of a cluster idle.
+    """
+    estimator = KMeans(k=k, featuresCol="features")
+    fits = estimator.fitMultiple(points, [{estimator.seed: s} for s in seeds])
+    with ThreadPool(min(PARALLEL_FITS, len(seeds))) as pool:
+        models = dict(pool.map(lambda _: next(fits), seeds))
+    return min((models[i] for i in range(len(seeds))), key=lambda m: m.summary.trainingCost)
+
+
 def fit_states(
     training: DataFrame,
     features: Sequence[str] = tuple(MODEL_FEATURES),
@@ -208,8 +225,7 @@ def fit_states(
     points = VectorAssembler(inputCols=list(z), outputCol="features").transform(columns)
     points = points.select("features").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        fits = [KMeans(k=k, seed=seed + i, featuresCol="features").fit(points) for i in range(restarts)]
-        best = min(fits, key=lambda m: m.summary.trainingCost)
+        best = _best_of(points, k, [seed + i for i in range(restarts)])
         metrics = {"inertia": float(best.summary.trainingCost)}
         assigned = best.transform(points)
         sizes = [n for n in best.summary.clusterSizes if n]

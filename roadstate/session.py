@@ -22,10 +22,12 @@ SETTINGS = {
 ROCKSDB = SETTINGS["spark.sql.streaming.stateStore.providerClass"]
 
 
-def local_session(cpus: int | str = 8, memory: str = "8g", app: str = "roadstate") -> SparkSession:
+def local_session(
+    cpus: int | str = 8, memory: str = "8g", app: str = "roadstate", extra: dict[str, str] | None = None
+) -> SparkSession:
     """A local session for tests and the bench."""
     builder = SparkSession.builder.master(f"local[{cpus}]").appName(app)
-    for key, value in SETTINGS.items():
+    for key, value in (SETTINGS | (extra or {})).items():
         builder = builder.config(key, value)
     spark = (
         builder.config("spark.driver.memory", memory)
@@ -44,24 +46,16 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local master may fall back to a temporary folder, because there the
     driver and the executors are one process.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="roadstate-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="roadstate-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def reliable_checkpoint(df):
-    """``DataFrame.checkpoint`` into the shared folder (survives lost executors)."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
