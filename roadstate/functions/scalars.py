@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 from roadstate.functions.slugs import slug
 from roadstate.schemas import ROUTE_KEYS
@@ -51,9 +51,20 @@ def best_effort_time(*texts: Column) -> Column:
     return to_second(F.coalesce(*[parse_time(t) for t in texts], now_ntz()))
 
 
+_MINUTE, _SECOND = T.DayTimeIntervalType(2, 2), T.DayTimeIntervalType(3, 3)
+
+
 def minutes_between(start: Column | str, end: Column | str) -> Column:
-    """Whole minutes from ``start`` to ``end``, truncated toward zero."""
-    return F.timestamp_diff("MINUTE", _col(start), _col(end))
+    """Whole minutes from ``start`` to ``end``, truncated toward zero.
+
+    Interval arithmetic on zone-free times: no session zone takes part.
+    """
+    return (_col(end) - _col(start)).cast(_MINUTE).cast("bigint")
+
+
+def seconds_between(start: Column | str, end: Column | str) -> Column:
+    """Seconds from ``start`` to ``end``, with their fraction."""
+    return (_col(end) - _col(start)).cast(_SECOND).cast("decimal(24,6)")
 
 
 # -- rules --------------------------------------------------------------------

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from roadstate.functions.scalars import now_ntz, online_key
+from roadstate.functions.scalars import now_ntz, online_key, seconds_between
 from roadstate.operators.projections import slot_range, valid_events
 from roadstate.schemas import LONGTERM_FEATURES, ROUTE_KEYS
 
@@ -215,7 +215,7 @@ def online_snapshot(
         F.col("source_cutoff").alias("_source"),
     )
     of_key = Window.partitionBy("feature_key")
-    gap = F.timestamp_diff("SECOND", F.lag("_at").over(of_key.orderBy("_at")), F.col("_at"))
+    gap = seconds_between(F.lag("_at").over(of_key.orderBy("_at")), "_at")
     marked = writes.withColumn("_born", F.when(gap >= ttl_seconds, F.col("_at")))
     # Everything before the last lapse of the key is gone.
     alive = marked.withColumn("_birth", F.max("_born").over(of_key)).where(
@@ -225,11 +225,12 @@ def online_snapshot(
         alive = alive.withColumn("_last", F.max("_at").over(of_key)).where("_at = _last")
 
     def newest(c: str) -> Column:
-        return F.max_by(c, F.when(F.col(c).isNotNull(), F.col("_turn")))
+        pair = F.struct("_turn", F.col(c).alias("_value"))
+        return F.max(F.when(F.col(c).isNotNull(), pair))["_value"]
 
     state = alive.groupBy("feature_key").agg(
         *[newest(c).alias(c) for c in fields],
-        F.max_by("_source", "_turn").alias("source_cutoff"),
+        newest("_source").alias("source_cutoff"),
         F.max("_at").alias("written_at"),
     )
     if as_of is None:
@@ -237,5 +238,5 @@ def online_snapshot(
         state = state.crossJoin(F.broadcast(latest))  # exactly one row
     else:
         state = state.withColumn("_as_of", F.lit(as_of).cast("timestamp_ntz"))
-    fresh = F.timestamp_diff("SECOND", F.col("written_at"), F.col("_as_of")) < ttl_seconds
+    fresh = seconds_between("written_at", "_as_of") < ttl_seconds
     return state.where(fresh).drop("_as_of")

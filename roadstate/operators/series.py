@@ -29,6 +29,7 @@ from math import ceil
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from roadstate.functions.scalars import seconds_between
 from roadstate.schemas import ROUTE_KEYS
 
 MAX_ROWS = 5_000_000
@@ -46,8 +47,8 @@ def ordinal(df: DataFrame, name: str) -> Column:
     """The order column as a double, for placing cuts only."""
     dtype = df.schema[name].dataType
     if isinstance(dtype, T.TimestampNTZType):
-        micros = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{name}`)")
-        return micros.cast("double")
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        return seconds_between(epoch, name).cast("double")
     if isinstance(dtype, T.TimestampType):
         return F.unix_micros(F.col(name)).cast("double")
     if isinstance(dtype, T.DateType):
@@ -235,8 +236,8 @@ def running_last(
     local = F.last(value, ignorenulls=True).over(so_far)
     if not layout.split:
         return rows.withColumn(value, local)
-    # max_by skips rows whose ordering is null.
-    newest = F.max_by(value, F.when(F.col(value).isNotNull(), F.struct(*layout.order)))
+    pair = F.struct(*layout.order, F.col(value).alias("_value"))
+    newest = F.max(F.when(F.col(value).isNotNull(), pair))["_value"]
     summary = layout.segments(rows, newest.alias("_newest"))
     carry = summary.select(
         *layout.group,
