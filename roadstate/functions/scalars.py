@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, functions as F, types as T
 
 from roadstate.functions.slugs import slug
@@ -122,44 +124,39 @@ def online_key(
 
 
 # -- JSON ---------------------------------------------------------------------
-# The document is parsed once into a VARIANT; the extractors then honour the
-# JSON type, as the typed JSON readers of analytic stores do: a number is not a
-# string, a quoted number is not a number, and 2.0 is not an integer.
-
-
-def json_doc(raw: Column | str) -> Column:
-    return F.try_parse_json(_col(raw))
+# The document is parsed once into the wanted fields, each kept as a VARIANT. The
+# extractors then honour the JSON type, as the typed JSON readers of analytic
+# stores do: a number is not a string, a quoted number is not a number, and 2.0
+# is not an integer.
 
 
-def _json_type(doc: Column, path: str) -> Column:
-    return F.schema_of_variant(F.try_variant_get(doc, path, "variant"))
+def json_doc(raw: Column | str, *names: str, **nested: Sequence[str]) -> Column:
+    """Struct of the named fields; ``nested`` lists the fields of inner objects."""
+    fields = [T.StructField(n, T.VariantType()) for n in names]
+    for name, inner in nested.items():
+        fields.append(T.StructField(name, T.StructType([T.StructField(n, T.VariantType()) for n in inner])))
+    return F.from_json(_col(raw), T.StructType(fields))
 
 
-def json_text(doc: Column, path: str) -> Column:
+def json_text(value: Column) -> Column:
     """A non-blank JSON string, else null."""
-    value = F.try_variant_get(doc, path, "string")
-    return F.when(_json_type(doc, path) == "STRING", F.nullif(value, F.lit("")))
+    return F.when(F.schema_of_variant(value) == "STRING", F.nullif(value.cast("string"), F.lit("")))
 
 
-def first_json(doc: Column, *paths: str, default: str | None = None) -> Column:
-    """First non-blank string among ``paths``, else ``default``."""
-    return F.coalesce(*[json_text(doc, p) for p in paths], F.lit(default))
+def first_json(*values: Column, default: str | None = None) -> Column:
+    """First non-blank string among ``values``, else ``default``."""
+    return F.coalesce(*[json_text(v) for v in values], F.lit(default))
 
 
-def json_double(doc: Column, path: str) -> Column:
-    numeric = _json_type(doc, path).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
-    return F.when(numeric, F.try_variant_get(doc, path, "double"))
+def json_double(value: Column) -> Column:
+    numeric = F.schema_of_variant(value).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
+    return F.when(numeric, value.cast("double"))
 
 
-def json_long(doc: Column, path: str, default: int | None = None) -> Column:
-    whole = _json_type(doc, path) == "BIGINT"
-    return F.coalesce(
-        F.when(whole, F.try_variant_get(doc, path, "bigint")), F.lit(default).cast("bigint")
-    )
+def json_long(value: Column, default: int | None = None) -> Column:
+    whole = F.when(F.schema_of_variant(value) == "BIGINT", value.cast("bigint"))
+    return whole if default is None else F.coalesce(whole, F.lit(default).cast("bigint"))
 
 
-def json_int(doc: Column, path: str, default: int | None = None) -> Column:
-    whole = _json_type(doc, path) == "BIGINT"
-    return F.coalesce(
-        F.when(whole, F.try_variant_get(doc, path, "int")), F.lit(default).cast("int")
-    )
+def json_int(value: Column, default: int | None = None) -> Column:
+    return json_long(value, default).try_cast("int")

@@ -8,7 +8,6 @@ are looked up only in rows that contain one.
 
 from __future__ import annotations
 
-import re
 import sys
 import unicodedata
 from functools import cache
@@ -45,7 +44,7 @@ def slug(col: Column | str, sep: str = "_", empty: str | None = "unknown", form:
     """
     text = F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
     if empty is not None:
-        text = F.regexp_replace(text, "^$", "unknown")
+        text = F.when(text == "", F.lit("unknown")).otherwise(text)
     single, multiple = _foldings(form)
     folded = F.translate(text, "".join(single), "".join(single.values()))
     if multiple:
@@ -58,11 +57,11 @@ def slug(col: Column | str, sep: str = "_", empty: str | None = "unknown", form:
         rare = F.translate(text, "".join(multiple), "") != text
         folded = F.when(rare, spelled).otherwise(folded)
     folded = F.regexp_replace(folded, r"[^\x00-\x7F]" if form == "NFKD" else r"\p{Mn}", "")
-    folded = F.when(text.rlike(r"^[\x00-\x7F]*$"), text).otherwise(folded)
+    # As many bytes as characters: plain ASCII, nothing to fold.
+    folded = F.when(F.octet_length(text) == F.char_length(text), text).otherwise(folded)
     # ASCII case mapping only; other letters are separators anyway.
     body = F.regexp_replace(F.lower(folded), "[^a-z0-9]+", sep)
-    edge = re.escape(sep)
-    body = F.regexp_replace(body, f"^{edge}+|{edge}+$", "")
+    body = F.btrim(body, F.lit(sep))
     return body if empty is None else F.regexp_replace(body, "^$", empty)
 
 

@@ -60,13 +60,19 @@ def joinable_count(
     Counted, never produced: each event adds the running number of features of
     its key. Copies at one time are counted before the shuffle.
     """
-    def counted(df: DataFrame, ts: str, side: int, name: str) -> DataFrame:
-        rows = df.na.drop(subset=[ts, *keys])
-        return rows.groupBy(
-            *[F.col(k).cast("int").alias(k) if k in ("hour", "day_of_week") else F.col(k) for k in keys],
+    def keyed(df: DataFrame, ts: str) -> DataFrame:
+        whole = ("hour", "day_of_week")
+        return df.na.drop(subset=[ts, *keys]).select(
+            *[F.col(k).cast("int").alias(k) if k in whole else F.col(k) for k in keys],
             F.col(ts).alias("_time"),
-        ).agg(F.count(F.lit(1)).alias(name)).withColumn("_side", F.lit(side))
+        )
+
+    def counted(df: DataFrame, ts: str, side: int, name: str) -> DataFrame:
+        counts = keyed(df, ts).groupBy(*keys, "_time").agg(F.count(F.lit(1)).alias(name))
+        return counts.withColumn("_side", F.lit(side))
 
+    if layout is None:
+        layout = SeriesLayout.measure(keyed(events, left_ts), keys, ("_time",))
     both = counted(features, right_ts, 0, "_features").unionByName(
         counted(events, left_ts, 1, "_events"), allowMissingColumns=True
     ).na.fill(0, ["_features", "_events"])

@@ -16,7 +16,7 @@ from roadstate.functions.scalars import (
     json_text,
 )
 from roadstate.operators.clusters import HORIZON_MINUTES
-from roadstate.schemas import ROUTE_KEYS, TOPIC_ACCIDENT, TOPIC_CONGESTION, TOPIC_PREDICTIONS, TOPIC_SCHEMA
+from roadstate.schemas import PREDICTION_STRUCT, ROUTE_KEYS, TOPIC_ACCIDENT, TOPIC_CONGESTION, TOPIC_PREDICTIONS, TOPIC_SCHEMA
 
 # Defaults of the alert feeds.
 DEFAULT_MESSAGE = "Congestion alert"
@@ -58,6 +58,13 @@ def typed_events(raw: DataFrame, schema: T.StructType = TOPIC_SCHEMA, value: str
     return rows.select(best_effort_time(F.col("timestamp")).alias("event_time"), *names)
 
 
+ALERT_FIELDS = [
+    "alert_time", "timestamp", "event_time", "road_name", "road", "district", "city", "severity", "level",
+    "avg_speed", "avg_delay_minutes", "accident_count", "message", "reason",
+]
+PREDICTION_FIELDS = PREDICTION_STRUCT.names
+
+
 def normalize_alerts(
     raw: DataFrame,
     category: str,
@@ -68,22 +75,22 @@ def normalize_alerts(
 ) -> DataFrame:
     """Alert messages of one feed as rows of the common alert table."""
     text = F.col(value).cast("string")
-    docs = raw.select(*keep, text.alias("raw_message"), json_doc(text).alias("_doc"))
+    docs = raw.select(*keep, text.alias("raw_message"), json_doc(text, *ALERT_FIELDS).alias("_doc"))
     doc = F.col("_doc")
     return docs.select(
         *keep,
         best_effort_time(
-            json_text(doc, "$.alert_time"), json_text(doc, "$.timestamp"), json_text(doc, "$.event_time")
+            json_text(doc["alert_time"]), json_text(doc["timestamp"]), json_text(doc["event_time"])
         ).alias("alert_time"),
         F.lit(category).alias("alert_category"),
-        first_json(doc, "$.road_name", "$.road", default="").alias("road_name"),
-        first_json(doc, "$.district", default="").alias("district"),
-        first_json(doc, "$.city", default="").alias("city"),
-        first_json(doc, "$.severity", "$.level", default=DEFAULT_SEVERITY).alias("severity"),
-        json_double(doc, "$.avg_speed").alias("avg_speed"),
-        json_double(doc, "$.avg_delay_minutes").alias("avg_delay_minutes"),
-        json_long(doc, "$.accident_count").alias("accident_count"),
-        first_json(doc, "$.message", "$.reason", default=default_message).alias("message"),
+        first_json(doc["road_name"], doc["road"], default="").alias("road_name"),
+        first_json(doc["district"], default="").alias("district"),
+        first_json(doc["city"], default="").alias("city"),
+        first_json(doc["severity"], doc["level"], default=DEFAULT_SEVERITY).alias("severity"),
+        json_double(doc["avg_speed"]).alias("avg_speed"),
+        json_double(doc["avg_delay_minutes"]).alias("avg_delay_minutes"),
+        json_long(doc["accident_count"]).alias("accident_count"),
+        first_json(doc["message"], doc["reason"], default=default_message).alias("message"),
         F.lit(source_topic or FEED_TOPICS[category]).alias("source_topic"),
         "raw_message",
     )
@@ -94,18 +101,19 @@ def normalize_predictions(
 ) -> DataFrame:
     """Prediction messages as flat rows."""
     text = F.col(value).cast("string")
-    docs = raw.select(text.alias("raw_message"), json_doc(text).alias("_doc"))
-    doc, inner = F.col("_doc"), "$.prediction_30m"
+    wanted = json_doc(text, "timestamp", *ROUTE_KEYS, prediction_30m=PREDICTION_FIELDS)
+    docs = raw.select(text.alias("raw_message"), wanted.alias("_doc"))
+    doc, inner = F.col("_doc"), F.col("_doc.prediction_30m")
     return docs.select(
-        best_effort_time(json_text(doc, "$.timestamp")).alias("prediction_time"),
-        *[first_json(doc, f"$.{c}", default="").alias(c) for c in ROUTE_KEYS],
-        json_int(doc, f"{inner}.forecast_horizon_minutes", 0).alias("forecast_horizon_minutes"),
-        json_int(doc, f"{inner}.current_cluster").alias("current_cluster"),
-        json_int(doc, f"{inner}.predicted_cluster").alias("predicted_cluster"),
-        first_json(doc, f"{inner}.traffic_status", default="").alias("predicted_traffic_status"),
-        json_double(doc, f"{inner}.expected_avg_speed").alias("expected_avg_speed"),
-        json_double(doc, f"{inner}.expected_avg_delay_minutes").alias("expected_avg_delay_minutes"),
-        first_json(doc, f"{inner}.model_status", default="").alias("model_status"),
+        best_effort_time(json_text(doc["timestamp"])).alias("prediction_time"),
+        *[first_json(doc[c], default="").alias(c) for c in ROUTE_KEYS],
+        json_int(inner["forecast_horizon_minutes"], 0).alias("forecast_horizon_minutes"),
+        json_int(inner["current_cluster"]).alias("current_cluster"),
+        json_int(inner["predicted_cluster"]).alias("predicted_cluster"),
+        first_json(inner["traffic_status"], default="").alias("predicted_traffic_status"),
+        json_double(inner["expected_avg_speed"]).alias("expected_avg_speed"),
+        json_double(inner["expected_avg_delay_minutes"]).alias("expected_avg_delay_minutes"),
+        first_json(inner["model_status"], default="").alias("model_status"),
         F.lit(source_topic).alias("source_topic"),
         "raw_message",
     )

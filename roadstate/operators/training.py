@@ -17,7 +17,7 @@ EVENT_FEATURES = [c for c in MODEL_FEATURES if c not in LONGTERM_FEATURES]
 
 def _typed(df: DataFrame, columns: list[str]) -> DataFrame:
     types = {f.name: f.dataType.simpleString() for f in TRAINING_SCHEMA.fields}
-    return cast_all(df.select(*columns), {c: types[c] for c in columns if c in types}).distinct()
+    return cast_all(df.select(*columns), {c: types[c] for c in columns if c in types})
 
 
 def training_set(
@@ -30,9 +30,16 @@ def training_set(
 
     Distinct event rows at the same route and time collapse to the one with the
     newest features; the remaining ties go to the smallest row in column order.
+    That also removes exact copies, so neither side needs a DISTINCT (and its
+    shuffle) before the join.
     """
     rows = _typed(events.where(F.col("event_ts").isNotNull()), ["event_ts", *ROUTE_KEYS, *EVENT_FEATURES])
     known = _typed(features, [*ASOF_KEYS, *LONGTERM_FEATURES, "source_cutoff"])
+    if layout is None:
+        # Only the events can pile up on a key; the features have one row per
+        # key and cutoff. Measured on the bare keys, before any feature work.
+        bare = rows.select(*ASOF_KEYS, F.col("event_ts").alias("_time"))
+        layout = SeriesLayout.measure(bare, ASOF_KEYS, ("_time",))
     joined = asof_left(rows, known, payload=LONGTERM_FEATURES, layout=layout)
     newest = F.col("feature_source_cutoff").desc_nulls_last()
     single = latest_row(

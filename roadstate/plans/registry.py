@@ -401,7 +401,8 @@ def longterm_features_daily(spark, sf_dir):
 @query
 def online_snapshot(spark, sf_dir):
     # A long time to live, so that values carry over the days between cutoffs.
-    state = features.online_snapshot(feature_history(spark, sf_dir), ttl_seconds=30 * 86400)
+    history = feature_history(spark, sf_dir)
+    state = features.online_snapshot(history, ttl_seconds=30 * 86400, as_of=oracles.CUTOFFS[-1])
     return state.select("feature_key", *r4(*LONGTERM_FEATURES), "source_cutoff")
 
 
@@ -518,7 +519,8 @@ def model_by_alias(spark, sf_dir):
 @query
 def online_lookup(spark, sf_dir):
     records = ev(spark, sf_dir)
-    snapshot = features.online_snapshot(features.longterm_features(records))
+    cutoff = features.source_cutoff(records).first()["source_cutoff"]
+    snapshot = features.online_snapshot(features.longterm_features(records, cutoff), as_of=cutoff)
     return scoring.with_online_features(records, snapshot).select("seq", *r4(*LONGTERM_FEATURES))
 
 

@@ -224,17 +224,24 @@ def test_alert_defaults(spark):
 
 def test_json_types_are_strict(spark):
     doc = '{"i": 2, "f": 2.0, "q": "2", "e": 1e3, "b": true, "n": null, "big": 9223372036854775808}'
-    df = spark.createDataFrame([(doc,)], "value string").select(scalars.json_doc("value").alias("d"))
     names = ["i", "f", "q", "e", "b", "n", "big", "absent"]
-    d = F.col("d")
-    doubles = df.select(*[scalars.json_double(d, f"$.{n}") for n in names]).first()
-    longs = df.select(*[scalars.json_long(d, f"$.{n}") for n in names]).first()
-    texts = df.select(*[scalars.json_text(d, f"$.{n}") for n in names]).first()
+    df = spark.createDataFrame([(doc,)], "value string").select(scalars.json_doc("value", *names).alias("d"))
+    fields = [F.col("d")[n] for n in names]
+    doubles = df.select(*[scalars.json_double(f) for f in fields]).first()
+    longs = df.select(*[scalars.json_long(f) for f in fields]).first()
+    texts = df.select(*[scalars.json_text(f) for f in fields]).first()
     assert list(doubles)[:6] == [2.0, 2.0, None, 1000.0, None, None]
     assert list(longs) == [2, None, None, None, None, None, None, None]
     assert list(texts) == [None, None, "2", None, None, None, None, None]
 
 
+def test_malformed_alert_keeps_its_text(spark):
+    raw = spark.createDataFrame([("oops",), (None,)], "value string")
+    rows = normalize.normalize_alerts(raw, "congestion").drop("alert_time").collect()
+    assert [r["raw_message"] for r in rows] == ["oops", None]
+    assert all(r["severity"] == "warning" and r["road_name"] == "" for r in rows)
+
+
 def test_normalize_predictions(spark):
     raw = spark.createDataFrame(
         [
