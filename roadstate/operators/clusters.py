@@ -223,7 +223,12 @@ def fit_states(
     z = scaled(training, scaling)
     columns = training.select(*[c.alias(name) for name, c in z.items()])
     points = VectorAssembler(inputCols=list(z), outputCol="features").transform(columns)
-    points = points.select("features").persist(StorageLevel.MEMORY_AND_DISK)
+    points = points.select("features")
+    # The upstream plan may end in few partitions; the iterations want all slots.
+    slots = training.sparkSession.sparkContext.defaultParallelism
+    if points.rdd.getNumPartitions() < slots:
+        points = points.repartition(slots)
+    points = points.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         best = _best_of(points, k, [seed + i for i in range(restarts)])
         metrics = {"inertia": float(best.summary.trainingCost)}
