@@ -8,10 +8,40 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadstate.llm import bpe, exact_dedup, line_dedup
+from roadstate.llm import (
+    bpe,
+    decontaminate,
+    exact_dedup,
+    line_dedup,
+    lm_scoring,
+    near_dedup,
+    token_files,
+    toxicity,
+    url_filter,
+    warc,
+)
 from roadstate.llm.common import UPPER, table
+from roadstate.session import work_dir
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+END_ID = 2
+URL_RULES = [
+    ("block", "net/"),
+    ("allow", "example.net/en/"),
+    ("block", "example.com/de/"),
+    ("allow", "org/fr/"),
+]
+
+
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.lm_scores(table(spark, sf_dir, "documents"))
+
+
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = work_dir(spark, "token-files")
+    token_files.write_token_files(table(spark, sf_dir, "documents"), folder, VOCABULARY, END_ID)
+    read = token_files.read_token_files(spark, folder)
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +58,43 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_dedup(table(spark, sf_dir, "documents"), k=3, percent=85)
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = work_dir(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    return warc.capture_index(spark, folder).select(
+        F.col("row_id").alias("page_id"),
+        "payload_bytes",
+        F.col("digest").alias("payload_digest"),
+        "record_type",
+        "refers_to",
+    )
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.line_dedup(
         table(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=10, keep_first=False
@@ -41,14 +108,23 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_scoring": op1_lm_scoring,
+    "op2_token_files": op2_token_files,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_bpe": op4_bpe,
+    "op5_toxicity": op5_toxicity,
+    "op6_decontamination": op6_decontamination,
+    "op7_near_dedup": op7_near_dedup,
+    "op8_warc": op8_warc,
+    "op9_url_filter": op9_url_filter,
     "op10_line_dedup": op10_line_dedup,
 }
 
 LOWER = f"translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}')"
 SPACE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
+WORD = r"[a-z0-9\x{80}-\x{10FFFF}]+"
+
 ORACLE_SQL: dict[str, str] = {
     "op3_exact_dedup": f"""
         WITH d AS (SELECT doc_id, {LOWER} AS t FROM documents)
@@ -59,6 +135,70 @@ ORACLE_SQL: dict[str, str] = {
                sha256(t) AS text_sha256
         FROM d
     """,
+    "op6_decontamination": f"""
+        WITH d AS (SELECT doc_id, regexp_extract_all({LOWER}, '{WORD}') AS w FROM documents),
+        b AS (SELECT coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all({LOWER}, '{WORD}') AS w FROM benchmark),
+        bw AS (
+            SELECT DISTINCT item, least(10, len(w)) AS size, array_to_string(w[i : i + least(10, len(w)) - 1], ' ') AS t
+            FROM (SELECT *, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)
+        ),
+        sizes AS (SELECT DISTINCT size FROM bw),
+        dw AS (
+            SELECT doc_id, i, size, array_to_string(w[i : i + size - 1], ' ') AS t
+            FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS i FROM d, sizes WHERE len(w) >= size)
+        ),
+        hit AS (SELECT doc_id, i, dw.size AS size, item FROM dw JOIN bw USING (size, t)),
+        words AS (
+            SELECT doc_id, count(DISTINCT p) AS n_hit
+            FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM (SELECT DISTINCT doc_id, i, size FROM hit))
+            GROUP BY doc_id
+        ),
+        items AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+            FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id
+        )
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+    """,
+    "op7_near_dedup": f"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id,
+                   list_filter(regexp_split_to_array({LOWER}, '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS w
+            FROM documents
+        ),
+        s AS (
+            SELECT DISTINCT doc_id, array_to_string(w[i : i + least(3, len(w)) - 1], ' ') AS g
+            FROM (SELECT *, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM d WHERE len(w) > 0)
+        ),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        pairs AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both
+            FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2
+        ),
+        links AS (
+            SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+            WHERE 100 * both >= 85 * (x.n + y.n - both)
+        ),
+        edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+        reach AS (
+            SELECT a AS node, a AS low FROM edges
+            UNION
+            SELECT e.b, r.low FROM reach r JOIN edges e ON e.a = r.node WHERE r.low < e.b
+        ),
+        low AS (SELECT node, min(low) AS low FROM reach GROUP BY node)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(low, doc_id) AS component_id,
+               doc_id = coalesce(low, doc_id) AS kept
+        FROM d LEFT JOIN n USING (doc_id) LEFT JOIN low ON node = doc_id
+    """,
+    "op8_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS body, strlen(coalesce(html, '')) AS size FROM pages),
+        m AS (SELECT *, max(page_id) OVER (PARTITION BY body) AS first FROM p)
+        SELECT page_id, size AS payload_bytes, sha1(body) AS payload_digest,
+               CASE WHEN size >= 1000 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN size >= 1000 AND page_id <> first THEN first END AS refers_to
+        FROM m
+    """,
     "op10_line_dedup": f"""
         WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
         l AS (
