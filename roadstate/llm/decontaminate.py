@@ -25,7 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadstate.llm.common import ascii_lower, text_or_empty
+from roadstate.llm.common import ascii_lower, checkpointed, text_or_empty
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 GRAM = 5
@@ -65,16 +65,21 @@ def fingerprints(words: DataFrame, window: int, gram: int) -> DataFrame:
 
 def item_windows(benchmark: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
     """(size, phrase, print, items) per distinct window of the benchmark."""
-    words = benchmark.select(
-        F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("item"), words_of(text_or_empty(text_col)).alias("words")
-    ).withColumn("n", F.size("words"))
+    # Cut here: the plans below use the words many times over.
+    words = checkpointed(
+        benchmark.select(
+            F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("item"),
+            words_of(text_or_empty(text_col)).alias("words"),
+        ).withColumn("n", F.size("words"))
+    )
+    sizes = words.where("n > 0").select(F.least("n", F.lit(window)).alias("size")).distinct().collect()  # <= `window`
     parts = []
-    for size in range(1, window + 1):
+    for size in sorted({window} | {r["size"] for r in sizes}):
         gram = min(GRAM, window) if size == window else size
         some = words.where(F.col("n") >= size if size == window else F.col("n") == size)
         parts.append(
             fingerprints(some, size, gram)
-            .select("item", "words", F.posexplode("prints").alias("at", "print"))
+            .select("item", "words", F.posexplode_outer("prints").alias("at", "print"))
             .select(
                 F.lit(size).alias("size"),
                 F.concat_ws(" ", F.slice("words", F.col("at") + 1, size)).alias("phrase"),
@@ -117,7 +122,7 @@ def contamination(
     A window is `window` consecutive words of an item (all words of a shorter one); a
     document word inside an occurrence of a window is hit.
     """
-    windows = item_windows(benchmark, item_col, item_text_col, window)
+    windows = checkpointed(item_windows(benchmark, item_col, item_text_col, window))
     known = windows.groupBy("size").agg(F.countDistinct("print").alias("prints")).collect()  # <= `window` rows
     sizes = sorted((r["size"] for r in known), reverse=True)
     blocks = max(1, -(-sum(r["prints"] for r in known) // block))
@@ -135,7 +140,9 @@ def contamination(
         rows = fingerprints(rows, size, gram).withColumnRenamed("prints", f"prints_{size}").drop("hashes", "grams")
         arrays.append(F.col(f"prints_{size}"))
     rows = rows.select("row", "row_id", "words", "n", F.concat(*arrays, F.array(F.lit(SENTINEL).cast("long"))).alias("prints"))
-    exploded = rows.select("row", "row_id", "words", "n", F.posexplode("prints").alias("slot", "print"))
+    # The outer form: the inner one would be planned with a filter on the array's size,
+    # which moves below the projections and computes the arrays inside each other.
+    exploded = rows.select("row", "row_id", "words", "n", F.posexplode_outer("prints").alias("slot", "print"))
 
     prints = windows.select("print").distinct()
     found = []
