@@ -1,17 +1,51 @@
-"""Cleaning of a document corpus: five stages, each a DataFrame to DataFrame function."""
+"""Cleaning of a document corpus: five stages, each a DataFrame to DataFrame function.
+
+Every stage works on all rows that its predecessor kept. A document is its doc_id: rows
+repeated with one id share a decision, also a null id. Stages but the last return the
+columns they got, extra ones included; empty tables pass through.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from roadstate.llm import bpe, line_dedup
+from roadstate.llm import bpe, decontaminate, line_dedup, near_dedup
+from roadstate.llm import toxicity as toxic_texts
 from roadstate.llm.common import table, written
 from roadstate.llm.queries import VOCABULARY
 
+TOXIC = 0.7
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """Rows of `docs` whose doc_id is not in the one column of `gone`."""
+    out = gone.toDF("__gone").distinct()
+    return docs.join(out, docs["doc_id"].eqNullSafe(out["__gone"]), "left_anti")
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the network scores 0.7 or more go."""
+    scored = toxic_texts.with_toxicity(docs, table(spark, sf_dir, "labels"))
+    return scored.where(F.col("score") < TOXIC).select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines found in ten documents or more go everywhere."""
-    return line_dedup.line_dedup(docs, min_docs=10, keep_first=False).drop("line_stats")
+    """Lines found in ten documents or more go everywhere; n_chars follows the text."""
+    kept = line_dedup.line_dedup(docs, min_docs=10, keep_first=False).drop("line_stats")
+    return kept.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else kept
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that share 80 % of their five-word shingles the smallest id stays."""
+    found = near_dedup.near_dedup(docs, k=5, percent=80)
+    return without(docs, found.where(~F.col("kept")).select("doc_id"))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with ten consecutive words of a benchmark item go."""
+    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
+    return without(docs, found.where("contaminated").select("doc_id"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,7 +53,15 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.bpe_round_trip(docs, VOCABULARY)
 
 
-STAGES = [("line_dedup", repeated_lines), ("bpe", encode)]
+STAGES = [
+    ("toxicity", toxicity),
+    ("line_dedup", repeated_lines),
+    ("near_dedup", near_duplicates),
+    ("decontamination", decontamination),
+    ("bpe", encode),
+]
+
+#: No SQL states the network's scores; tests/llm holds the other stages against brute force.
 ORACLE_SQL = None
 
 

@@ -163,8 +163,7 @@ ORACLE_SQL: dict[str, str] = {
     """,
     "op7_near_dedup": f"""
         WITH RECURSIVE d AS (
-            SELECT doc_id,
-                   list_filter(regexp_split_to_array({LOWER}, '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS w
+            SELECT doc_id, regexp_extract_all({LOWER}, '[^\\x20\\x09-\\x0D]+') AS w
             FROM documents
         ),
         s AS (
@@ -173,12 +172,12 @@ ORACLE_SQL: dict[str, str] = {
         ),
         n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
         pairs AS (
-            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_both
             FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2
         ),
         links AS (
             SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
-            WHERE 100 * both >= 85 * (x.n + y.n - both)
+            WHERE 100 * n_both >= 85 * (x.n + y.n - n_both)
         ),
         edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
         reach AS (

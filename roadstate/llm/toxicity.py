@@ -402,48 +402,59 @@ def training_windows(net: Network, each: int = 4):
     return run
 
 
-def toxicity(
+def with_toxicity(
     docs: DataFrame,
     labels: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
     modulus: int = 3,
     held: int = 1,
-    threshold: float = 0.7,
     sample_docs: int = 1500,
     features: int = 20_000,
 ) -> DataFrame:
-    """id, held_out, score, predicted, per row of `docs`.
+    """(row, score) per row of `docs`; `row` is a struct of its columns as they are.
 
     `labels` has doc_id and toxic; rows whose fold of `modulus` is `held` never train.
     """
     net = train(docs, labels, sample_docs, features, modulus, held, id_col, text_col)
     sent = docs.sparkSession.sparkContext.broadcast(net)
-    schema = pa.schema([("row_id", pa.int64()), ("score", pa.float64())])
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    schema = docs.select(row).schema.add("score", "double")
 
     def run(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(sent.value)
+        for b in incoming:
+            texts = b.column(1).to_pylist()
+            scores, at = [], 0
+            while at < len(texts):
+                end, size = at, 0
+                while end < len(texts) and size <= 1 << 20:
+                    size += len(texts[end])
+                    end += 1
+                scores += scorer.scores(texts[at:end]).tolist()
+                at = end
+            yield pa.record_batch([b.column(0), pa.array(scores, pa.float64())], ["row", "score"])
 
-        def rows() -> Iterator[tuple]:
-            ids, texts, size = [], [], 0
-            for row_id, text in tuples(incoming):
-                ids.append(row_id)
-                texts.append(text)
-                size += len(text)
-                if size > 1 << 20:
-                    yield from zip(ids, scorer.scores(texts).tolist(), strict=True)
-                    ids, texts, size = [], [], 0
-            if ids:
-                yield from zip(ids, scorer.scores(texts).tolist(), strict=True)
-
-        return batches(rows(), schema)
-
-    scored = docs.select(
-        F.col(id_col).cast("long").alias("row_id"), text_or_empty(text_col).cast("binary").alias("text")
-    ).mapInArrow(run, "row_id long, score double")
+    return docs.select(row, text_or_empty(text_col).cast("binary").alias("text")).mapInArrow(run, schema)
+
+
+def toxicity(
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    modulus: int = 3,
+    held: int = 1,
+    threshold: float = 0.7,
+    sample_docs: int = 1500,
+    features: int = 20_000,
+) -> DataFrame:
+    """id, held_out, score, predicted, per row of `docs`."""
+    own = docs.select(F.col(id_col).cast("long").alias("row_id"), F.col(text_col).alias("text"))
+    scored = with_toxicity(own, labels, "row_id", "text", modulus, held, sample_docs, features)
     return scored.select(
-        F.col("row_id").alias(id_col),
-        (fold(F.col("row_id"), modulus) == held).alias("held_out"),
+        F.col("row.row_id").alias(id_col),
+        (fold(F.col("row.row_id"), modulus) == held).alias("held_out"),
         "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
