@@ -5,12 +5,12 @@ window is scored and a document has the score of its worst window. Word input: e
 of the word and a learned hashed embedding. Character input: evidence of the word's
 character n-grams (strongest and mean), so unseen forms of known stems count.
 
-Evidence is a log-odds z-score from document frequencies over all labelled training
-rows, counted by one shuffle; at most `features` of the strongest are kept (a
-parameter). The network is trained in numpy by back-propagation through time on at most
-about `sample_docs` labelled rows per class, chosen by a hash (a parameter). From each
-toxic document its windows with the most evidence are positive, clean documents give
-negative windows.
+Training rows are a sample of the labelled ones, chosen by a hash: about `sample_docs`
+toxic and twice as many clean ones are expected (a parameter). Evidence is a log-odds
+z-score from their document frequencies, counted by one shuffle; at most `features` of
+the strongest are kept (a parameter). The network is trained in numpy by
+back-propagation through time. From each toxic document its windows with the most
+evidence are positive, clean documents give negative windows.
 
 Scoring projects the inputs of a word once, keeps them in a bounded table of the worker
 and runs the recurrence over thousands of windows at a time.
@@ -33,32 +33,32 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadstate.llm.common import batches, fold, text_or_empty, tuples
+from roadstate.llm.common import batches, fold, text_or_empty, tuples, written
 
 WINDOW, STRIDE = 48, 24
 HIDDEN = 8
 EMBED = 4
 BUCKETS = 4096
 EDGE = b".,;:!?\"'()[]{}<>*-_/\\|~`^&%$#@+="
-TABLE = 200_000
+TABLE = 300_000
 
 
 def plain(token: bytes) -> bytes:
     return token.lower().strip(EDGE)
 
 
-def grams(word: bytes) -> set[bytes]:
-    """Character n-grams of a word with its edges marked; \\x01 sets them apart from words."""
+def grams(word: bytes) -> list[str]:
+    """Character n-grams of a word with its edges marked."""
     chars = "<" + word.decode("utf-8", "replace") + ">"
-    return {b"\x01" + chars[i : i + n].encode() for n in (3, 4, 5, 6) for i in range(len(chars) - n + 1)}
+    n = len(chars)
+    return [chars[i : i + 3] for i in range(n - 2)] + [chars[i : i + 5] for i in range(n - 4)]
 
 
 def features_of(text: bytes) -> set[bytes]:
+    """Words and, after a zero byte, character n-grams."""
     words = {plain(t) for t in set(text.split())} - {b""}
-    out = set(words)
-    for w in words:
-        out |= grams(w)
-    return out
+    parts = {g for w in words for g in grams(w)}
+    return words | {b"\0" + g.encode() for g in parts}
 
 
 def count_features(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,12 +77,8 @@ def count_features(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     yield from flush()
 
 
-def evidence(docs: DataFrame, features: int) -> dict[bytes, float]:
-    """z-scores of the strongest features over all rows of (text, toxic)."""
-    sizes = {r["toxic"]: r["n"] for r in docs.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    pos, neg = sizes.get(1, 0), sizes.get(0, 0)
-    if not pos or not neg:
-        return {}
+def evidence(docs: DataFrame, pos: int, neg: int, features: int) -> dict[bytes, float]:
+    """z-scores of the strongest features over `pos` toxic and `neg` clean rows."""
     odds = F.log((F.col("toxic") + 0.5) / (pos + 1.0)) - F.log((F.col("clean") + 0.5) / (neg + 1.0))
     error = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
     scored = (
@@ -91,7 +87,7 @@ def evidence(docs: DataFrame, features: int) -> dict[bytes, float]:
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
         .where("toxic + clean >= 4")
         .select("feature", (odds / error).alias("z"))
-        .where("abs(z) >= 2.5")
+        .where("abs(z) >= 2.75")
     )
     top = scored.orderBy(F.abs("z").desc(), "feature").limit(features).collect()
     return {bytes(r["feature"]): float(np.clip(r["z"], -8, 8)) for r in top}
@@ -105,6 +101,9 @@ class Network:
     params: dict[str, np.ndarray] = field(default_factory=dict)
     trained: bool = False
 
+    def __post_init__(self) -> None:
+        self.parts = {k[1:].decode(): v for k, v in self.weights.items() if k[:1] == b"\0"}
+
     def start(self, seed: int = 5) -> None:
         rng = np.random.default_rng(seed)
         size = 3 + EMBED
@@ -130,9 +129,10 @@ class Network:
         """Word evidence, strongest and mean character evidence; hash of the word."""
         word = plain(token)
         own = self.weights.get(word, 0.0)
-        parts = [self.weights.get(g, 0.0) for g in grams(word)] if word else []
+        chars = grams(word) if word else []
+        parts = [v for v in map(self.parts.get, chars) if v is not None]
         strong = max(parts, key=abs, default=0.0)
-        mean = sum(parts) / len(parts) if parts else 0.0
+        mean = sum(parts) / len(chars) if parts else 0.0
         return (own / 4, strong / 4, mean / 2), zlib.crc32(word) % BUCKETS
 
 
@@ -257,13 +257,16 @@ class Scorer:
 
     def __init__(self, net: Network):
         self.net, p = net, net.params
-        self.reset()
+        self.index: dict[bytes, int] = {}
+        self.table = np.zeros((1024, 6 * HIDDEN), np.float32)
         self.w = np.concatenate([p["wf"], p["wb"]], axis=1)
         self.b = np.concatenate([p["bf"], p["bb"]])
 
     def reset(self) -> None:
-        self.index: dict[bytes, int] = {}
-        self.table = np.zeros((1024, 6 * HIDDEN), np.float32)
+        """Forgets the words that came last; the earliest are mostly the frequent ones."""
+        keep = TABLE // 3
+        self.index = {t: i for t, i in self.index.items() if i < keep}
+        self.table = self.table[:keep].copy()
 
     def rows_of(self, tokens: list[bytes]) -> np.ndarray:
         index = self.index
@@ -361,16 +364,17 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int, features: int, m
         .join(marks, F.col("row_id") == F.col("label_id"))
         .select("row_id", "text", "toxic")
     )
-    net = Network(evidence(labelled.select("text", "toxic"), features))
     sizes = {r["toxic"]: r["count"] for r in labelled.groupBy("toxic").count().collect()}
     if len(sizes) < 2:
-        return net
+        return Network({})
     share = F.when(F.col("toxic") == 1, min(1.0, sample_docs / sizes[1])).otherwise(min(1.0, 2 * sample_docs / sizes[0]))
     pick = F.pmod(F.xxhash64("row_id", F.lit("sample")), F.lit(1 << 20)) < share * (1 << 20)
-    chosen = labelled.where(pick).select("text", "toxic").mapInArrow(training_windows(net), "words binary, toxic int")
-    rows = chosen.collect()  # at most four windows of each sampled document
-    if not rows:
-        return net
+    chosen = written(labelled.where(pick).select("text", "toxic"), "toxicity-sample")
+    taken = {r["toxic"]: r["count"] for r in chosen.groupBy("toxic").count().collect()}
+    if len(taken) < 2:
+        return Network({})
+    net = Network(evidence(chosen, taken[1], taken[0], features))
+    rows = chosen.mapInArrow(training_windows(net), "words binary, toxic int").collect()  # four windows a row at most
     fit(net, [bytes(r["words"]).split() for r in rows], np.array([r["toxic"] for r in rows]))
     return net
 
@@ -409,8 +413,8 @@ def with_toxicity(
     text_col: str = "text",
     modulus: int = 3,
     held: int = 1,
-    sample_docs: int = 1500,
-    features: int = 20_000,
+    sample_docs: int = 3000,
+    features: int = 10_000,
 ) -> DataFrame:
     """(row, score) per row of `docs`; `row` is a struct of its columns as they are.
 
@@ -446,8 +450,8 @@ def toxicity(
     modulus: int = 3,
     held: int = 1,
     threshold: float = 0.7,
-    sample_docs: int = 1500,
-    features: int = 20_000,
+    sample_docs: int = 3000,
+    features: int = 10_000,
 ) -> DataFrame:
     """id, held_out, score, predicted, per row of `docs`."""
     own = docs.select(F.col(id_col).cast("long").alias("row_id"), F.col(text_col).alias("text"))
