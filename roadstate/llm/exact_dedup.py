@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import pickle
+import shutil
 import tempfile
 from collections.abc import Iterator
 from typing import IO
@@ -110,7 +111,7 @@ class PatriciaTrie:
                 kid.label = kid.label[cut:]
                 upper.kids[kid.label[0]] = kid
                 node.kids[key[at]] = kid = upper
-                self.grow(0)
+                self.size += self.NODE_BYTES  # spilling waits until the key is in its place
             node, at = kid, at + len(kid.label)
 
     def grow(self, size: int) -> None:
@@ -142,11 +143,15 @@ class PatriciaTrie:
                 scratch = tempfile.TemporaryFile()
                 for entry in self.entries(kid, prefix):
                     pickle.dump(entry, scratch, 5)
+                for below in self.spilled(kid):
+                    below.seek(0)
+                    shutil.copyfileobj(below, scratch)
+                    below.close()
                 kid.kids, kid.rows, kid.owner, kid.spill = {}, 0, None, scratch
         self.size = self.NODE_BYTES
 
-    def spilled(self) -> Iterator[IO[bytes]]:
-        stack = [self.root]
+    def spilled(self, top: Node) -> Iterator[IO[bytes]]:
+        stack = [top]
         while stack:
             node = stack.pop()
             if node.spill is not None:
@@ -156,7 +161,7 @@ class PatriciaTrie:
     def drain(self) -> Iterator[tuple[bytes, int | None, int]]:
         """All terminals; spilled subtrees are read again one by one."""
         yield from self.entries(self.root)
-        waiting = list(self.spilled())
+        waiting = list(self.spilled(self.root))
         self.root = Node(b"")
         while waiting:
             scratch = waiting.pop()
@@ -169,7 +174,7 @@ class PatriciaTrie:
                     break
             scratch.close()
             yield from part.entries(part.root)
-            waiting += part.spilled()
+            waiting += part.spilled(part.root)
 
 
 def local_owners(largest: bool, limit: int):
