@@ -256,6 +256,8 @@ class Scorer:
     """Scores whole texts; projected inputs of words are kept in a bounded table."""
 
     def __init__(self, net: Network):
+        if not net.params:
+            net.start()
         self.net, p = net, net.params
         self.index: dict[bytes, int] = {}
         self.table = np.zeros((1024, 6 * HIDDEN), np.float32)
