@@ -52,6 +52,24 @@ def require_rows(df: DataFrame, needed: int, what: str = "rows") -> int:
     return found
 
 
+def readiness(events: DataFrame, features: DataFrame, joinable: DataFrame, needed: int) -> DataFrame:
+    """One row: both row counts, the one-row ``joinable_rows``, and whether all suffice."""
+    counts = (
+        events.agg(F.count(F.lit(1)).alias("enriched_rows"))
+        .crossJoin(features.agg(F.count(F.lit(1)).alias("feature_rows")))
+        .crossJoin(joinable.select("joinable_rows"))
+    )
+    fewest = F.least("enriched_rows", "feature_rows", "joinable_rows")
+    return counts.withColumn("ready", fewest >= needed)
+
+
+def require_ready(gate: DataFrame) -> None:
+    """Raises when the row of ``readiness`` says that training has too little data."""
+    row = gate.first()
+    if not row["ready"]:
+        raise NotEnoughRows(f"not ready to train: {row.asDict()}")
+
+
 def top(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 

@@ -24,7 +24,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
+from functools import reduce
 from math import ceil
+from operator import and_
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
@@ -58,6 +60,14 @@ def ordinal(df: DataFrame, name: str) -> Column:
     raise ValueError(f"order column {name} must be numeric or temporal, not {dtype.simpleString()}")
 
 
+def same_keys(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on equal keys; null equals null, so records without a key are a series, too."""
+    theirs = {k: f"_same_{k}" for k in keys}
+    renamed = other.withColumnsRenamed(theirs)
+    match = reduce(and_, [F.col(k).eqNullSafe(F.col(t)) for k, t in theirs.items()])
+    return df.join(renamed, match, how).drop(*theirs.values())
+
+
 @dataclass(frozen=True)
 class SeriesLayout:
     """How the series of one data set are spread over tasks."""
@@ -77,7 +87,7 @@ class SeriesLayout:
     ) -> SeriesLayout:
         """Find the keys above ``max_rows`` rows and the cut points for them."""
         keys, order = tuple(keys), tuple(order)
-        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).na.drop(subset=list(keys))
+        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
         total, largest = sizes.agg(F.sum("_n"), F.max("_n")).first()
         limit = max(max_rows, ceil((total or 0) / MAX_HOT_KEYS))
         if not total or largest <= limit:
@@ -86,7 +96,9 @@ class SeriesLayout:
         # Fewer than MAX_HOT_KEYS rows by the choice of the limit.
         found = sizes.where(F.col("_n") > limit).collect()
         hot_rows = sum(row["_n"] for row in found)
-        schema = T.StructType([df.schema[k] for k in keys] + [T.StructField(_HOT, T.BooleanType())])
+        schema = T.StructType(
+            [T.StructField(k, df.schema[k].dataType) for k in keys] + [T.StructField(_HOT, T.BooleanType())]
+        )
         hot = df.sparkSession.createDataFrame(
             [tuple(row[k] for k in keys) + (True,) for row in found], schema
         )
@@ -94,7 +106,7 @@ class SeriesLayout:
         # Cut points only steer the balance, so a sample is enough to place
         # them; every row is kept whatever they are.
         fraction = min(1.0, SAMPLES_PER_SEGMENT * segments / hot_rows)
-        positions = df.join(F.broadcast(hot), list(keys)).select(ordinal(df, order[0]).alias(_ORDINAL))
+        positions = same_keys(df, F.broadcast(hot), keys, "inner").select(ordinal(df, order[0]).alias(_ORDINAL))
         if fraction < 1.0:
             positions = positions.sample(fraction, seed=11)
         steps = [i / segments for i in range(1, segments)]
@@ -117,7 +129,7 @@ class SeriesLayout:
         """Add the segment number (null for keys that stay whole)."""
         if not self.split:
             return df
-        marked = df.join(F.broadcast(self.hot), list(self.keys), "left")
+        marked = same_keys(df, F.broadcast(self.hot), self.keys, "left")
         placed = marked.withColumn(
             _ORDINAL, F.coalesce(ordinal(df, self.order[0]), F.lit(float("-inf")))
         )
@@ -173,7 +185,7 @@ class SeriesLayout:
         The summary is small (segments, not rows); Spark broadcasts it when its
         measured size allows and shuffles by ``(key, segment)`` otherwise.
         """
-        return df.join(carry, self.group, "left")
+        return same_keys(df, carry, self.group, "left")
 
     def segments(self, df: DataFrame, *aggregates: Column) -> DataFrame:
         """Summarise the rows of split keys per segment (map-side combined)."""

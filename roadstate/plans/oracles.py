@@ -55,7 +55,7 @@ STATES = f"""states AS (
   SELECT *, {STATUS} AS road_status FROM (
     SELECT {ROUTE}, {_latest}, max(event_ts) AS last_event_time FROM ev GROUP BY {ROUTE}))"""
 _WORST = f"avg_delay_minutes DESC NULLS LAST, avg_speed ASC NULLS LAST, {ROUTE}"
-BOARD = f"board AS (SELECT * FROM states ORDER BY {_WORST} LIMIT 500)"
+BOARD = f"board AS (SELECT * FROM states ORDER BY {_WORST} LIMIT 500)"  # the report itself only
 
 
 def _with(*ctes: str, body: str) -> str:
@@ -300,8 +300,7 @@ NEWEST = f"""newest AS (
   SELECT prediction_time, {ROUTE}, {PRED_FIELDS}, traffic_status AS predicted_traffic_status,
     expected_avg_speed, expected_avg_delay_minutes, model_status FROM (
     SELECT *, row_number() OVER (PARTITION BY {ROUTE} ORDER BY prediction_time DESC,
-      current_cluster, predicted_cluster, traffic_status, expected_avg_speed) AS rn FROM predicted) WHERE rn = 1
-  ORDER BY prediction_time DESC, {ROUTE} LIMIT 500)"""
+      current_cluster, predicted_cluster, traffic_status, expected_avg_speed) AS rn FROM predicted) WHERE rn = 1)"""
 
 LABEL = "CASE WHEN avg_speed >= 40 THEN 0 WHEN avg_speed >= 15 THEN 1 ELSE 2 END"
 
@@ -387,19 +386,19 @@ def oracle_sql() -> dict[str, str]:
   max(event_ts) AS latest_event_time FROM ev""",
         ),
         "status_counters": _with(
-            EV, STATES, BOARD,
+            EV, STATES,
             body="""SELECT count(*) FILTER (WHERE road_status = 'CONGESTED') AS congested_roads,
   count(*) FILTER (WHERE road_status = 'SLOW') AS slow_roads,
   count(*) FILTER (WHERE road_status = 'ACCIDENT') AS accident_roads,
-  count(*) FILTER (WHERE road_status <> 'NORMAL') AS problem_roads FROM board""",
+  count(*) FILTER (WHERE road_status <> 'NORMAL') AS problem_roads FROM states""",
         ),
         "top_delayed_roads": _with(
             EV, STATES,
             body=f"SELECT {ROUTE}, avg_delay_minutes, avg_speed FROM states ORDER BY {_WORST} LIMIT 20",
         ),
         "board_filtered": _with(
-            EV, STATES, BOARD,
-            body=f"""SELECT {ROUTE}, road_status, avg_speed FROM board
+            EV, STATES,
+            body=f"""SELECT {ROUTE}, road_status, avg_speed FROM states
   WHERE district IN ('d1', 'd2', 'd7') AND road_status IN ('ACCIDENT', 'CONGESTED')""",
         ),
         "map_points": _with(
@@ -477,9 +476,9 @@ SELECT seq, {ROUTE}, avg_speed, event_ts, strftime(event_ts, '%Y-%m-%dT%H:%M:%S'
         ),
         "alert_counters": _with(
             EV, runs(by_seq), history(by_seq), ALERTS,
-            body=f"""SELECT count(*) AS recent_alerts,
+            body="""SELECT count(*) AS recent_alerts,
   count(*) FILTER (WHERE alert_category = 'accident') AS accident_alerts,
-  count(*) FILTER (WHERE alert_category = 'congestion') AS congestion_alerts FROM ({_RECENT})""",
+  count(*) FILTER (WHERE alert_category = 'congestion') AS congestion_alerts FROM alerts""",
         ),
         "typed_events": _with(
             EV,
@@ -530,7 +529,26 @@ SELECT seq, {ROUTE}, avg_speed, event_ts, strftime(event_ts, '%Y-%m-%dT%H:%M:%S'
       f'arg_max({c}, source_cutoff) FILTER (WHERE {c} IS NOT NULL) AS {c}' for c in LT_VALUES)},
     max(source_cutoff) AS source_cutoff FROM longterm GROUP BY 1)""",
         ),
+        "online_publish": _with(
+            EV, longterm(DAILY_CUTS),
+            body=f"""SELECT feature_key, CAST(2 + {' + '.join(f'({c} IS NOT NULL)::INT' for c in LT_VALUES)} AS BIGINT)
+  AS n_fields, {r4(*LT_VALUES)}, TIMESTAMP '{CUTOFFS[-1]}' AS updated_at FROM (
+  SELECT {ONLINE_KEY} AS feature_key, {', '.join(
+      f'arg_max({c}, source_cutoff) FILTER (WHERE {c} IS NOT NULL) AS {c}' for c in LT_VALUES)}
+  FROM longterm GROUP BY 1)""",
+        ),
+        "history_without_derived": _with(
+            EV, enriched(by_seq), body=f"SELECT seq, {ROUTE}, avg_speed, vehicle_count FROM enriched"
+        ),
         # training
+        "training_readiness": _with(
+            EV, longterm(DAILY_CUTS),
+            """counts AS (SELECT (SELECT count(*) FROM ev) AS enriched_rows, (SELECT count(*) FROM longterm) AS feature_rows,
+  (SELECT count(*) FROM ev e JOIN longterm f ON f.road_name = e.road_name AND f.district = e.district
+    AND f.city = e.city AND f.hour = e.hour AND f.day_of_week = e.day_of_week
+    AND f.source_cutoff <= e.event_ts) AS joinable_rows)""",
+            body="SELECT *, least(enriched_rows, feature_rows, joinable_rows) >= 50 AS ready FROM counts",
+        ),
         "asof_training_set": _with(
             EV, enriched(by_seq), longterm(DAILY_CUTS), _TRAINING,
             body=f"""SELECT 'run-1' AS training_run_id, CAST(CAST(event_ts AS DATE) AS VARCHAR) AS dt, event_ts,
@@ -591,12 +609,12 @@ SELECT seq, {ROUTE}, avg_speed, event_ts, strftime(event_ts, '%Y-%m-%dT%H:%M:%S'
         ),
         "latest_predictions": _with(
             EV, PREDICTED, NEWEST,
-            body="SELECT * FROM newest",
+            body=f"SELECT * FROM newest ORDER BY prediction_time DESC, {ROUTE} LIMIT 500",
         ),
         "board_with_predictions": _with(
-            EV, STATES, BOARD, PREDICTED, NEWEST,
+            EV, STATES, PREDICTED, NEWEST,
             body=f"""SELECT b.*, p.prediction_time, p.forecast_horizon_minutes, p.current_cluster, p.predicted_cluster,
-  p.predicted_traffic_status, p.expected_avg_speed, p.expected_avg_delay_minutes, p.model_status FROM board b
+  p.predicted_traffic_status, p.expected_avg_speed, p.expected_avg_delay_minutes, p.model_status FROM states b
   LEFT JOIN newest p USING ({ROUTE})""",
         ),
         "predicted_status_distribution": _with(

@@ -36,7 +36,7 @@ from roadstate.schemas import (
     TOPIC_SCHEMA,
 )
 from roadstate.session import work_dir
-from roadstate.sources import models, tables, topics
+from roadstate.sources import models, online, tables, topics
 from roadstate.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,7 +102,7 @@ def traffic_summary(spark, sf_dir):
 
 @query
 def status_counters(spark, sf_dir):
-    return serving.status_counters(board(spark, sf_dir))
+    return serving.status_counters(serving.road_states(ev(spark, sf_dir)))
 
 
 @query
@@ -112,7 +112,7 @@ def top_delayed_roads(spark, sf_dir):
 
 @query
 def board_filtered(spark, sf_dir):
-    rows = projections.filter_board(board(spark, sf_dir), ["d1", "d2", "d7"], ["ACCIDENT", "CONGESTED"])
+    rows = projections.filter_board(serving.road_states(ev(spark, sf_dir)), ["d1", "d2", "d7"], ["ACCIDENT", "CONGESTED"])
     return rows.select(*ROUTE_KEYS, "road_status", "avg_speed")
 
 
@@ -319,7 +319,7 @@ def recent_alerts(spark, sf_dir):
 
 @query
 def alert_counters(spark, sf_dir):
-    return serving.alert_counters(serving.recent_alerts(alert_rows(spark, sf_dir)))
+    return serving.alert_counters(alert_rows(spark, sf_dir))
 
 
 @query
@@ -406,6 +406,25 @@ def online_snapshot(spark, sf_dir):
     return state.select("feature_key", *r4(*LONGTERM_FEATURES), "source_cutoff")
 
 
+@query
+def online_publish(spark, sf_dir):
+    """The records that go to the online store, field by field."""
+    state = features.online_snapshot(feature_history(spark, sf_dir), ttl_seconds=30 * 86400, as_of=oracles.CUTOFFS[-1])
+    sent = online.online_records(state, F.lit(oracles.CUTOFFS[-1]).cast("timestamp_ntz"))
+    values = [near(F.col("fields")[c]).alias(c) for c in LONGTERM_FEATURES]
+    return sent.select(
+        "feature_key", F.size("fields").cast("long").alias("n_fields"), *values,
+        F.col("fields")["updated_at"].cast("timestamp_ntz").alias("updated_at"),
+    )
+
+
+@query
+def history_without_derived(spark, sf_dir):
+    """Enriched records without the columns that enrichment adds."""
+    enriched = enrich.enrich_series(ev(spark, sf_dir))
+    return projections.drop_derived(enriched).select("seq", *ROUTE_KEYS, "avg_speed", "vehicle_count")
+
+
 # -- training ----------------------------------------------------------------------
 
 
@@ -427,6 +446,14 @@ def joinable_count(spark, sf_dir):
     return asof.joinable_count(ev(spark, sf_dir), feature_history(spark, sf_dir))
 
 
+@query
+def training_readiness(spark, sf_dir):
+    """The gate before training: every count against the minimum."""
+    events, history = ev(spark, sf_dir), feature_history(spark, sf_dir)
+    needed = max(clusters.MIN_TRAINING_ROWS, clusters.CLUSTERS)
+    return aggregates.readiness(events, history, asof.joinable_count(events, history), needed)
+
+
 @query
 def row_audit(spark, sf_dir):
     return aggregates.audit(ev(spark, sf_dir), ["event_ts", "avg_speed"])
@@ -483,7 +510,9 @@ def kmeans_states(spark, sf_dir):
     """Fit on records laid on a 15-minute timeline; profile per fitted cluster."""
     records = projections.restamp(ev(spark, sf_dir).drop(*CALENDAR))
     events = enrich.enrich_series(records)
-    rows = training.training_set(events, features.longterm_features(records), "kmeans").persist()
+    stored = work_dir(spark, "training")
+    training.training_set(events, features.longterm_features(records), "kmeans").write.parquet(stored)
+    rows = spark.read.parquet(stored)
     _, states = clusters.fit_states(rows)
     return clusters.cluster_profiles(states).select("status", "samples", *r4("avg_speed", "avg_delay_minutes"))
 
@@ -499,6 +528,18 @@ def prediction_table(spark, sf_dir) -> DataFrame:
     return normalize.normalize_predictions(topics.as_messages(predictions(spark, sf_dir)))
 
 
+def newest_prediction_table(spark, sf_dir) -> DataFrame:
+    """The last prediction of every route, reduced before its message is written and parsed."""
+    values = [
+        "forecast_horizon_minutes", "current_cluster", "predicted_cluster", "traffic_status", "expected_avg_speed",
+        "expected_avg_delay_minutes", "model_status",
+    ]
+    ties = [F.col(f"prediction_30m.{c}").asc_nulls_last() for c in values]
+    order = [F.col("timestamp").desc_nulls_last(), *ties]
+    newest = enrich.latest_row(predictions(spark, sf_dir), ROUTE_KEYS, order)
+    return normalize.normalize_predictions(topics.as_messages(newest))
+
+
 def flat(df: DataFrame, *extra: str) -> DataFrame:
     return df.select(*extra, *ROUTE_KEYS, "timestamp", "prediction_30m.*")
 
@@ -536,23 +577,23 @@ def flatten_predictions(spark, sf_dir):
 
 @query
 def latest_predictions(spark, sf_dir):
-    return serving.latest_predictions(prediction_table(spark, sf_dir))
+    return serving.latest_predictions(newest_prediction_table(spark, sf_dir))
 
 
 @query
 def board_with_predictions(spark, sf_dir):
-    newest = serving.latest_predictions(prediction_table(spark, sf_dir))
-    return serving.board_with_predictions(board(spark, sf_dir), newest)
+    newest = serving.newest_predictions(newest_prediction_table(spark, sf_dir))
+    return serving.board_with_predictions(serving.road_states(ev(spark, sf_dir)), newest)
 
 
 @query
 def predicted_status_distribution(spark, sf_dir):
-    return serving.predicted_status_distribution(serving.latest_predictions(prediction_table(spark, sf_dir)))
+    return serving.predicted_status_distribution(newest_prediction_table(spark, sf_dir))
 
 
 @query
 def prediction_counters(spark, sf_dir):
-    return serving.prediction_counters(serving.latest_predictions(prediction_table(spark, sf_dir)))
+    return serving.prediction_counters(newest_prediction_table(spark, sf_dir))
 
 
 # -- tables ------------------------------------------------------------------------
@@ -617,9 +658,7 @@ def replace_by_key(spark, sf_dir):
 def drain_predictions(spark, sf_dir):
     stream = scoring.score(adapters.sensor_stream(spark, sf_dir), None, fixed_model())
     target = work_dir(spark, "predictions")
-    tables.drain_to_parquet(
-        stream, target, "run:1", date(2024, 1, 1), work_dir(spark, "bookmark"), max_seconds=3600
-    )
+    tables.drain_to_parquet(stream, target, "run:1", date(2024, 1, 1), work_dir(spark, "bookmark"))
     return spark.read.parquet(f"{target}/dt=2024-01-01/run=run-1").drop("batch")
 
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from itertools import islice
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from roadstate.functions.scalars import now_ntz
 from roadstate.operators.features import ONLINE_TTL_SECONDS
 from roadstate.schemas import LONGTERM_FEATURES
 
@@ -14,28 +15,36 @@ from roadstate.schemas import LONGTERM_FEATURES
 Writer = Callable[[list[tuple[str, dict[str, str]]], int], None]
 
 
+def online_records(
+    snapshot: DataFrame,
+    updated_at: Column | None = None,
+    fields: Sequence[str] = tuple(LONGTERM_FEATURES),
+) -> DataFrame:
+    """(feature_key, fields): the non-null values as text, with the time of publishing."""
+    stamp = now_ntz() if updated_at is None else updated_at
+    values = {c: F.col(c) for c in [*fields, "source_cutoff"]} | {"updated_at": stamp}
+    pairs = [x for name, value in values.items() for x in (F.lit(name), value.cast("string"))]
+    filled = F.map_filter(F.create_map(*pairs), lambda _, value: value.isNotNull())
+    return snapshot.select("feature_key", filled.alias("fields"))
+
+
 def publish_online(
     snapshot: DataFrame,
     writer: Writer,
     batch: int = 1000,
     ttl_seconds: int = ONLINE_TTL_SECONDS,
     fields: Sequence[str] = tuple(LONGTERM_FEATURES),
+    updated_at: Column | None = None,
 ) -> None:
     """Send every key to ``writer`` from the executors, ``batch`` keys at a time.
 
     Only non-null fields are sent. ``writer`` is called again for keys of a
     retried task, so it must set values rather than add to them.
     """
-    # to_json leaves null fields out.
-    values = F.from_json(
-        F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in [*fields, "source_cutoff"]])),
-        "map<string,string>",
-    )
-    rows = snapshot.select("feature_key", values.alias("fields"))
 
     def send(partition: Iterable) -> None:
         entries: Iterator = ((r["feature_key"], dict(r["fields"])) for r in partition)
         while chunk := list(islice(entries, batch)):
             writer(chunk, ttl_seconds)
 
-    rows.foreachPartition(send)
+    online_records(snapshot, updated_at, fields).foreachPartition(send)

@@ -36,12 +36,14 @@ def ensure_tables(spark: SparkSession, root: str, database: str = "traffic") ->
 
 
 def read_or_none(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
-    """The table at ``path``, or None when nothing was written yet."""
+    """The table at ``path``, or None when the path does not exist yet."""
     try:
         reader = spark.read.schema(schema) if schema else spark.read
         return reader.parquet(path)
-    except AnalysisException:
-        return None
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def insert_only(
@@ -50,8 +52,8 @@ def insert_only(
     key_cols: Sequence[str] = MERGE_KEYS,
     partition_by: str = "dt",
     range_col: str | None = "source_offset",
-) -> None:
-    """Append the rows whose key is not in the table yet.
+) -> int:
+    """Append the rows whose key is not in the table yet; returns the rows of ``batch``.
 
     A record always falls into the same partition, so only the partitions and
     offset range the batch touches are read back for the anti join.
@@ -59,6 +61,7 @@ def insert_only(
     spark = batch.sparkSession
     batch = batch.persist()
     try:
+        found = batch.count()
         existing = read_or_none(spark, target, batch.schema)
         fresh = batch
         if existing is not None:
@@ -72,6 +75,7 @@ def insert_only(
             fresh = batch.join(known.select(*key_cols), list(key_cols), "left_anti").select(*batch.columns)
         # One partition's rows meet in few tasks, and a large one is split.
         fresh.hint("rebalance", partition_by).write.partitionBy(partition_by).mode("append").parquet(target)
+        return found
     finally:
         batch.unpersist()
 
@@ -89,16 +93,19 @@ def ingest_insert_only(
     The checkpoint is the bookmark: it moves only after a batch is written, and
     a batch that is replayed inserts nothing twice.
     """
+    counts: dict[int, int] = {}  # by batch, so a replayed batch counts once
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        counts[batch_id] = insert_only(batch, target, key_cols, partition_by, range_col)
+
     query = (
-        source.writeStream.foreachBatch(
-            lambda batch, _: insert_only(batch, target, key_cols, partition_by, range_col)
-        )
+        source.writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return sum(p["numInputRows"] for p in query.recentProgress)
+    return sum(counts.values())
 
 
 def replace_by_key(
@@ -128,53 +135,33 @@ def append_stream(
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
-class _DrainComplete(Exception):
-    pass
-
-
 def drain_to_parquet(
-    predictions: DataFrame,
-    path: str,
-    run_id: str,
-    logical_date: date,
-    checkpoint: str,
-    max_records: int = 100_000,
-    max_seconds: int = 120,
+    predictions: DataFrame, path: str, run_id: str, logical_date: date, checkpoint: str
 ) -> int:
-    """Write at most ``max_records`` new predictions to ``dt=.../run=...``.
+    """Write all new predictions to ``dt=.../run=...``; returns their number.
 
-    The limit is checked per micro-batch: a batch that would exceed it is left,
-    unread, to the next run. Bound the batches themselves with the rate option
-    of the source (``maxOffsetsPerTrigger`` or ``maxFilesPerTrigger``). Nothing
-    new writes nothing. Each batch has its own folder, so a replay overwrites.
+    How much a micro-batch takes is the rate option of the source
+    (``maxOffsetsPerTrigger`` or ``maxFilesPerTrigger``). Nothing new writes nothing.
+    Each batch has its own folder, so a replay overwrites.
     """
     run = run_id.replace(":", "-")
     folder = f"{path}/dt={logical_date:%Y-%m-%d}/run={run}"
-    drained = 0
+    counts: dict[int, int] = {}
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        nonlocal drained
         rows = flatten_predictions(batch).persist()
         try:
-            found = rows.count()
-            if drained and drained + found > max_records:
-                raise _DrainComplete
-            if found:
+            counts[batch_id] = rows.count()
+            if counts[batch_id]:
                 rows.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
-                drained += found
         finally:
             rows.unpersist()
 
-    query = (
+    (
         predictions.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
+        .awaitTermination()
     )
-    try:
-        if not query.awaitTermination(max_seconds):
-            query.stop()
-    except Exception as error:
-        if _DrainComplete.__name__ not in str(error):
-            raise
-    return drained
+    return sum(counts.values())
