@@ -112,3 +112,13 @@ def test_split_plan_broadcasts_only_keys(spark):
         # The hot keys are driver-side rows; no file is read below a broadcast.
         first = re.search(r"FileScan|ExistingRDD|LocalTableScan", part)
         assert first and first.group() != "FileScan"
+
+
+def test_counters_see_every_route(spark):
+    """More routes than the board has lines: only the board itself is cut."""
+    rows = [record(i, f"R{i:04d}", 0, 5.0, accidents=i % 2) for i in range(1200)]
+    missing = [c for c in serving.BOARD_VALUES if c not in rows[0]]
+    events = frame(spark, rows).withColumns({c: F.lit(None).cast("double") for c in missing})
+    assert serving.road_status_board(events).count() == 500
+    counted = serving.status_counters(serving.road_states(events)).first()
+    assert (counted["accident_roads"], counted["problem_roads"]) == (600, 1200)

@@ -232,3 +232,21 @@ def test_merge_facets_and_first_seen(spark):
     )
     first = enrich.first_seen(df, columns=["avg_speed"])
     assert rows_of(first, "road_name", "first_seq", "avg_speed") == [("R0", 0, 10.0), ("R1", 1, 11.0)]
+
+
+def test_records_without_a_key_are_split_too(spark):
+    rows = [r | {"road_name": None if r["road_name"] == "hot" else r["road_name"]} for r in shuffled(3)]
+    df = frame(spark, rows, SCHEMA).cache()
+    forms = layouts(df)
+    hot = forms[1].assign(df).where("road_name IS NULL")
+    assert hot.select(SEGMENT).distinct().count() > 1 and hot.where(F.col(SEGMENT).isNull()).isEmpty()
+    for run in (
+        lambda x: rows_of(series_rank(df, ROUTE_KEYS, ORDER, layout=x), "seq", "position"),
+        lambda x: rows_of(running_last(df, "accident_count", ROUTE_KEYS, ORDER, x), "seq", "accident_count"),
+        lambda x: rows_of(running_sum(df, "vehicle_count", ROUTE_KEYS, ORDER, x), "seq", "vehicle_count"),
+        lambda x: rows_of(enrich.with_lags(df, order=ORDER, layout=x), "seq", "prev_avg_speed_1", "prev_delay_3"),
+        lambda x: rows_of(rules.accident_alerts(df, order=("arrival", "seq"), layout=x), "seq", "accident_count"),
+        lambda x: rows_of(rules.congestion_alerts(df, 40.0, order=("arrival", "seq"), layout=x), "seq"),
+    ):
+        whole, *split = [run(x) for x in forms]
+        assert whole and all(s == whole for s in split)
