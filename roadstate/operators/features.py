@@ -37,7 +37,13 @@ def distinct_events(events: DataFrame) -> DataFrame:
 
 
 def _with_cutoff(rows: DataFrame, events: DataFrame, cutoff) -> DataFrame:
-    """Attach the cutoff: a given time, or the one-row aggregate of ``events``."""
+    """Attach the cutoff: a given time, or the one-row aggregate of ``events``.
+
+    With a list of times every row counts for each of them that is not before it.
+    """
+    if isinstance(cutoff, (list, tuple)):
+        times = F.array(*[F.lit(c).cast("timestamp_ntz") for c in cutoff])
+        return rows.withColumn("source_cutoff", F.explode(F.filter(times, lambda c: c >= F.col("event_ts"))))
     if cutoff is not None:
         return rows.withColumn("source_cutoff", F.lit(cutoff).cast("timestamp_ntz"))
     latest = source_cutoff(events).where(F.col("source_cutoff").isNotNull())
@@ -52,10 +58,11 @@ def daily_rollup(
 ) -> DataFrame:
     """Sums and counts per route, hour, weekday and date.
 
-    The only pass over the events: every feature below is derived from this
-    table, whose size is slots times days whatever the number of events.
-    Partial sums are combined before the shuffle, so a busy route costs no more
-    than a quiet one.
+    Every feature below is derived from this table, whose size is slots times
+    days and cutoffs whatever the number of events. Duplicates go first, which
+    shuffles the valid rows once, for any number of cutoffs; the sums after that
+    are combined before their own shuffle. Without a given cutoff a second scan
+    finds the latest event.
     """
     rows = _with_cutoff(distinct_events(events), events, cutoff)
 
@@ -112,7 +119,7 @@ def _with_day_before(daily: DataFrame) -> DataFrame:
     replaces the self join; its partitions hold one row per day and weekday.
     """
     before = (
-        Window.partitionBy(*ROUTE_KEYS, "hour")
+        Window.partitionBy(*ROUTE_KEYS, "hour", "source_cutoff")
         .orderBy(F.unix_date("day"))
         .rangeBetween(-1, -1)
     )
@@ -153,8 +160,9 @@ def longterm_features(
     baseline_days: int = BASELINE_DAYS,
     slot_days: int = SLOT_DAYS,
 ) -> DataFrame:
-    """The dense feature table: 168 rows per route at one cutoff.
+    """The dense feature table: 168 rows per route and cutoff.
 
+    ``cutoff`` is a time, a list of times, or nothing for the latest event.
     The slots of a route (at most 168) are gathered into one map and expanded
     over the dense grid, so the grid needs no join.
     """

@@ -385,12 +385,7 @@ def longterm_features(spark, sf_dir):
 
 def feature_history(spark, sf_dir) -> DataFrame:
     """The feature table after runs at several cutoffs."""
-    records = ev(spark, sf_dir)
-    runs = [
-        features.longterm_features(records.where(F.col("event_ts") <= F.lit(cut).cast("timestamp_ntz")), cut)
-        for cut in oracles.CUTOFFS
-    ]
-    return aggregates.union_alerts(*runs)
+    return features.longterm_features(ev(spark, sf_dir), list(oracles.CUTOFFS))
 
 
 @query
