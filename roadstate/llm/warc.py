@@ -1,7 +1,7 @@
 """WARC archives and a globally ordered capture index.
 
 Writing: a record is one row of Spark's text sink with the line separator CRLF CRLF,
-which is what ends a WARC record, so the files are plain WARC files, written by Spark's
+which is what ends a WARC record, so the files are gzipped WARC files, written by Spark's
 committer into any store. Of captures with equal payloads one is a response, the others
 revisit it.
 
@@ -18,6 +18,8 @@ gives empty archives; other columns are not read.
 
 from __future__ import annotations
 
+import gzip
+import hashlib
 import re
 from collections.abc import Iterator
 from urllib.parse import unquote
@@ -66,7 +68,9 @@ def record_texts(pages: DataFrame, id_col: str, url_col: str, body_col: str, sho
     )
     block = F.concat(http, F.when(revisit, F.lit("")).otherwise(F.col("body")))
     time = F.coalesce("row_id", F.lit(0)) + EPOCH
-    target = F.regexp_replace(F.regexp_replace("url", "%", "%25"), r"[\r\n]", "%0A")
+    target = F.regexp_replace("url", "%", "%25")
+    for char, escaped in (("\r", "%0D"), ("\n", "%0A")):
+        target = F.regexp_replace(target, char, escaped)
     lines = F.concat(
         F.lit("WARC/1.1\r\nWARC-Type: "),
         F.when(revisit, F.lit("revisit")).otherwise(F.lit("response")),
@@ -100,16 +104,18 @@ def write_archives(
     url_col: str = "url",
     body_col: str = "html",
     shortest: int = 1000,
-    file_bytes: int = 64 << 20,
 ) -> None:
-    """One WARC record per page, in files that are each sorted by URL key and time."""
-    records = record_texts(pages, id_col, url_col, body_col, shortest)
-    parts = slices(pages, F.octet_length(F.coalesce(F.col(body_col), F.lit(""))) + 512, file_bytes)
+    """One WARC record per page, in compressed files that are each sorted by URL key and time.
+
+    The partitions of the join that finds shared payloads become the files: payloads
+    cross the network once, by content hash, so no file depends on a hot URL.
+    """
     (
-        records.repartition(parts, F.xxhash64("url_key", "row_id"))
+        record_texts(pages, id_col, url_col, body_col, shortest)
         .sortWithinPartitions("url_key", "time", "row_id")
         .select("value")
         .write.option("lineSep", END)
+        .option("compression", "gzip")
         .text(folder)
     )
 
@@ -164,11 +170,10 @@ def page_number(value: str | None) -> int | None:
 
 def captures(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One index row per record, in the order of the file."""
-    import hashlib
-
     def rows() -> Iterator[tuple]:
         for path, content in tuples(incoming):
-            for offset, length, fields, block in records(content):
+            # Offsets are those of the uncompressed archive.
+            for offset, length, fields, block in records(gzip.decompress(content)):
                 head, _, payload = block.partition(b"\r\n\r\n")
                 size = int(re.search(rb"Content-Length: (\d+)", head)[1])
                 kind, digest = fields["WARC-Type"], fields["WARC-Payload-Digest"].removeprefix("sha1:")
