@@ -83,14 +83,25 @@ def test_scorer_equals_plain_forward():
     best = -1e9
     for a, b in tx.windows_of(len(words)):
         part = words[a:b]
-        raw = [net.inputs(w) for w in part]
-        full = np.concatenate([np.array([r[0] for r in raw]), net.params["embed"][[r[1] for r in raw]]], axis=1)[:, None, :]
+        values, hashes = net.inputs(part)
+        full = np.concatenate([values, net.params["embed"][hashes]], axis=1)[:, None, :]
         p = net.params
         logit, _ = tx.forward(p, full @ p["wf"] + p["bf"], full[::-1] @ p["wb"] + p["bb"], np.ones((len(part), 1)))
         best = max(best, float(logit[0]))
     assert scorer.scores([b" ".join(words)])[0] == pytest.approx(1 / (1 + np.exp(-best)), rel=1e-3)
 
 
+def test_gram_table_equals_plain_look_up():
+    words = [b"", b"a", "grün".encode(), b"badly", b"x" * 300, b"<>"]
+    weights = {b"\0" + g: (-1) ** i * (1 + i % 7) for i, g in enumerate(sorted(g for w in words[2:4] for g in tx.grams(w)))}
+    strong, mean = tx.GramTable(weights).of_words(words)
+    for w, s, m in zip(words, strong, mean, strict=True):
+        chars = b"<" + w + b">"
+        values = [weights.get(b"\0" + chars[i : i + n], 0) for n in tx.GRAMS for i in range(len(chars) - n + 1)]
+        assert abs(s) == max(map(abs, values), default=0)
+        assert m == pytest.approx(sum(values) / max(1, len(values)))
+
+
 def test_windows_cover_everything():
     for n in (0, 1, 48, 49, 72, 100, 1000):
         spans = tx.windows_of(n)
