@@ -41,9 +41,10 @@ from roadstate.llm.common import batch, slices, text_or_empty
 HEAD = struct.Struct("<4sIIIQQQ")
 DOCUMENT = np.dtype([("has_id", "u1"), ("id", "<i8"), ("n", "<u4")])
 MAGIC, VERSION, BLOCK = b"TIDS", 1, 4096
-SEGMENT_IDS = 4 << 20
+SEGMENT_IDS = 1 << 20
 CUT = re.compile(r"(?<=\S) (?=\S)")
-CACHE = 400_000
+UNCLEAR = re.compile(r"(?:^|\s) | (?:\s|$)")
+CACHE = 250_000
 
 
 def width_of(vocabulary: int) -> int:
@@ -63,10 +64,10 @@ def unpack(data: bytes, count: int, width: int) -> np.ndarray:
     return np.packbits(wide, axis=1).view(">u4").reshape(-1).astype("<u4")
 
 
-def segment(documents: list[tuple[int | None, np.ndarray]], width: int) -> bytes:
-    """One record of a file from (id, ids) pairs."""
-    index = np.array([(i is not None, i or 0, len(ids)) for i, ids in documents], DOCUMENT)
-    ids = np.concatenate([ids for _, ids in documents]) if documents else np.empty(0, np.uint32)
+def segment(documents: list[tuple[int | None, bytes]], width: int) -> bytes:
+    """One record of a file from (id, ids as little-endian unsigned 32-bit) pairs."""
+    index = np.array([(i is not None, i or 0, len(ids) // 4) for i, ids in documents], DOCUMENT)
+    ids = np.frombuffer(b"".join(ids for _, ids in documents), "<u4")
     blocks = [pack(ids[at : at + BLOCK], width) for at in range(0, len(ids), BLOCK)]
     offsets = np.cumsum([0, *map(len, blocks)], dtype="<u8")
     head = HEAD.pack(MAGIC, VERSION, width, BLOCK, len(documents), len(ids), int(offsets[-1]))
@@ -119,12 +120,13 @@ def segments(data: bytes) -> Iterator[Segment]:
 
 
 class LibraryEncoder:
-    """Ids of whole texts by the tokenizers library, chunk by chunk.
+    """Ids of whole texts by the tokenizers library, each chunk once.
 
     Texts are cut at single spaces between visible characters; the split pattern of a
     byte-level vocabulary starts a piece there, so a chunk's ids do not depend on its
-    neighbours. The library encodes each chunk that a bounded table does not hold yet.
-    Texts with a special token's string go to the library uncut.
+    neighbours. Chunks that a bounded table does not hold yet are strung together for
+    the library, and the byte lengths of its tokens tell where each chunk ends. Texts
+    with a special token's string go to the library uncut.
     """
 
     def __init__(self, path: str):
@@ -136,30 +138,53 @@ class LibraryEncoder:
         self.tokenizer.no_padding()
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.vocabulary = self.tokenizer.get_vocab_size()
+        # A byte-level token has one character per byte.
+        self.lengths = np.zeros(self.vocabulary, np.int64)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.lengths[i] = len(token)
 
-    def library(self, texts: list[str]) -> list[bytes]:
+    def library(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.known) > CACHE:
-            self.known.clear()
+        return [np.array(e.ids, "<u4") for e in found]
+
+    def learn(self, chunks: list[str]) -> None:
+        """Puts the ids of new chunks into the table."""
+        joined = [c for c in chunks if c[:1] == " " and not c[-1].isspace()]
+        for at in range(0, len(joined), 2000):
+            part = joined[at : at + 2000]
+            (ids,) = self.library(["".join(part)])
+            ends = np.cumsum([len(c.encode()) for c in part])
+            cuts = np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1
+            data, start = ids.tobytes(), 0
+            for chunk, end in zip(part, (4 * cuts).tolist(), strict=True):
+                self.known[chunk] = data[start:end]
+                start = end
+        alone = [c for c in chunks if not (c[:1] == " " and not c[-1].isspace())]
+        self.known.update((c, ids.tobytes()) for c, ids in zip(alone, self.library(alone), strict=True))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text."""
+        if len(self.known) > CACHE:  # chunks in use move on to the next generation
+            self.known, self.older = {}, self.known
         chunks: list[list[str] | None] = []
         for text in texts:
             if any(s in text for s in self.specials):
                 chunks.append(None)
             else:
-                first, *later = CUT.split(text)
+                first, *later = CUT.split(text) if UNCLEAR.search(text) else text.split(" ")
                 chunks.append([first, *[" " + c for c in later]])
-        new = list({c for some in chunks if some is not None for c in some if c not in self.known})
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            self.known.update(zip(part, self.library(part), strict=True))
+        known, older, new = self.known, self.older, []
+        for chunk in {c for some in chunks if some is not None for c in some} - known.keys():
+            ids = older.get(chunk)
+            if ids is None:
+                new.append(chunk)
+            else:
+                known[chunk] = ids
+        self.learn(new)
         return [
-            np.frombuffer(
-                self.library([text])[0] if some is None else b"".join(map(self.known.__getitem__, some)), "<u4"
-            )
+            self.library([text])[0].tobytes() if some is None else b"".join(map(self.known.__getitem__, some))
             for text, some in zip(texts, chunks, strict=True)
         ]
 
@@ -178,13 +203,13 @@ def packed_segments(path: str, end_id: int):
         width = width_of(max(own.vocabulary, end_id + 1))
         schema = pa.schema([("segment", pa.binary())])
         documents, size = [], 0
-        end = np.array([end_id], "<u4")
+        end = struct.pack("<I", end_id)
         for b in incoming:
             ids_of, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for at in range(0, len(texts), 500):
-                for row_id, ids in zip(ids_of[at : at + 500], own.encode(texts[at : at + 500]), strict=True):
-                    documents.append((row_id, np.concatenate([ids, end])))
-                    size += len(ids) + 1
+            for at in range(0, len(texts), 100):
+                for row_id, ids in zip(ids_of[at : at + 100], own.encode(texts[at : at + 100]), strict=True):
+                    documents.append((row_id, ids + end))
+                    size += len(ids) // 4 + 1
                     if size >= SEGMENT_IDS:
                         yield batch([(segment(documents, width),)], schema)
                         documents, size = [], 0
@@ -201,7 +226,7 @@ def write_token_files(
     end_id: int,
     id_col: str = "doc_id",
     text_col: str = "text",
-    file_bytes: int = 48 << 20,
+    file_bytes: int = 32 << 20,
 ) -> None:
     """Encodes every text, appends `end_id` and writes files of about `file_bytes` of text.
 
@@ -240,16 +265,14 @@ def unpacked(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name, content in zip(b.column(0).to_pylist(), b.column(1), strict=True):
             before = 0
             for s in segments(content.as_py()):
-                rows, size = [], 0
-                for i in range(len(s.index)):
-                    ids = s.read_document(i)
-                    rows.append((name, s.row_id(i), before, len(ids), ids.tobytes()))
-                    before += len(ids)
-                    size += len(ids)
-                    if size > 1 << 20:
-                        yield batch(rows, ARROW_READ)
-                        rows, size = [], 0
-                yield batch(rows, ARROW_READ)
+                data, starts = s.read_range(0, s.ids).tobytes(), s.starts.tolist()
+                for first in range(0, len(s.index), 500):
+                    rows = []
+                    for i in range(first, min(first + 500, len(s.index))):
+                        a, b_ = starts[i], starts[i + 1]
+                        rows.append((name, s.row_id(i), before + a, b_ - a, data[4 * a : 4 * b_]))
+                    yield batch(rows, ARROW_READ)
+                before += s.ids
 
 
 def totals(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,14 +306,3 @@ def read_token_files(spark: SparkSession, folder: str, id_col: str = "doc_id") -
     return rows.join(starts, "file").select(
         F.col("row_id").alias(id_col), (F.col("file_start") + F.col("before")).alias("start"), "n_tokens", "ids"
     )
-
-
-ARROW_CRC = pa.schema(
-    [("row_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())]
-)
-
-
-def crc_of(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in incoming:
-        crc = [zlib.crc32(v) for v in b.column(3).to_pylist()]
-        yield pa.record_batch([b.column(0), b.column(1), b.column(2), pa.array(crc, pa.int64())], schema=ARROW_CRC)
