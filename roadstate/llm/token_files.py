@@ -44,7 +44,7 @@ MAGIC, VERSION, BLOCK = b"TIDS", 1, 4096
 SEGMENT_IDS = 1 << 20
 CUT = re.compile(r"(?<=\S) (?=\S)")
 UNCLEAR = re.compile(r"(?:^|\s) | (?:\s|$)")
-CACHE = 250_000
+CACHE = 150_000
 
 
 def width_of(vocabulary: int) -> int:
@@ -205,9 +205,9 @@ def packed_segments(path: str, end_id: int):
         documents, size = [], 0
         end = struct.pack("<I", end_id)
         for b in incoming:
-            ids_of, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for at in range(0, len(texts), 100):
-                for row_id, ids in zip(ids_of[at : at + 100], own.encode(texts[at : at + 100]), strict=True):
+            for at in range(0, b.num_rows, 100):
+                ids_of, texts = (c.to_pylist() for c in b.slice(at, 100).columns)
+                for row_id, ids in zip(ids_of, own.encode(texts), strict=True):
                     documents.append((row_id, ids + end))
                     size += len(ids) // 4 + 1
                     if size >= SEGMENT_IDS:
