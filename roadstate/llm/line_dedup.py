@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadstate.llm.common import batch, batches, text_or_empty, tuples, written
+from roadstate.llm.common import batch, batches, checkpointed, text_or_empty, tuples, written
 
 SEGMENT = 1 << 16  # bits
 SPACE = b" \t\n\x0b\x0c\r"
@@ -206,7 +206,8 @@ def repeated_lines(
         .where(F.col("n") >= min_docs)
         .select("key", "first")
     )
-    found = suspects.join(confirmed, "key")
+    # On its own, so that large partitions of the suspects can be split in the join.
+    found = suspects.join(checkpointed(confirmed), "key")
     lines = F.col("lines")
     if keep_first:
         lines = F.filter(
