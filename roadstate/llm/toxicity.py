@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from roadstate.llm.common import batches, fold, text_or_empty, tuples, written
 
 WINDOW, STRIDE = 48, 24
+GRAMS = (3, 5)  # bytes
 HIDDEN = 8
 EMBED = 4
 BUCKETS = 4096
@@ -47,18 +48,68 @@ def plain(token: bytes) -> bytes:
     return token.lower().strip(EDGE)
 
 
-def grams(word: bytes) -> list[str]:
-    """Character n-grams of a word with its edges marked."""
-    chars = "<" + word.decode("utf-8", "replace") + ">"
-    n = len(chars)
-    return [chars[i : i + 3] for i in range(n - 2)] + [chars[i : i + 5] for i in range(n - 4)]
+def grams(word: bytes) -> set[bytes]:
+    """Character n-grams of a word, in UTF-8, with its edges marked."""
+    chars = b"<" + word + b">"
+    return {chars[i : i + n] for n in GRAMS for i in range(len(chars) - n + 1)}
 
 
 def features_of(text: bytes) -> set[bytes]:
     """Words and, after a zero byte, character n-grams."""
     words = {plain(t) for t in set(text.split())} - {b""}
     parts = {g for w in words for g in grams(w)}
-    return words | {b"\0" + g.encode() for g in parts}
+    return words | {b"\0" + g for g in parts}
+
+
+class GramTable:
+    """Evidence of character n-grams, looked up for many words at once.
+
+    An n-gram is the number its bytes spell. A slot array leads from a hash of the
+    number to one entry, and the entry's number decides, so nothing is mistaken.
+    """
+
+    BITS = 20
+
+    def __init__(self, weights: dict[bytes, float]):
+        self.slots, self.keys, self.values = {}, {}, {}
+        for n in GRAMS:
+            some = {int.from_bytes(k[1:], "little"): v for k, v in weights.items() if k[:1] == b"\0" and len(k) == n + 1}
+            keys = np.array([0, *some], np.uint64)
+            slots = np.zeros(1 << self.BITS, np.int32)
+            slots[self.hash(keys[1:])] = np.arange(1, len(keys))
+            self.slots[n], self.keys[n] = slots, keys
+            self.values[n] = np.array([0.0, *some.values()], np.float32)
+
+    def hash(self, keys: np.ndarray) -> np.ndarray:
+        return (keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.BITS)
+
+    def of_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Strongest and mean evidence of each word's n-grams."""
+        text = b"".join([b"<" + w + b">" for w in words])
+        length = np.fromiter(map(len, words), np.int64, len(words)) + 2
+        starts = np.cumsum(length) - length
+        data = np.frombuffer(text, np.uint8).astype(np.uint64)
+        left = np.repeat(starts + length, length) - np.arange(len(data))  # bytes to the end of the word
+        high = np.zeros(len(words), np.float32)
+        low = np.zeros(len(words), np.float32)
+        total = np.zeros(len(words), np.float32)
+        count = np.zeros(len(words), np.float32)
+        for n in GRAMS:
+            if len(data) < n:
+                continue
+            number = np.zeros(len(data) - n + 1, np.uint64)
+            for j in range(n):
+                number |= data[j : j + len(number)] << np.uint64(8 * j)
+            entry = self.slots[n][self.hash(number)]
+            entry[(self.keys[n][entry] != number) | (left[: len(number)] < n)] = 0
+            value = np.zeros(len(data), np.float32)
+            value[: len(number)] = self.values[n][entry]
+            high = np.maximum(high, np.maximum.reduceat(value, starts))
+            low = np.minimum(low, np.minimum.reduceat(value, starts))
+            total += np.add.reduceat(value, starts)
+            count += np.maximum(length - n + 1, 0)
+        strong = np.where(high >= -low, high, low)
+        return strong, total / np.maximum(count, 1)
 
 
 def count_features(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,7 +153,7 @@ class Network:
     trained: bool = False
 
     def __post_init__(self) -> None:
-        self.parts = {k[1:].decode(): v for k, v in self.weights.items() if k[:1] == b"\0"}
+        self.table = GramTable(self.weights)
 
     def start(self, seed: int = 5) -> None:
         rng = np.random.default_rng(seed)
@@ -125,15 +176,16 @@ class Network:
             "bias": np.full(1, -2, np.float32),
         }
 
-    def inputs(self, token: bytes) -> tuple[tuple[float, float, float], int]:
-        """Word evidence, strongest and mean character evidence; hash of the word."""
-        word = plain(token)
-        own = self.weights.get(word, 0.0)
-        chars = grams(word) if word else []
-        parts = [v for v in map(self.parts.get, chars) if v is not None]
-        strong = max(parts, key=abs, default=0.0)
-        mean = sum(parts) / len(chars) if parts else 0.0
-        return (own / 4, strong / 4, mean / 2), zlib.crc32(word) % BUCKETS
+    def inputs(self, tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Word evidence, strongest and mean character evidence; hashes of the words."""
+        words = [t.lower().strip(EDGE) for t in tokens]
+        out = np.zeros((len(words), 3), np.float32)
+        if words:
+            get = self.weights.get
+            out[:, 0] = [get(w, 0.0) / 4 for w in words]
+            strong, mean = self.table.of_words(words)
+            out[:, 1], out[:, 2] = strong / 4, mean / 2
+        return out, np.array([zlib.crc32(w) % BUCKETS for w in words], np.int64)
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -215,16 +267,15 @@ def fit(net: Network, windows: list[list[bytes]], labels: np.ndarray, epochs: in
     """Adam over shuffled batches of windows."""
     net.start()
     rng = np.random.default_rng(3)
-    known: dict[bytes, tuple] = {}
+    words = list({w for some in windows for w in some})
+    values, hashes = net.inputs(words)
+    known = {w: i for i, w in enumerate(words)}
     x = np.zeros((len(windows), WINDOW, 3), np.float32)
     buckets = np.zeros((len(windows), WINDOW), np.int64)
     mask = np.zeros((len(windows), WINDOW), np.float32)
     for i, w in enumerate(windows):
-        for t, token in enumerate(w):
-            if token not in known:
-                known[token] = net.inputs(token)
-            x[i, t], buckets[i, t] = known[token]
-            mask[i, t] = 1
+        at = [known[token] for token in w]
+        x[i, : len(w)], buckets[i, : len(w)], mask[i, : len(w)] = values[at], hashes[at], 1
     first = {k: np.zeros_like(v) for k, v in net.params.items()}
     second = {k: np.zeros_like(v) for k, v in net.params.items()}
     step = 0
@@ -260,79 +311,82 @@ class Scorer:
             net.start()
         self.net, p = net, net.params
         self.index: dict[bytes, int] = {}
-        self.table = np.zeros((1024, 6 * HIDDEN), np.float32)
-        self.w = np.concatenate([p["wf"], p["wb"]], axis=1)
-        self.b = np.concatenate([p["bf"], p["bb"]])
+        # Projected inputs of known words, one table per direction.
+        self.tables = [np.zeros((1024, 3 * HIDDEN), np.float32) for _ in range(2)]
 
     def reset(self) -> None:
         """Forgets the words that came last; the earliest are mostly the frequent ones."""
         keep = TABLE // 3
         self.index = {t: i for t, i in self.index.items() if i < keep}
-        self.table = self.table[:keep].copy()
+        self.tables = [t[:keep].copy() for t in self.tables]
 
     def rows_of(self, tokens: list[bytes]) -> np.ndarray:
         index = self.index
-        new = [t for t in set(tokens) if t not in index]
+        new = list(set(tokens) - index.keys())
         if new:
-            raw = [self.net.inputs(t) for t in new]
-            x = np.concatenate(
-                [np.array([r[0] for r in raw], np.float32), self.net.params["embed"][[r[1] for r in raw]]], axis=1
-            )
-            start = len(index)
-            while start + len(new) > len(self.table):
-                self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-            self.table[start : start + len(new)] = x @ self.w + self.b
-            index.update(zip(new, range(start, start + len(new)), strict=True))
+            p = self.net.params
+            values, hashes = self.net.inputs(new)
+            x = np.concatenate([values, p["embed"][hashes]], axis=1)
+            start, end = len(index), len(index) + len(new)
+            for d, (w, b) in enumerate((("wf", "bf"), ("wb", "bb"))):
+                while end > len(self.tables[d]):
+                    self.tables[d] = np.concatenate([self.tables[d], np.zeros_like(self.tables[d])])
+                self.tables[d][start:end] = x @ p[w] + p[b]
+            index.update(zip(new, range(start, end), strict=True))
         return np.fromiter(map(index.__getitem__, tokens), np.int32, len(tokens))
 
     def logits(self, rows: np.ndarray, spans: np.ndarray) -> np.ndarray:
-        """Logits of windows given as (start, end) into the rows of the table."""
+        """Logits of windows given as (start, end) into the rows of the tables.
+
+        Windows lie along the last axis, so every gate is one contiguous block; the two
+        directions are the first axis.
+        """
         p, k = self.net.params, HIDDEN
         out = np.empty(len(spans), np.float32)
-        u = np.zeros((2 * k, 6 * k), np.float32)
-        u[:k, : 3 * k], u[k:, 3 * k :] = p["uf"], p["ub"]
-        # Columns grouped by gate: both directions of z, of r, of the candidate.
-        order = np.concatenate([np.r_[i * k : (i + 1) * k, 3 * k + i * k : 3 * k + (i + 1) * k] for i in range(3)])
-        u, table = u[:, order], self.table[:, order]
-        forth = np.concatenate([np.arange(k), np.arange(2 * k, 3 * k), np.arange(4 * k, 5 * k)])
-        for at in range(0, len(spans), 2048):
-            part = spans[at : at + 2048]
+        u = np.stack([p["uf"].T, p["ub"].T]).copy()
+        att = p["att"].T.copy()
+        forth, back = self.tables
+        for at in range(0, len(spans), 1024):
+            part = spans[at : at + 1024]
             n, length = len(part), part[:, 1] - part[:, 0]
             steps = int(length.max(initial=0))
             mask = (np.arange(steps)[:, None] < length).astype(np.float32)
+            full = bool(mask.all())
             where = np.minimum(part[:, 0] + np.arange(steps)[:, None], max(len(rows) - 1, 0))
             ids = rows[where] if len(rows) else np.zeros((steps, n), np.int32)
-            h = np.zeros((n, 2 * k), np.float32)
-            states = np.zeros((steps, n, 2 * k), np.float32)
-            full = bool(mask.all())
+            h = np.zeros((2, k, n), np.float32)
+            states = np.zeros((steps, 2, k, n), np.float32)
+            x = np.empty((2, 3 * k, n), np.float32)
             for t in range(steps):
-                x = table[ids[steps - 1 - t]]
-                x[:, forth] = table[ids[t]][:, forth]
-                hu = h @ u
-                zr = x[:, : 4 * k] + hu[:, : 4 * k]
-                np.negative(zr, out=zr)
-                np.exp(zr, out=zr)
-                zr += 1
-                np.reciprocal(zr, out=zr)
-                c = hu[:, 4 * k :]
-                c *= zr[:, 2 * k :]
-                c += x[:, 4 * k :]
+                x[0] = forth[ids[t]].T
+                x[1] = back[ids[steps - 1 - t]].T
+                hu = u @ h
+                gates = x[:, : 2 * k]
+                gates += hu[:, : 2 * k]
+                np.negative(gates, out=gates)
+                np.exp(gates, out=gates)
+                gates += 1
+                np.reciprocal(gates, out=gates)
+                c = hu[:, 2 * k :]
+                c *= gates[:, k:]
+                c += x[:, 2 * k :]
                 np.tanh(c, out=c)
                 c -= h
-                z = zr[:, : 2 * k]
+                z = gates[:, :k]
                 np.subtract(1, z, out=z)
                 c *= z
                 if not full:
-                    c[:, :k] *= mask[t][:, None]
-                    c[:, k:] *= mask[steps - 1 - t][:, None]
-                h = h + c
-                states[t, :, :k] = h[:, :k]
-                states[steps - 1 - t, :, k:] = h[:, k:]
-            e = np.tanh(states @ p["att"]) @ p["query"]
+                    c[0] *= mask[t]
+                    c[1] *= mask[steps - 1 - t]
+                h += c
+                states[t, 0] = h[0]
+                states[steps - 1 - t, 1] = h[1]
+            flat = states.reshape(steps, 2 * k, n)
+            e = np.einsum("k,tkn->tn", p["query"], np.tanh(att @ flat))
             e = np.exp(e) * mask
             alpha = e / np.maximum(e.sum(axis=0), 1e-9)
-            pooled = np.einsum("tn,tnk->nk", alpha, states)
-            out[at : at + n] = pooled @ p["out"] + p["bias"][0]
+            pooled = np.einsum("tn,tkn->kn", alpha, flat)
+            out[at : at + n] = p["out"] @ pooled + p["bias"][0]
         return out
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
@@ -390,7 +444,8 @@ def training_windows(net: Network, each: int = 4):
         def rows() -> Iterator[tuple]:
             for text, toxic in tuples(incoming):
                 words = text.split()
-                known = {w: sum(net.inputs(w)[0]) for w in set(words)}
+                distinct = list(set(words))
+                known = dict(zip(distinct, net.inputs(distinct)[0].sum(axis=1).tolist(), strict=True))
                 strength = np.array([known[w] for w in words])
                 spans = windows_of(len(words))
                 peak = [float(np.maximum(strength[a:b], 0).max(initial=0)) for a, b in spans]
