@@ -410,22 +410,22 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int, features: int, m
     """The network from the labelled rows outside the held-out fold."""
     marks = (
         labels.select(F.col("doc_id").cast("long").alias("label_id"), F.col("toxic").cast("int").alias("toxic"))
-        .where("toxic in (0, 1)")
+        .where(F.col("toxic").isin(0, 1) & (fold(F.col("label_id"), modulus) != held))
         .groupBy("label_id")
         .agg(F.max("toxic").alias("toxic"))
     )
-    labelled = (
-        docs.where(fold(F.col(id_col), modulus) != held)
-        .select(F.col(id_col).cast("long").alias("row_id"), text_or_empty(text_col).cast("binary").alias("text"))
-        .join(marks, F.col("row_id") == F.col("label_id"))
-        .select("row_id", "text", "toxic")
-    )
-    sizes = {r["toxic"]: r["count"] for r in labelled.groupBy("toxic").count().collect()}
+    sizes = {r["toxic"]: r["count"] for r in marks.groupBy("toxic").count().collect()}
     if len(sizes) < 2:
         return Network({})
     share = F.when(F.col("toxic") == 1, min(1.0, sample_docs / sizes[1])).otherwise(min(1.0, 2 * sample_docs / sizes[0]))
-    pick = F.pmod(F.xxhash64("row_id", F.lit("sample")), F.lit(1 << 20)) < share * (1 << 20)
-    chosen = written(labelled.where(pick).select("text", "toxic"), "toxicity-sample")
+    pick = F.pmod(F.xxhash64("label_id", F.lit("sample")), F.lit(1 << 20)) < share * (1 << 20)
+    # The sample is drawn from the labels, so what is broadcast is bounded by it and no text is shuffled.
+    chosen = written(
+        docs.select(F.col(id_col).cast("long").alias("row_id"), text_or_empty(text_col).cast("binary").alias("text"))
+        .join(F.broadcast(marks.where(pick)), F.col("row_id") == F.col("label_id"))
+        .select("text", "toxic"),
+        "toxicity-sample",
+    )
     taken = {r["toxic"]: r["count"] for r in chosen.groupBy("toxic").count().collect()}
     if len(taken) < 2:
         return Network({})
