@@ -16,6 +16,8 @@ from roadstate.llm.common import table, written
 from roadstate.llm.queries import VOCABULARY
 
 TOXIC = 0.7
+#: A document of which repeated lines make this share of the bytes is a copy, not a carrier of boilerplate.
+COPY_PERCENT = 50
 
 
 def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
@@ -31,8 +33,13 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines found in ten documents or more go everywhere; n_chars follows the text."""
-    kept = line_dedup.line_dedup(docs, min_docs=10, keep_first=False).drop("line_stats")
+    """Lines found in ten documents or more go, but the first of several copies keeps its own.
+
+    Rows that this leaves without text go too; n_chars follows the text.
+    """
+    found = line_dedup.line_dedup(docs, min_docs=10, keep_first=False, copy_percent=COPY_PERCENT)
+    emptied = (F.col("line_stats.n_dropped") > 0) & ~F.col("text").rlike(r"[^ \t\n\x0B\f\r]")
+    kept = found.where(~emptied).drop("line_stats")
     return kept.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else kept
 
 

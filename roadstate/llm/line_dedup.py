@@ -37,7 +37,13 @@ SEGMENT = 1 << 16  # bits
 SPACE = b" \t\n\x0b\x0c\r"
 ARROW_SEGMENT = pa.schema([("segment", pa.int32()), ("once", pa.binary()), ("twice", pa.binary())])
 ARROW_SUSPECT = pa.schema(
-    [("row_id", pa.int64()), ("mark", pa.int64()), ("key", pa.binary()), ("lines", pa.list_(pa.int32()))]
+    [
+        ("row_id", pa.int64()),
+        ("mark", pa.int64()),
+        ("size", pa.int64()),
+        ("key", pa.binary()),
+        ("lines", pa.list_(pa.int32())),
+    ]
 )
 ARROW_KEPT = pa.schema(
     [("row", pa.int64()), ("kept", pa.binary()), ("n_lines", pa.int64()), ("n_dropped", pa.int64())]
@@ -133,7 +139,7 @@ def merge_segments(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def suspect_rows(twice, bits: int, min_length: int):
-    """(row_id, mark, key, line numbers) of suspected keys, for each document."""
+    """(row_id, mark, bytes of all keys, key, line numbers) of suspected keys, for each document."""
 
     def run(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = SeenFilter(3)
@@ -153,8 +159,9 @@ def suspect_rows(twice, bits: int, min_length: int):
                     for n, key in enumerate(keys):
                         if key in lines:
                             lines[key].append(n)
+                    size = sum(map(len, keys))
                     for key, where in lines.items():
-                        yield row_id, mark, key, where
+                        yield row_id, mark, size, key, where
 
         return batches(rows(), ARROW_SUSPECT)
 
@@ -173,8 +180,39 @@ def drop_lines(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch(rows, ARROW_KEPT)
 
 
+def without_first_copies(found: DataFrame, copy_percent: int) -> DataFrame:
+    """(row_id, mark, lists of line numbers to drop), first copies spared.
+
+    `found` has (row_id, mark, size, key_id, weight, lines). A document whose confirmed
+    lines make `copy_percent` of its bytes or more is a copy; of every key the earliest
+    copy keeps all its lines.
+    """
+    at = F.struct("row_id", "mark").alias("at")  # a null id is equal to a null id
+    # Rows repeated with one id and text give their keys several times.
+    lost = F.aggregate(F.collect_set(F.struct("key_id", "weight")), F.lit(0).cast("long"), lambda s, k: s + k["weight"])
+    losing = found.groupBy(at).agg(lost.alias("lost"), F.first("size").alias("size"), F.collect_list("lines").alias("lines"))
+    copies = losing.where(F.col("lost") * 100 >= F.col("size") * copy_percent).select(F.col("at").alias("copy"))
+    stay = (
+        found.select(at, "row_id", "mark", "key_id", "lines")
+        .join(copies, F.col("at") == F.col("copy"), "left_semi")
+        .groupBy("key_id")
+        .agg(F.min(F.struct("row_id", F.col("lines")[0].alias("line"), "mark", "lines")).alias("first"))
+        .groupBy(F.struct("first.row_id", "first.mark").alias("keeper"))
+        .agg(F.flatten(F.collect_list("first.lines")).alias("stay"))
+    )
+    drop = F.transform("lines", lambda some: F.array_except(some, F.coalesce("stay", F.array().cast("array<int>"))))
+    return losing.join(stay, F.col("at") == F.col("keeper"), "left").select("at.row_id", "at.mark", drop.alias("lines"))
+
+
 def repeated_lines(
-    docs: DataFrame, id_col: str, text_col: str, min_docs: int, min_length: int, keep_first: bool, filter_bits: int
+    docs: DataFrame,
+    id_col: str,
+    text_col: str,
+    min_docs: int,
+    min_length: int,
+    keep_first: bool,
+    filter_bits: int,
+    copy_percent: int | None = None,
 ) -> DataFrame:
     """(row_id, mark, lists of line numbers to drop) per document that loses a line."""
     spark = docs.sparkSession
@@ -196,7 +234,7 @@ def repeated_lines(
             F.col(id_col).cast("long").alias("row_id"), F.xxhash64(text_col).alias("mark"), text.alias("text")
         ).mapInArrow(
             suspect_rows(shared, filter_bits, min_length),
-            "row_id long, mark long, key binary, lines array<int>",
+            "row_id long, mark long, size long, key binary, lines array<int>",
         ),
         "line-suspects",
     )
@@ -207,6 +245,13 @@ def repeated_lines(
         .select("key", "first")
     )
     # On its own, so that large partitions of the suspects can be split in the join.
+    if copy_percent is not None and not keep_first:
+        numbered = checkpointed(confirmed.select("key", F.monotonically_increasing_id().alias("key_id")))
+        weight = F.octet_length("key").cast("long") * F.size("lines")
+        found = suspects.join(numbered, "key").select(
+            "row_id", "mark", "size", "key_id", weight.alias("weight"), "lines"
+        )
+        return without_first_copies(written(found, "line-drops"), copy_percent)
     found = suspects.join(checkpointed(confirmed), "key")
     lines = F.col("lines")
     if keep_first:
@@ -224,17 +269,21 @@ def line_dedup(
     min_length: int = 1,
     keep_first: bool = True,
     filter_bits: int = 26,
+    copy_percent: int | None = None,
 ) -> DataFrame:
     """`docs` with repeated lines dropped from the text, plus `line_stats`.
 
     A key is the line without the white space around it, A-Z lower-cased. Keys found
     in at least `min_docs` rows lose all their lines, or all but the first occurrence.
+    With `copy_percent` and without `keep_first`, documents that would lose at least that
+    share of their bytes are copies of each other: the earliest of them that has a key
+    keeps its lines, so what only copies hold stays once.
     The other columns come back as they are; `line_stats` is a struct of n_lines
     (before dropping) and n_dropped.
     """
-    drops = repeated_lines(docs, id_col, text_col, min_docs, min_length, keep_first, filter_bits).select(
-        F.struct("row_id", "mark").alias("at"), "lines"
-    )
+    drops = repeated_lines(
+        docs, id_col, text_col, min_docs, min_length, keep_first, filter_bits, copy_percent
+    ).select(F.struct("row_id", "mark").alias("at"), "lines")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     at = F.struct(F.col(id_col).cast("long").alias("row_id"), F.xxhash64(text_col).alias("mark"))
     joined = docs.select(row, at.alias("here")).join(drops, F.col("here") == F.col("at"), "left")

@@ -81,3 +81,19 @@ def test_stages_against_brute_force(spark, tmp_path):
 
     whole = corpus_pipeline.run(spark, folder)
     assert Counter(r.doc_id for r in whole.collect()) == Counter(coded.keys())
+
+
+def test_one_of_many_copies_keeps_its_text(spark):
+    text = "\n".join(f"line {i} of a text that many hold\n---" for i in range(5))
+    own = lambda i: f"words of document {i} alone, more of them than the footer has"
+    docs = [(i, text) for i in range(100, 125)] + [(None if i == 0 else i, own(i) + "\nfooter") for i in range(12)]
+    docs += [(200 + i, text + f"\nedition {i}") for i in range(3)] + [(300, ""), (301, None)]
+    rows = spark.createDataFrame([(i, t, "xx", "s", len(t or "")) for i, t in docs], "doc_id long, text string, lang string, source string, n_chars long")
+    lines = corpus_pipeline.repeated_lines(spark, rows.repartition(3), "").cache()
+    assert lines.columns == COLUMNS and all(r.n_chars == len(r.text or "") for r in lines.collect())
+    got = dict(pairs(lines))
+    assert [i for i, t in got.items() if t and t.startswith("line 0")] == [100] and got[100] == text
+    assert set(got) == {100, 200, 201, 202, 300, 301, None, *range(1, 12)}
+    assert all(got[i or None] == own(i) for i in range(12)) and got[201] == "edition 1"
+    final = corpus_pipeline.near_duplicates(spark, lines, "")
+    assert [t for _, t in pairs(final)].count(text) == 1
