@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 
 from roadstate.llm import (
     bpe,
+    chat_format,
     decontaminate,
     exact_dedup,
+    hard_negatives,
+    lexical_search,
     line_dedup,
     lm_scoring,
     near_dedup,
@@ -107,6 +110,35 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tricky = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame(
+        [(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], "conv_id long, turn long, role string, text string"
+    )
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    folder = work_dir(spark, "chats")
+    chat_format.format_conversations(
+        chat_format.replayed(rows), folder, message_cols=("turn", "role", "copy", "row")
+    )
+    return chat_format.digests(chat_format.formatted(spark, folder))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    odd = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    moved = F.col("vec_id") % 7 == 0
+    own = rows.where(F.col("label").isNotNull() & F.col("embedding").isNotNull() & ~odd).select(
+        "vec_id",
+        F.when(moved, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"),
+        F.transform("embedding", lambda x: F.floor(x.cast("double") * 256)).alias("vector"),
+    )
+    return hard_negatives.hard_negatives(own, F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_token_files": op2_token_files,
@@ -118,6 +150,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_url_filter": op9_url_filter,
     "op10_line_dedup": op10_line_dedup,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_chat_format": op12_chat_format,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 LOWER = f"translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}')"
@@ -125,6 +160,9 @@ SPACE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 WORD = r"[a-z0-9\x{80}-\x{10FFFF}]+"
 
+#: A control string of the chat template behind any number of backslashes.
+CONTROL = r"[<\[]\\*(?:/?s>|<SYS>>|</SYS>>|/?INST\]|/?TURN\]|ROLE\])"
+
 ORACLE_SQL: dict[str, str] = {
     "op3_exact_dedup": f"""
         WITH d AS (SELECT doc_id, {LOWER} AS t FROM documents)
@@ -211,4 +249,68 @@ ORACLE_SQL: dict[str, str] = {
                sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
         FROM marked GROUP BY doc_id
     """,
+    "op11_lexical_search": f"""
+        WITH d AS (SELECT doc_id, regexp_extract_all({LOWER}, '{WORD}') AS w FROM documents),
+        b AS (SELECT item_id, regexp_extract_all({LOWER}, '{WORD}') AS w FROM benchmark),
+        n AS (SELECT doc_id, len(w)::BIGINT AS n FROM d WHERE len(w) > 0),
+        s AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM n),
+        tf AS (SELECT doc_id, t, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS t FROM d) GROUP BY doc_id, t),
+        df AS (SELECT t, count(*) AS df FROM tf GROUP BY t),
+        q AS (SELECT item_id, t, count(*) AS c FROM (SELECT item_id, unnest(w) AS t FROM b) GROUP BY item_id, t),
+        scored AS (
+            SELECT item_id, doc_id,
+                   sum(c * floor(1000 * ln((2 * docs + 2) / (2 * df + 1)))::BIGINT
+                       * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // terms))))::BIGINT AS score
+            FROM q JOIN tf USING (t) JOIN df USING (t) JOIN n USING (doc_id) CROSS JOIN s
+            GROUP BY item_id, doc_id
+        )
+        SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+        FROM scored WHERE score > 0
+        QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 10
+    """,
+    "op12_chat_format": f"""
+        WITH c AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS said FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+        ),
+        f AS (
+            SELECT *, length(said) + len(regexp_extract_all(said, '{CONTROL}')) + CASE role
+                WHEN 'user' THEN 16 WHEN 'assistant' THEN 10 WHEN 'system' THEN 18
+                ELSE 24 + length(role) + len(regexp_extract_all(role, '{CONTROL}')) END AS size
+            FROM c
+        )
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || said || chr(10), '' ORDER BY turn)) AS turns_sha256,
+               coalesce(sum(length(said)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(said, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+               sum(size)::BIGINT AS formatted_chars
+        FROM f GROUP BY conv_id
+    """,
+    "op13_hard_negatives": """
+        WITH v AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(x::DOUBLE * 256)) AS q
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        s AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+                   list_inner_product(a.q, b.q)::BIGINT AS score
+            FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+        ),
+        p AS (
+            SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+        ),
+        n AS (
+            SELECT anchor_id, positive_id, other AS negative_id, positive_score, score AS negative_score,
+                   row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) AS rank
+            FROM p JOIN s USING (anchor_id)
+            WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+        )
+        SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score
+        FROM n WHERE rank <= 5
+    """,
 }
