@@ -4,12 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from roadstate.operators.series import SeriesLayout, running_last, running_sum
 from roadstate.schemas import ROUTE_KEYS
 
 ASOF_KEYS = [*ROUTE_KEYS, "hour", "day_of_week"]
+#: Order of a point-in-time match: features before events at one time. The last column
+#: says nothing about the match; by it, a key whose events share one time can be cut.
+ASOF_ORDER = ("_time", "_side", "_tie")
+
+
+def tie_breaker(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
+    """A hash of the row, which sets rows of equal time apart (except copies)."""
+    names = [f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    return F.xxhash64(*[F.col(f"`{c}`") for c in names if columns is None or c in columns])
 
 
 def asof_left(
@@ -35,11 +44,12 @@ def asof_left(
         *keys,
         F.col(right_ts).alias("_time"),
         F.lit(0).alias("_side"),
+        F.lit(0).cast("long").alias("_tie"),
         record.alias("_match"),
     )
-    event_rows = left.withColumns({"_time": F.col(left_ts), "_side": F.lit(1)})
+    event_rows = left.withColumns({"_time": F.col(left_ts), "_side": F.lit(1), "_tie": tie_breaker(left)})
     both = event_rows.unionByName(feature_rows, allowMissingColumns=True)
-    latest = running_last(both, "_match", keys, ("_time", "_side"), layout)
+    latest = running_last(both, "_match", keys, ASOF_ORDER, layout)
     return latest.where(F.col("_side") == 1).select(
         *left.columns,
         *[F.col(f"_match.{c}").alias(c) for c in payload],

@@ -8,7 +8,8 @@ measures the keys first (one narrow aggregate with map-side combine):
 
 * no key above the row limit: windows partition by the key alone, one shuffle;
 * some keys above it: only those are cut into *segments*, consecutive ranges of
-  the order column holding about the row limit each. Windows then partition by
+  the whole order tuple holding about the row limit each, so rows tied in the first
+  order column are cut by the next ones. Windows then partition by
   ``(key, segment)``. What a segment has to know about the rows before it
   travels either as a *halo* (copies of the last n rows, for bounded frames) or
   as a *carry* (one summary row per segment, for unbounded state).
@@ -17,47 +18,36 @@ Results do not depend on where the cuts fall; only the balance does.
 
 Bounds: the row limit is raised to ``total / MAX_HOT_KEYS``, so by pigeonhole
 there are fewer than ``MAX_HOT_KEYS`` hot keys, and their broadcast is bounded.
-The cut points are at most ``MAX_SEGMENTS`` numbers.
+The cut points are at most ``MAX_SEGMENTS`` order tuples, chosen from a sample of at
+most about ``MAX_SAMPLE``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 from functools import reduce
 from math import ceil
 from operator import and_
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from roadstate.functions.scalars import seconds_between
 from roadstate.schemas import ROUTE_KEYS
 
 MAX_ROWS = 5_000_000
 MAX_HOT_KEYS = 100_000
 MAX_SEGMENTS = 20_000
 SAMPLES_PER_SEGMENT = 20
+MAX_SAMPLE = 100_000
 
 SEGMENT = "_segment"
 HALO = "_halo"
-_ORDINAL = "_ordinal"
 _HOT = "_hot"
-
-
-def ordinal(df: DataFrame, name: str) -> Column:
-    """The order column as a double, for placing cuts only."""
-    dtype = df.schema[name].dataType
-    if isinstance(dtype, T.TimestampNTZType):
-        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-        return seconds_between(epoch, name).cast("double")
-    if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(F.col(name)).cast("double")
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(F.col(name)).cast("double")
-    if isinstance(dtype, T.NumericType):
-        return F.col(name).cast("double")
-    raise ValueError(f"order column {name} must be numeric or temporal, not {dtype.simpleString()}")
+#: All digits of a time, so that a cut point is read back as it was written.
+_AS_TEXT = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
 
 
 def same_keys(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -68,6 +58,42 @@ def same_keys(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str) ->
     return df.join(renamed, match, how).drop(*theirs.values())
 
 
+@dataclass(frozen=True)
+class Cuts:
+    """Cut points of split series: sorted order tuples, as one JSON text."""
+
+    columns: tuple[str, ...]
+    schema: str
+    points: str
+    count: int
+
+    @classmethod
+    def choose(cls, positions: DataFrame, columns: tuple[str, ...], segments: int) -> Cuts:
+        """``segments - 1`` points at equal steps through a sample of order tuples."""
+        tuples = positions.select(*columns)
+        found = tuples.orderBy(*columns).collect()
+        at = {len(found) * i // segments for i in range(1, segments)}
+        chosen = tuples.sparkSession.createDataFrame([found[i] for i in sorted(at) if i < len(found)], tuples.schema)
+        text = chosen.distinct().agg(F.to_json(F.collect_list(F.struct(*columns)), _AS_TEXT).alias("p")).first()["p"]
+        fields = ", ".join(f"`{f.name}`: {f.dataType.simpleString()}" for f in tuples.schema)
+        return cls(columns, f"array<struct<{fields}>>", text, len(at))
+
+    def segment(self) -> Column:
+        """Number of cut points at or before the row, by binary search.
+
+        The list is a constant of the plan. The search is a fold over falling powers of
+        two: a step is taken when the point it leads to is not above the row.
+        """
+        points = F.sort_array(F.from_json(F.lit(self.points), self.schema, _AS_TEXT))
+        row = F.struct(*self.columns)
+        steps = [1 << i for i in reversed(range(max(1, self.count.bit_length())))]
+
+        def step(at: Column, size: Column) -> Column:
+            return F.when(F.get(points, at + size - 1) <= row, at + size).otherwise(at)
+
+        return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), step)
+
+
 @dataclass(frozen=True)
 class SeriesLayout:
     """How the series of one data set are spread over tasks."""
@@ -75,7 +101,7 @@ class SeriesLayout:
     keys: tuple[str, ...]
     order: tuple[str, ...]
     hot: DataFrame | None = None
-    cuts: tuple[float, ...] = field(default=())
+    cuts: Cuts | None = None
 
     @classmethod
     def measure(
@@ -105,13 +131,11 @@ class SeriesLayout:
         segments = min(MAX_SEGMENTS, ceil(hot_rows / limit) + 1)
         # Cut points only steer the balance, so a sample is enough to place
         # them; every row is kept whatever they are.
-        fraction = min(1.0, SAMPLES_PER_SEGMENT * segments / hot_rows)
-        positions = same_keys(df, F.broadcast(hot), keys, "inner").select(ordinal(df, order[0]).alias(_ORDINAL))
+        fraction = min(1.0, min(SAMPLES_PER_SEGMENT * segments, MAX_SAMPLE) / hot_rows)
+        positions = same_keys(df, F.broadcast(hot), keys, "inner").select(*order)
         if fraction < 1.0:
             positions = positions.sample(fraction, seed=11)
-        steps = [i / segments for i in range(1, segments)]
-        cuts = positions.approxQuantile(_ORDINAL, steps, 0.25 / segments)
-        return cls(keys, order, hot, tuple(sorted(set(cuts))))
+        return cls(keys, order, hot, Cuts.choose(positions, order, segments))
 
     @property
     def split(self) -> bool:
@@ -130,17 +154,7 @@ class SeriesLayout:
         if not self.split:
             return df
         marked = same_keys(df, F.broadcast(self.hot), self.keys, "left")
-        placed = marked.withColumn(
-            _ORDINAL, F.coalesce(ordinal(df, self.order[0]), F.lit(float("-inf")))
-        )
-        cutter = Bucketizer(
-            splits=[float("-inf"), *self.cuts, float("inf")],
-            inputCol=_ORDINAL,
-            outputCol=SEGMENT,
-            handleInvalid="keep",
-        )
-        number = F.when(F.col(_HOT), F.col(SEGMENT).cast("int"))
-        return cutter.transform(placed).withColumn(SEGMENT, number).drop(_HOT, _ORDINAL)
+        return marked.withColumn(SEGMENT, F.when(F.col(_HOT), self.cuts.segment())).drop(_HOT)
 
     def with_halo(self, df: DataFrame, rows: int) -> DataFrame:
         """Give every segment a copy of the ``rows`` rows before it.
@@ -206,9 +220,14 @@ def layout_for(
     order: Sequence[str],
     layout: SeriesLayout | None = None,
 ) -> SeriesLayout:
-    """Reuse ``layout`` when it fits, otherwise measure ``df``."""
-    if layout is not None and layout.keys == tuple(keys) and layout.order[0] == tuple(order)[0]:
-        return replace(layout, order=tuple(order))
+    """Reuse ``layout`` when it fits, otherwise measure ``df``.
+
+    Segments cut by some order are ranges of every order that begins with it.
+    """
+    if layout is not None and layout.keys == tuple(keys):
+        cut = layout.cuts.columns if layout.cuts else ()
+        if tuple(order)[: len(cut)] == cut:
+            return replace(layout, order=tuple(order))
     return SeriesLayout.measure(df, keys, order)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from roadstate.functions.scalars import now_ntz
 from roadstate.functions.slugs import safe_name
-from roadstate.operators.asof import ASOF_KEYS, asof_left
+from roadstate.operators.asof import ASOF_KEYS, ASOF_ORDER, asof_left, tie_breaker
 from roadstate.operators.enrich import latest_row
 from roadstate.operators.projections import cast_all
 from roadstate.operators.series import SeriesLayout
@@ -38,8 +38,11 @@ def training_set(
     if layout is None:
         # Only the events can pile up on a key; the features have one row per
         # key and cutoff. Measured on the bare keys, before any feature work.
-        bare = rows.select(*ASOF_KEYS, F.col("event_ts").alias("_time"))
-        layout = SeriesLayout.measure(bare, ASOF_KEYS, ("_time",))
+        # The hash is computed only if a key has to be cut.
+        bare = rows.select(
+            *ASOF_KEYS, F.col("event_ts").alias("_time"), F.lit(1).alias("_side"), tie_breaker(rows).alias("_tie")
+        )
+        layout = SeriesLayout.measure(bare, ASOF_KEYS, ASOF_ORDER)
     joined = asof_left(rows, known, payload=LONGTERM_FEATURES, layout=layout)
     newest = F.col("feature_source_cutoff").desc_nulls_last()
     single = latest_row(

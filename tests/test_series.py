@@ -250,3 +250,60 @@ def test_records_without_a_key_are_split_too(spark):
     ):
         whole, *split = [run(x) for x in forms]
         assert whole and all(s == whole for s in split)
+
+
+def tied(spark, rows=400):
+    """One key with a third of the rows, all with one value in the first order column."""
+    rng = random.Random(9)
+    data = [
+        ("hot" if i % 3 == 0 else f"k{rng.randrange(40)}", 5 if i % 3 == 0 else rng.randrange(9),
+         rng.choice([None, "a", "b", "ü"]), rng.choice([None, 1.5, float("nan"), -2.0]), i, rng.choice([None, i]))
+        for i in range(rows)
+    ]
+    return spark.createDataFrame(data, "key string, a int, b string, c double, id long, v long").repartition(3)
+
+
+def test_tied_first_order_column_is_cut(spark):
+    df, order = tied(spark).cache(), ("a", "b", "c", "id")
+    whole = SeriesLayout.measure(df, ["key"], order)
+    for n in (40, 7):
+        split = SeriesLayout.measure(df, ["key"], order, max_rows=n)
+        sizes = split.assign(df).where("key = 'hot'").groupBy(SEGMENT).count().collect()
+        assert len(sizes) > 2 and max(r["count"] for r in sizes) <= 3 * n
+        for run in (
+            lambda x: rows_of(series_rank(df, ["key"], order, layout=x), "id", "position"),
+            lambda x: rows_of(running_last(df, "v", ["key"], order, x), "id", "v"),
+            lambda x: rows_of(running_sum(df, "id", ["key"], order, x), "key", "a", "b", "id"),
+            lambda x: rows_of(enrich.with_lags(df, {"id": "p"}, 3, ["key"], order, x), "id", "p_1", "p_2", "p_3"),
+        ):
+            assert run(split) == run(whole)
+
+
+def test_cut_points_are_a_constant_of_the_plan(spark):
+    df = tied(spark)
+    split = SeriesLayout.measure(df, ["key"], ("a", "b", "c", "id"), max_rows=7)
+    plan = split.assign(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json" not in plan and "sort_array" not in plan
+
+
+def test_times_keep_their_digits_as_cut_points(spark):
+    micro = "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id / 1000000)"
+    df = spark.range(500).selectExpr("1 AS key", f"{micro} AS t", f"CAST({micro} AS timestamp) AS u", "id")
+    for order in (("t",), ("u",)):
+        split = SeriesLayout.measure(df, ["key"], order, max_rows=50)
+        sizes = [r["count"] for r in split.assign(df).groupBy(SEGMENT).count().collect()]
+        assert len(sizes) >= 8 and max(sizes) < 130
+        assert rows_of(series_rank(df, ["key"], order, layout=split), "id", "position") == [(i, i + 1) for i in sorted(range(500), key=lambda i: repr((i, i + 1)))]
+
+
+def test_asof_with_one_time_for_all_events(spark):
+    rows = [record(i, "hot", 60, float(i)) for i in range(200)] + [record(900 + i, f"R{i}", 60) for i in range(100)]
+    df = frame(spark, rows)
+    cut = "timestamp_ntz'2024-01-01 00:30:00'"
+    right = df.select(*asof.ASOF_KEYS).distinct().withColumns({"source_cutoff": F.expr(cut), "v": F.lit(1.0)})
+    bare = df.select(*asof.ASOF_KEYS, F.col("event_ts").alias("_time"), F.lit(1).alias("_side"), asof.tie_breaker(df).alias("_tie"))
+    layout = SeriesLayout.measure(bare, asof.ASOF_KEYS, asof.ASOF_ORDER, max_rows=20)
+    assert layout.assign(bare).where("road_name = 'hot'").select(SEGMENT).distinct().count() > 4
+    got = asof.asof_left(df, right, payload=["v"], layout=layout)
+    assert got.count() == 300 and got.where("v IS NULL").isEmpty()
+    assert rows_of(got) == rows_of(asof.asof_left(df, right, payload=["v"]))
