@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from dataclasses import dataclass
 from itertools import islice
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from roadstate.functions.scalars import now_ntz
 from roadstate.operators.features import ONLINE_TTL_SECONDS
@@ -48,3 +49,34 @@ def publish_online(
             writer(chunk, ttl_seconds)
 
     online_records(snapshot, updated_at, fields).foreachPartition(send)
+
+
+@dataclass(frozen=True)
+class SnapshotTable:
+    """Versions of the online snapshot in a folder, for look-ups by join.
+
+    A version is visible when it is complete, and a reader that has loaded one keeps it
+    until it asks for the newest again.
+    """
+
+    spark: SparkSession
+    path: str
+
+    def newest(self) -> int | None:
+        """Number of the newest complete version."""
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        marks = hadoop(f"{self.path}/version=*/_SUCCESS")
+        store = marks.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        found = store.globStatus(marks) or []
+        return max((int(s.getPath().getParent().getName().split("=")[1]) for s in found), default=None)
+
+    def publish(self, snapshot: DataFrame) -> int:
+        """Write the next version; returns its number."""
+        number = (self.newest() or 0) + 1
+        snapshot.write.parquet(f"{self.path}/version={number}")
+        return number
+
+    def load(self, number: int | None = None) -> DataFrame | None:
+        """A version, the newest by default; None when there is none."""
+        number = self.newest() if number is None else number
+        return None if number is None else self.spark.read.parquet(f"{self.path}/version={number}")
