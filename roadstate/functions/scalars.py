@@ -105,6 +105,19 @@ def route_key(*cols: str) -> Column:
     return F.concat_ws("|", *[F.coalesce(_col(c), F.lit("")) for c in cols or ROUTE_KEYS])
 
 
+def online_route(road: str = "road_name", district: str = "district", city: str = "city") -> Column:
+    """The part of an online key that belongs to the route."""
+    return F.concat_ws(":", F.lit("traffic:longterm"), slug(city), slug(district), slug(road))
+
+
+def online_slot(route: Column | str, hour: str = "hour", dow: str = "day_of_week") -> Column:
+    """An online key from its route part; absent hour or weekday count as 0."""
+    number = F.coalesce(_col(hour).cast("int"), F.lit(0))
+    digits = F.when(number.between(0, 9), F.concat(F.lit("0"), number.cast("string"))).otherwise(number.cast("string"))
+    weekday = F.coalesce(_col(dow).cast("int"), F.lit(0)).cast("string")
+    return F.concat(_col(route), F.lit(":h"), digits, F.lit(":dow"), weekday)
+
+
 def online_key(
     road: str = "road_name",
     district: str = "district",
@@ -113,14 +126,7 @@ def online_key(
     dow: str = "day_of_week",
 ) -> Column:
     """Key of the online feature store; absent hour or weekday count as 0."""
-    return F.format_string(
-        "traffic:longterm:%s:%s:%s:h%02d:dow%d",
-        slug(city),
-        slug(district),
-        slug(road),
-        F.coalesce(_col(hour).cast("int"), F.lit(0)),
-        F.coalesce(_col(dow).cast("int"), F.lit(0)),
-    )
+    return online_slot(online_route(road, district, city), hour, dow)
 
 
 # -- JSON ---------------------------------------------------------------------

@@ -168,18 +168,20 @@ def enrich_series(
     order: Sequence[str] = ("seq",),
     time_text: str = "timestamp",
     full_only: bool = True,
-    emit_order: str | None = None,
+    emit_order: str | Mapping[str, str] | None = None,
     layout: SeriesLayout | None = None,
 ) -> DataFrame:
     """``with_lags`` then ``count_window`` on one shuffle and one sort.
 
     The emitted record may be one of the ``size - 1`` rows before a segment, and
-    its lags reach ``n`` rows further back, hence the longer halo.
+    its lags reach ``n`` rows further back, hence the longer halo. ``emit_order`` names a
+    column for the first order column of the arriving row, or maps several of its
+    columns to names.
     """
     layout = layout_for(df, keys, order, layout)
     rows = layout.with_halo(df, n + size - 1)
     lagged = rows.withColumns(_lag_columns(lags, n, layout.window()))
-    emitted = {order[0]: emit_order} if emit_order else {}
+    emitted = {order[0]: emit_order} if isinstance(emit_order, str) else emit_order or {}
     return layout.without_halo(
         _window_columns(lagged, rolling, size, layout.window(), time_text, full_only, emitted)
     )

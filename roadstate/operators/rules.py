@@ -11,24 +11,28 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from roadstate.functions.scalars import minutes_between, parse_time, severity
-from roadstate.operators.series import SEGMENT, SeriesLayout, layout_for
+from roadstate.operators.series import SEGMENT, SeriesLayout, layout_for, same_keys
 from roadstate.schemas import ROUTE_KEYS
 
 
-def low_speed_runs(
+def speed_runs(
     df: DataFrame,
     speed: float = 10.0,
     keys: Sequence[str] = tuple(ROUTE_KEYS),
     order: Sequence[str] = ("seq",),
     layout: SeriesLayout | None = None,
+    opening: DataFrame | None = None,
 ) -> DataFrame:
-    """Add run length and run start to every low-speed row; drop the others.
+    """Add the low-speed flag, run length and run start to every row.
 
     A run is a stretch of rows below ``speed``; a missing speed counts as 0.
     The row time comes from ``timestamp``; where it does not parse, from
     ``ingested_at`` or else the current time. Instead of numbering islands, the row that starts a
     run marks its position and time, and the rows after it take the latest
     mark: one sort, and no run has to be collected.
+
+    ``opening`` holds the runs still open before the first row of a key (``keys``,
+    ``open_length``, ``open_start``), as ``open_runs`` leaves them for later rows.
     """
     layout = layout_for(df, keys, order, layout)
     window = layout.window()
@@ -55,8 +59,20 @@ def low_speed_runs(
             "run_start": F.col("_mark._ts"),
         }
     )
+    if opening is not None:
+        opening = opening.select(
+            *keys, F.col("open_length").alias("_open_length"), F.col("open_start").alias("_open_start")
+        )
     if layout.split:
-        rows = layout.attach(rows, _open_runs(rows, layout))
+        carry = _carried_runs(rows, layout, opening)
+        if opening is not None:
+            # Keys that stay whole have no segment number.
+            whole = opening.withColumn(SEGMENT, F.lit(None).cast("int"))
+            carry = carry.unionByName(whole)
+        rows = layout.attach(rows, carry)
+    elif opening is not None:
+        rows = same_keys(rows, opening, keys, "left")
+    if layout.split or opening is not None:
         # Only the run that opens a segment can continue an earlier one.
         continues = F.col("_low") & (F.col("_mark._at") == 1) & (F.col("_open_length") > 0)
         rows = rows.withColumns(
@@ -66,11 +82,43 @@ def low_speed_runs(
                 "run_start": F.when(continues, F.col("_open_start")).otherwise(F.col("run_start")),
             }
         ).drop("_open_length", "_open_start")
-    return rows.where("_low").drop("_low", "_at", "_starts", "_mark", SEGMENT)
+    return rows.drop("_at", "_starts", "_mark", SEGMENT)
+
+
+def low_speed_runs(
+    df: DataFrame,
+    speed: float = 10.0,
+    keys: Sequence[str] = tuple(ROUTE_KEYS),
+    order: Sequence[str] = ("seq",),
+    layout: SeriesLayout | None = None,
+) -> DataFrame:
+    """The low-speed rows of ``speed_runs``."""
+    return speed_runs(df, speed, keys, order, layout).where("_low").drop("_low")
 
 
-def _open_runs(rows: DataFrame, layout: SeriesLayout) -> DataFrame:
-    """Length and start of the run still open when each segment begins."""
+def open_runs(
+    runs: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    opening: DataFrame | None = None,
+) -> DataFrame:
+    """``keys``, ``open_length``, ``open_start`` of the runs open after the rows of ``speed_runs``.
+
+    Keys of ``opening`` without rows since then stay as they were.
+    """
+    newest = F.max_by(F.struct("_low", "run_length", "run_start"), F.struct(*order)).alias("_end")
+    last = runs.groupBy(*keys).agg(newest)
+    still = last.where("_end._low").select(
+        *keys, F.col("_end.run_length").alias("open_length"), F.col("_end.run_start").alias("open_start")
+    )
+    return still if opening is None else still.unionByName(same_keys(opening, last.select(*keys), keys, "left_anti"))
+
+
+def _carried_runs(rows: DataFrame, layout: SeriesLayout, opening: DataFrame | None = None) -> DataFrame:
+    """Length and start of the run still open when each segment begins.
+
+    What was open before all rows stands before the first segment.
+    """
     last = F.max_by(
         F.struct("_low", "run_length", "run_start", F.col("_mark._at").alias("_from")),
         F.struct(*layout.order),
@@ -83,6 +131,16 @@ def _open_runs(rows: DataFrame, layout: SeriesLayout) -> DataFrame:
         # was open before it.
         (F.col("_end._low") & (F.col("_end._from") == 1)).alias("_whole"),
     )
+    if opening is not None:
+        ends = ends.unionByName(
+            opening.select(
+                *layout.keys,
+                F.lit(-1).alias(SEGMENT),
+                F.col("_open_length").alias("_trailing"),
+                F.col("_open_start").alias("_since"),
+                F.lit(False).alias("_whole"),
+            )
+        )
     by_segment = Window.partitionBy(*layout.keys).orderBy(SEGMENT)
     so_far = by_segment.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     chained = ends.withColumn("_chain", F.sum(F.when(F.col("_whole"), 0).otherwise(1)).over(so_far))
@@ -138,6 +196,13 @@ def congestion_alerts(
 ) -> DataFrame:
     """Alert on every low row once a run has ``events`` rows or ``minutes``."""
     runs = low_speed_runs(df, speed, ROUTE_KEYS, order, layout)
+    return congestion_from_runs(runs, speed, events, minutes, order)
+
+
+def congestion_from_runs(
+    runs: DataFrame, speed: float, events: int, minutes: int, order: Sequence[str]
+) -> DataFrame:
+    """The alerts among low-speed rows with their run length and start."""
     count, duration = F.col("run_length"), minutes_between("run_start", "_ts")
     fired = runs.where((count >= events) | (duration >= minutes))
     return fired.select(*order, *congestion_record(speed, events, minutes, count, duration))

@@ -6,7 +6,7 @@ text spells the semantics out in its own way; nothing here is run by Spark.
 
 from __future__ import annotations
 
-from roadstate.schemas import CALENDAR, LAGS, ROLLING
+from roadstate.schemas import CALENDAR, LAGS, MODEL_FEATURES, ROLLING
 
 _D = "::DOUBLE"
 
@@ -88,6 +88,16 @@ def enriched(order: str, source: str = "ev", name: str = "enriched") -> str:
     )
 
 
+def chained(order: str, source: str = "filled") -> str:
+    """Enriched records with the arrival they were emitted at; an absent accident count is 0."""
+    return enriched(order, source).replace(
+        f"windows AS (SELECT {_rolling(order)} FROM lagged)",
+        f"windows AS (SELECT seq AS emit_seq, {_rolling(order)} FROM lagged)",
+    ).replace("SELECT l.*, w.rolling_avg_speed_3", "SELECT l.*, w.emit_seq, w.rolling_avg_speed_3") + (
+        ", chain AS (SELECT * REPLACE (coalesce(accident_count, 0) AS accident_count) FROM enriched)"
+    )
+
+
 def near(c: str) -> str:
     """Four decimals, ties and last-bit noise going up in both engines."""
     return f"floor(CAST({c} AS DOUBLE) * 10000.0{_D} + 0.50001{_D}) / 10000.0{_D}"
@@ -101,12 +111,12 @@ LAG_OUT = [f"{p}_{k}" for p in LAGS.values() for k in (1, 2, 3)]
 ROLL_OUT = list(ROLLING.values())
 
 
-def runs(order: str, speed: str = "10") -> str:
+def runs(order: str, speed: str = "10", source: str = "ev") -> str:
     """Gaps and islands: every reset row opens a new island."""
     return f"""flagged AS (
   SELECT *, coalesce(avg_speed, 0) < {speed} AS low, CAST(replace("timestamp", 'T', ' ') AS TIMESTAMP) AS t,
     sum(CASE WHEN coalesce(avg_speed, 0) >= {speed} THEN 1 ELSE 0 END)
-      OVER (PARTITION BY {ROUTE} ORDER BY {order} ROWS UNBOUNDED PRECEDING) AS island FROM ev),
+      OVER (PARTITION BY {ROUTE} ORDER BY {order} ROWS UNBOUNDED PRECEDING) AS island FROM {source}),
 counted AS (
   SELECT *, row_number() OVER w AS n, first_value(t) OVER w AS t0 FROM flagged WHERE low
   WINDOW w AS (PARTITION BY {ROUTE}, island ORDER BY {order})),
@@ -123,10 +133,10 @@ CONGESTION_OUT = f"""SELECT seq, 'long_congestion' AS alert_type,
   n >= 3 AS by_events, minutes >= 30 AS by_duration FROM congestion"""
 
 
-def history(order: str) -> str:
+def history(order: str, source: str = "ev") -> str:
     frame = f"OVER (PARTITION BY {ROUTE} ORDER BY {order} ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING)"
     return f"""history AS (
-  SELECT *, coalesce(avg(accident_count) {frame}, 0) AS m, coalesce(max(accident_count) {frame}, 0) AS p FROM ev),
+  SELECT *, coalesce(avg(accident_count) {frame}, 0) AS m, coalesce(max(accident_count) {frame}, 0) AS p FROM {source}),
 accidents AS (
   SELECT *, accident_count > 0 AND p = 0 AS first_one,
     accident_count > 0 AND accident_count >= greatest(1, m * 3) AS spike, accident_count >= 2 AS multi
@@ -265,14 +275,25 @@ PROFILES = {
 }
 
 
-def _prediction() -> str:
+# A model over all features: parameters by rule, so that they differ between features.
+WIDE_FILL = tuple(float(5 + 3 * i % 17) for i in range(len(MODEL_FEATURES)))
+WIDE_MEAN = tuple(float(4 + 7 * i % 23) for i in range(len(MODEL_FEATURES)))
+WIDE_SCALE = tuple(float(10 + 11 * i % 29) for i in range(len(MODEL_FEATURES)))
+WIDE_CENTROIDS = tuple(
+    tuple(((7 * i + 13 * k) % 9 - 4) / 4 for i in range(len(MODEL_FEATURES))) for k in range(3)
+)
+
+
+def _prediction(
+    source: str = "ev", features=MODEL_SQL_FEATURES, fills=FILL, means=MEAN, scales=SCALE, centroids=CENTROIDS
+) -> str:
     z = [
-        f"(coalesce({f}, {fill}{_D}) - {mean}{_D}) / {scale}{_D}"
-        for f, fill, mean, scale in zip(MODEL_SQL_FEATURES, FILL, MEAN, SCALE, strict=True)
+        f"(coalesce(CAST({f} AS DOUBLE), {fill}{_D}) - {mean}{_D}) / {scale}{_D}"
+        for f, fill, mean, scale in zip(features, fills, means, scales, strict=True)
     ]
     distances = ", ".join(
         " + ".join(f"(({c}) - ({x}{_D})) * (({c}) - ({x}{_D}))" for c, x in zip(z, centre, strict=True)) + f" AS d{k}"
-        for k, centre in enumerate(CENTROIDS)
+        for k, centre in enumerate(centroids)
     )
     nxt = " ".join(f"WHEN {a} THEN {b}" for a, b in TRANSITIONS.items())
     fields = ["status", "speed", "delay"]
@@ -282,7 +303,7 @@ def _prediction() -> str:
         + f" END AS exp_{name}"
         for i, name in enumerate(fields)
     )
-    return f"""near AS (SELECT *, {distances} FROM ev),
+    return f"""near AS (SELECT *, {distances} FROM {source}),
 assigned AS (
   SELECT *, CASE WHEN d0 <= d1 AND d0 <= d2 THEN 0 WHEN d1 <= d2 THEN 1 ELSE 2 END AS current_cluster FROM near),
 moved AS (SELECT *, CASE current_cluster {nxt} END AS predicted_cluster FROM assigned),
@@ -294,6 +315,12 @@ predicted AS (
 
 
 PREDICTED = _prediction()
+#: The whole chain: filled, enriched, long-term features looked up, all features scored.
+LOOKED_UP = f"""looked AS (
+  SELECT e.*, {', '.join('f.' + c for c in LT_VALUES)} FROM enriched e LEFT JOIN longterm f
+    ON f.road_name = e.road_name AND f.district = e.district AND f.city = e.city
+    AND f.hour = e.hour AND f.day_of_week = e.day_of_week)"""
+WIDE_PREDICTED = _prediction("looked", MODEL_FEATURES, WIDE_FILL, WIDE_MEAN, WIDE_SCALE, WIDE_CENTROIDS)
 PRED_FIELDS = """CAST(forecast_horizon_minutes AS INTEGER) AS forecast_horizon_minutes,
   CAST(current_cluster AS INTEGER) AS current_cluster, CAST(predicted_cluster AS INTEGER) AS predicted_cluster"""
 NEWEST = f"""newest AS (
@@ -606,6 +633,11 @@ SELECT seq, {ROUTE}, avg_speed, event_ts, strftime(event_ts, '%Y-%m-%dT%H:%M:%S'
             EV, longterm(LATEST_CUT),
             body=f"""SELECT e.seq, {', '.join(f'{near("f." + c)} AS {c}' for c in LT_VALUES)} FROM ev e
   LEFT JOIN longterm f USING ({ROUTE}, {slots})""",
+        ),
+        "score_enriched": _with(
+            EV, _FILL, enriched(by_seq, "filled"), longterm(LATEST_CUT), LOOKED_UP, WIDE_PREDICTED,
+            body=f"""SELECT seq, {ROUTE}, "timestamp", {PRED_FIELDS}, traffic_status, expected_avg_speed,
+  expected_avg_delay_minutes, model_status FROM predicted""",
         ),
         "latest_predictions": _with(
             EV, PREDICTED, NEWEST,
@@ -646,6 +678,25 @@ SELECT seq, {ROUTE}, avg_speed, event_ts, strftime(event_ts, '%Y-%m-%dT%H:%M:%S'
   seq // 3 AS source_offset, CAST(dt AS VARCHAR) AS dt, {ROUTE}, avg_speed FROM ev""",
         ),
         "replace_by_key": _with(EV, longterm(DAILY_CUTS), body=LT_OUT),
+        "lake_tables": _with(
+            EV, enriched(by_seq), longterm(DAILY_CUTS), _TRAINING,
+            body=f"""SELECT 'enriched_events' AS table_name, CAST(dt AS VARCHAR) AS dt, {ROUTE},
+  seq // 3 AS number, {near('avg_speed')} AS value FROM ev
+UNION ALL SELECT 'longterm_features', CAST(dt AS VARCHAR), {ROUTE}, hour * 7 + day_of_week,
+  {near('baseline_speed_7d')} FROM longterm
+UNION ALL SELECT 'training_kmeans_30m', CAST(CAST(event_ts AS DATE) AS VARCHAR), {ROUTE}, hour * 7 + day_of_week,
+  {near('baseline_speed_7d')} FROM joined WHERE feature_rank = 1""",
+        ),
+        "ingest_ledger": _with(
+            """m AS (SELECT event_id % 3 AS p, event_id // 3 AS o FROM events)""",
+            """ends AS (SELECT p, min(o) AS first, max(o) + 1 AS e3,
+  CASE WHEN p = 2 THEN max(o) + 1 ELSE max(o) FILTER (WHERE o < 200) + 1 END AS e2,
+  max(o) FILTER (WHERE o < 100) + 1 AS e1, count(*) AS merged_rows FROM m GROUP BY p)""",
+            """runs AS (SELECT 1 AS run, p, first AS s, e1 AS e, merged_rows FROM ends
+  UNION ALL SELECT 2, p, e1, e2, merged_rows FROM ends UNION ALL SELECT 3, p, e2, e3, merged_rows FROM ends)""",
+            body="""SELECT CAST(run AS INTEGER) AS run, CAST(p AS INTEGER) AS "partition", s AS start_offset,
+  e AS end_offset, e - s AS n_records, merged_rows FROM runs""",
+        ),
         "drain_predictions": _with(
             EV, PREDICTED,
             body=f"""SELECT {ROUTE}, "timestamp", {PRED_FIELDS}, traffic_status, expected_avg_speed,
@@ -668,4 +719,13 @@ SELECT seq, {ROUTE}, avg_speed, event_ts, strftime(event_ts, '%Y-%m-%dT%H:%M:%S'
             body=f"""SELECT prediction_time, {ROUTE}, {PRED_FIELDS}, traffic_status AS predicted_traffic_status,
   expected_avg_speed, expected_avg_delay_minutes, model_status FROM predicted""",
         ),
+        "pipeline_once": _with(
+            EV, _FILL, chained(by_seq), runs("emit_seq", source="chain"), history("emit_seq", "chain"), ALERTS,
+            longterm(LATEST_CUT), LOOKED_UP, WIDE_PREDICTED,
+            body=f"""SELECT 'enriched_events' AS table_name, {ROUTE}, event_ts AS at, weather_condition AS label,
+  {near('rolling_avg_speed_3')} AS value FROM enriched
+UNION ALL SELECT 'traffic_alerts', {ROUTE}, alert_time, alert_category || ' ' || severity, {near('avg_speed')} FROM alerts
+UNION ALL SELECT 'traffic_predictions', {ROUTE}, prediction_time,
+  CAST(current_cluster AS VARCHAR) || ' ' || traffic_status, {near('expected_avg_delay_minutes')} FROM predicted""",
+        ),
     }

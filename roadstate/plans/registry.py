@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from contextlib import suppress
+from dataclasses import replace
+from datetime import date, datetime
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from roadstate import adapters
@@ -25,6 +28,7 @@ from roadstate.operators import (
 from roadstate.operators.series import SeriesLayout
 from roadstate.plans import oracles, serving
 from roadstate.schemas import (
+    AREA_KEYS,
     CALENDAR,
     ENRICHED_SCHEMA,
     LAG_COLUMNS,
@@ -34,10 +38,11 @@ from roadstate.schemas import (
     ROUTE_KEYS,
     TOPIC_ENRICHED,
     TOPIC_SCHEMA,
+    WEATHER,
 )
 from roadstate.session import work_dir
-from roadstate.sources import models, online, tables, topics
-from roadstate.streaming import jobs
+from roadstate.sources import ledger, models, online, tables, topics
+from roadstate.streaming import carried, jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -468,6 +473,12 @@ def fixed_model() -> clusters.StateModel:
     return clusters.StateModel(pipeline, oracles.TRANSITIONS, profiles)
 
 
+def wide_model() -> clusters.StateModel:
+    """A model over all features with stated parameters."""
+    scaling = clusters.Scaling(tuple(MODEL_FEATURES), oracles.WIDE_FILL, oracles.WIDE_MEAN, oracles.WIDE_SCALE)
+    return replace(fixed_model(), pipeline=clusters.state_pipeline(scaling, oracles.WIDE_CENTROIDS))
+
+
 def labelled(spark, sf_dir) -> DataFrame:
     return ev(spark, sf_dir).withColumn("cluster", F.expr(oracles.LABEL))
 
@@ -546,18 +557,43 @@ def predict_next_state(spark, sf_dir):
 
 @query
 def model_by_alias(spark, sf_dir):
-    """The same predictions by a model that was published and loaded again."""
-    root = work_dir(spark, "models")
-    models.publish_model(spark, fixed_model(), root, "run-1")
+    """The same predictions by a model that was published and loaded again.
+
+    Two versions have one publication time; the one published last is current.
+    """
+    root, at = work_dir(spark, "models"), datetime(2024, 1, 1)
+    model = fixed_model()
+    models.publish_model(spark, replace(model, transitions=dict.fromkeys(model.transitions, 0)), root, "run-2", published_at=at)
+    models.publish_model(spark, model, root, "run-1", expected=1, published_at=at)
     return flat(predictions(spark, sf_dir, "seq", model=models.load_model(spark, root)), "seq")
 
 
+def latest_snapshot(spark, sf_dir) -> DataFrame:
+    """The online snapshot after a run at the newest event."""
+    records = ev(spark, sf_dir)
+    cutoff = features.source_cutoff(records).first()["source_cutoff"]
+    return features.online_snapshot(features.longterm_features(records, cutoff), as_of=cutoff)
+
+
+@query
+def score_enriched(spark, sf_dir):
+    """The path of every record: filled, enriched, features looked up, all of them scored."""
+    records = ev(spark, sf_dir)
+    filled = enrich.latest_fill(
+        adapters.sensor_part(records), adapters.weather_part(records), present="present"
+    )
+    enriched = enrich.enrich_series(filled, layout=SeriesLayout.measure(records))
+    routes = records.select(*ROUTE_KEYS).distinct()
+    scored = scoring.score(enriched, latest_snapshot(spark, sf_dir), wide_model(), "seq", routes=routes)
+    return flat(scored, "seq")
+
+
 @query
 def online_lookup(spark, sf_dir):
     records = ev(spark, sf_dir)
-    cutoff = features.source_cutoff(records).first()["source_cutoff"]
-    snapshot = features.online_snapshot(features.longterm_features(records, cutoff), as_of=cutoff)
-    return scoring.with_online_features(records, snapshot).select("seq", *r4(*LONGTERM_FEATURES))
+    routes = records.select(*ROUTE_KEYS).distinct()
+    looked_up = scoring.with_online_features(records, latest_snapshot(spark, sf_dir), routes)
+    return looked_up.select("seq", *r4(*LONGTERM_FEATURES))
 
 
 @query
@@ -649,6 +685,71 @@ def replace_by_key(spark, sf_dir):
     return rounded_features(stored.withColumn("source_cutoff", F.col("source_cutoff").cast("timestamp_ntz")))
 
 
+def lake(spark: SparkSession) -> dict[str, tables.LakeTable]:
+    """The lake tables in a database of their own."""
+    root = work_dir(spark, "lake")
+    database = root.rsplit("/", 1)[-1].replace("-", "_")
+    tables.ensure_tables(spark, root, database)
+    return {name: tables.lake_table(spark, name, database) for name in tables.TABLES}
+
+
+@query
+def lake_tables(spark, sf_dir):
+    """Inserts and replacements by name, each seen by the next reader of the name."""
+    target = lake(spark)
+    rows = lake_rows(sourced(ev(spark, sf_dir)))
+    tables.insert_only(rows.where("source_partition < 2"), target["enriched_events"])
+    tables.insert_only(rows, target["enriched_events"])
+    history = feature_history(spark, sf_dir)
+    features_table = target["longterm_features"]
+    features_table.append(history.withColumn("baseline_speed_7d", F.lit(-1.0)))
+    features_table.replace(history, "source_cutoff")
+    features_table.replace(history.where(F.col("source_cutoff") == oracles.CUTOFFS[-1]), "source_cutoff")
+    run = training.training_set(enrich.enrich_series(ev(spark, sf_dir)), features_table.rows(), "run 1")
+    target["training_kmeans_30m"].replace(run, "training_run_id")
+
+    def shown(name: str, number: Column, value: str) -> DataFrame:
+        found = target[name].rows()
+        return found.select(
+            F.lit(name).alias("table_name"), *text("dt"), *ROUTE_KEYS, number.cast("long").alias("number"),
+            near(F.col(value)).alias("value"),
+        )
+
+    slot = F.col("hour") * 7 + F.col("day_of_week")
+    return (
+        shown("enriched_events", F.col("source_offset"), "avg_speed")
+        .unionByName(shown("longterm_features", slot, "baseline_speed_7d"))
+        .unionByName(shown("training_kmeans_30m", slot, "baseline_speed_7d"))
+    )
+
+
+class MergeFailed(RuntimeError):
+    """Raised on purpose between a merge and its entry in the ledger."""
+
+
+@query
+def ingest_ledger(spark, sf_dir):
+    """Three ingest runs by offset; the second fails after its merge and is repeated."""
+    messages = sourced(ev(spark, sf_dir))
+    target = lake(spark)["enriched_events"]
+    book = ledger.OffsetLedger(spark, work_dir(spark, "ledger"))
+
+    def merge(rows: DataFrame) -> None:
+        tables.insert_only(lake_rows(rows), target)
+
+    def failing(rows: DataFrame) -> None:
+        merge(rows)
+        raise MergeFailed
+
+    ledger.ingest_offsets(messages.where("offset < 100"), book, merge)
+    for attempt in (failing, merge):
+        with suppress(MergeFailed):
+            ledger.ingest_offsets(messages.where("offset < 200 OR partition = 2"), book, attempt)
+    ledger.ingest_offsets(messages, book, merge)
+    held = target.rows().groupBy(F.col("source_partition").alias("partition")).agg(F.count(F.lit(1)).alias("merged_rows"))
+    return book.runs().join(held, "partition")
+
+
 @query
 def drain_predictions(spark, sf_dir):
     stream = scoring.score(adapters.sensor_stream(spark, sf_dir), None, fixed_model())
@@ -659,50 +760,122 @@ def drain_predictions(spark, sf_dir):
 
 # -- streams -----------------------------------------------------------------------
 
+#: Micro-batches that a stream query has at least; rows of one file of the stream.
+LEAST_BATCHES, ROWS_PER_FILE = 4, 2_000_000
+
+
+def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records as a stream that arrives in consecutive files, one per micro-batch."""
+    events = adapters.read_events(spark, sf_dir)
+    files = carried.files_for(events.count(), ROWS_PER_FILE, LEAST_BATCHES)
+    path = carried.arrival_copy(events, work_dir(spark, "arrivals"), ["event_id"], files)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    return adapters.as_traffic(stream)
 
-def finished(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Run a stream over everything available and read its output."""
-    target = work_dir(spark, name)
-    jobs.write_stream(df, target, work_dir(spark, "checkpoint")).awaitTermination()
-    return spark.read.schema(df.schema).parquet(target)
+
+def finished(spark: SparkSession, stream: DataFrame, steps: list, name: str, **more) -> DataFrame:
+    """Run a carried job over everything available and read its table."""
+    table = carried.BatchTable(spark, work_dir(spark, name), work_dir(spark, f"{name}-manifest"))
+    carried.CarriedJob(steps, table, work_dir(spark, f"{name}-job"), **more).start(stream).awaitTermination()
+    return spark.read.parquet(table.path).drop("batch")
+
+
+def both_sides(records: DataFrame) -> DataFrame:
+    """Sensor records and weather reports as one stream."""
+    return carried.Fill.both(
+        adapters.sensor_part(records), adapters.weather_part(records), AREA_KEYS, ["seq"], WEATHER
+    )
 
 
 @query
 def stream_enrich(spark, sf_dir):
-    records = adapters.sensor_stream(spark, sf_dir)
-    filled = jobs.latest_fill_stream(
-        adapters.sensor_part(records), adapters.weather_part(records), present="present"
-    )
-    rows = finished(spark, jobs.enrich_stream(filled), "enriched")
+    steps = [carried.Fill(present="present"), carried.Windows()]
+    rows = finished(spark, both_sides(arrivals(spark, sf_dir)), steps, "enriched")
     return numbers(rows, "accident_count").select(*ENRICHED_OUT, *r4(*ROLLING_COLUMNS))
 
 
 @query
 def stream_congestion(spark, sf_dir):
-    alerts = jobs.congestion_alerts_stream(adapters.sensor_stream(spark, sf_dir))
-    return flat_congestion(finished(spark, alerts, "congestion"))
+    return flat_congestion(finished(spark, arrivals(spark, sf_dir), [carried.Congestion()], "congestion"))
 
 
 @query
 def stream_accident(spark, sf_dir):
-    alerts = jobs.accident_alerts_stream(adapters.sensor_stream(spark, sf_dir))
-    return flat_accident(finished(spark, alerts, "accident"))
+    return flat_accident(finished(spark, arrivals(spark, sf_dir), [carried.Accidents()], "accident"))
 
 
 @query
 def stream_alert_table(spark, sf_dir):
-    records = adapters.sensor_stream(spark, sf_dir)
-    feeds = {
-        "congestion": jobs.congestion_alerts_stream(records),
-        "accident": jobs.accident_alerts_stream(records),
-    }
-    parts = [
-        finished(spark, normalize.normalize_alerts(topics.as_messages(alerts.drop("seq")), name), name)
-        for name, alerts in feeds.items()
-    ]
+    records = arrivals(spark, sf_dir)
+    feeds = {"congestion": carried.Congestion(), "accident": carried.Accidents()}
+
+    def shaped(name: str):
+        return lambda alerts: normalize.normalize_alerts(topics.as_messages(alerts.drop("seq")), name)
+
+    parts = [finished(spark, records, [step], name, finish=shaped(name)) for name, step in feeds.items()]
     return numbers(aggregates.union_alerts(*parts), "accident_count").select(*serving.ALERT_COLUMNS)
 
 
+class Stopped(RuntimeError):
+    """Raised on purpose in the middle of a stream."""
+
+
+@query
+def pipeline_once(spark, sf_dir):
+    """The chained topology, stopped half way and resumed from its checkpoints.
+
+    The enriching query is stopped in its second micro-batch, after its rows are
+    written. The consumers see what it has finished, then a new run does the rest. The
+    snapshot and the model come from their stores, which get a new version in between.
+    """
+    root, store = work_dir(spark, "topology"), work_dir(spark, "models")
+    snapshots = online.SnapshotTable(spark, work_dir(spark, "snapshots"))
+    snapshots.publish(latest_snapshot(spark, sf_dir))
+    models.publish_model(spark, wide_model(), store, "run-1")
+    records = arrivals(spark, sf_dir)
+
+    def topology() -> jobs.Pipeline:
+        scorer = jobs.Scorer(
+            snapshots.load, lambda: models.load_model(spark, store), snapshots.newest,
+            lambda: models.current_alias(spark, store).number,
+        )
+        return jobs.Pipeline(
+            spark, root, adapters.sensor_part(records), adapters.weather_part(records), present="present", scorer=scorer
+        )
+
+    first = topology()
+    enriched = first.table("enriched_events")
+
+    class Breaking(carried.BatchTable):
+        def write(self, batch_id: int, rows: DataFrame) -> None:
+            super().write(batch_id, rows)
+            if batch_id == 1:
+                raise Stopped
+
+    with suppress(StreamingQueryException):
+        first.start_enrich(once=True, table=Breaking(spark, enriched.path, enriched.manifest)).awaitTermination()
+    for part in first.start_consumers(once=True):
+        part.awaitTermination()
+    snapshots.publish(snapshots.load())
+    models.publish_model(spark, wide_model(), store, "run-2")
+    last = topology()
+    last.run_once()
+
+    def shown(name: str, at: str, label: Column, value: str) -> DataFrame:
+        rows = spark.read.parquet(last.path(name))
+        return rows.select(
+            F.lit(name).alias("table_name"), *ROUTE_KEYS, F.col(at).alias("at"), label.alias("label"),
+            near(F.col(value)).alias("value"),
+        )
+
+    state = F.concat_ws(" ", F.col("current_cluster").cast("string"), "predicted_traffic_status")
+    return (
+        shown("enriched_events", "event_ts", F.col("weather_condition"), "rolling_avg_speed_3")
+        .unionByName(shown("traffic_alerts", "alert_time", F.concat_ws(" ", "alert_category", "severity"), "avg_speed"))
+        .unionByName(shown("traffic_predictions", "prediction_time", state, "expected_avg_delay_minutes"))
+    )
+
+
 @query
 def stream_score(spark, sf_dir):
     """Scoring per micro-batch with a model read from its alias each time."""

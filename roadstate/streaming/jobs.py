@@ -1,9 +1,15 @@
-"""Streaming forms of the stateful operators and the chained topology."""
+"""Keyed streaming forms of the stateful operators, scoring, and the chained topology.
+
+The keyed forms hold their state in Spark's state store and suit many small keys: what a
+key brings in one micro-batch is one pandas frame, bounded by the rate option of the
+source. ``streaming.carried`` has the forms for keys of any size, which the chained
+topology uses.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -23,11 +29,14 @@ from roadstate.schemas import (
     WEATHER,
 )
 from roadstate.session import ROCKSDB
+from roadstate.streaming.carried import Accidents, BatchTable, CarriedJob, Congestion, Fill, Windows
 from roadstate.streaming.processors import SIDE, AccidentDetector, CongestionDetector, LagWindow, LatestFill
 
 
 # Order in which enriched records leave the count window.
 EMITTED = "emit_seq"
+# Fixed value: records between two looks at the model alias.
+REFRESH_RECORDS = 300
 
 
 def use_state_store(spark: SparkSession) -> None:
@@ -114,6 +123,50 @@ def accident_alerts_stream(
     return _stateful(rows, ROUTE_KEYS, processor, output)
 
 
+class Scorer:
+    """Scores micro-batches with a snapshot and a model that are read again while the stream runs.
+
+    The snapshot is read again when its version has changed. The model is read again when
+    ``refresh_records`` records have gone by since the last multiple of it, so neither
+    small nor large micro-batches change how often that happens; a batch has one model.
+    A version that is the same as before is not loaded again. Micro-batches come cached:
+    they are counted before they are scored.
+    """
+
+    def __init__(
+        self,
+        load_snapshot: Callable[[], DataFrame | None],
+        load_model: Callable[[], StateModel | None],
+        snapshot_version: Callable[[], object] | None = None,
+        model_version: Callable[[], object] | None = None,
+        refresh_records: int = REFRESH_RECORDS,
+    ):
+        if refresh_records < 1:
+            raise ValueError("refresh_records must be at least 1")
+        self.loads = {"snapshot": load_snapshot, "model": load_model}
+        self.versions = {"snapshot": snapshot_version, "model": model_version}
+        self.refresh_records = refresh_records
+        self.seen = 0  # records before the current micro-batch
+        self.turn = -1  # multiples of ``refresh_records`` gone by at the last look
+        self.held: dict[str, tuple[object, object]] = {}
+
+    def _current(self, name: str) -> object:
+        version = self.versions[name]
+        now = object() if version is None else version()
+        if name not in self.held or self.held[name][0] != now:
+            self.held[name] = (now, self.loads[name]())
+        return self.held[name][1]
+
+    def __call__(self, batch: DataFrame, *extra: str) -> DataFrame:
+        turn = self.seen // self.refresh_records
+        if turn != self.turn or "model" not in self.held:
+            self._current("model")
+            self.turn = turn
+        self.seen += batch.count()
+        routes = batch.select(*ROUTE_KEYS).distinct()
+        return score(batch, self._current("snapshot"), self.held["model"][1], *extra, routes=routes)
+
+
 def score_stream(
     events: DataFrame,
     sink: Callable[[DataFrame, int], None],
@@ -122,11 +175,21 @@ def score_stream(
     load: Callable[[], StateModel | None],
     *extra: str,
     once: bool = False,
+    scorer: Scorer | None = None,
+    source: Callable[[DataFrame], DataFrame] = lambda batch: batch,
 ) -> StreamingQuery:
-    """Score every micro-batch with the snapshot and model current at its start."""
+    """Score every micro-batch; without ``scorer``, snapshot and model are read each time.
+
+    ``source`` reads the rows of a micro-batch where the stream only names them.
+    """
+    scorer = scorer or Scorer(load_snapshot, load, refresh_records=1)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        sink(score(batch, load_snapshot(), load(), *extra), batch_id)
+        rows = source(batch).persist()
+        try:
+            sink(scorer(rows, *extra), batch_id)
+        finally:
+            rows.unpersist()
 
     writer = events.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
@@ -146,9 +209,12 @@ def as_json(df: DataFrame) -> DataFrame:
 class Pipeline:
     """The chained topology: raw → enriched → alerts, predictions.
 
-    ``sensors`` and ``weather`` are typed streams with an arrival order. Every
-    stage writes a Parquet table below ``root`` and keeps its own checkpoint;
-    later stages stream from the enriched table, as independent consumers.
+    ``sensors`` and ``weather`` are typed streams with an arrival order. Every stage is a
+    query of its own with its own checkpoint and state, and writes a table below ``root``
+    batch by batch; later stages stream the manifest of the enriched table, as
+    independent consumers. A stage that is stopped goes on where it was.
+
+    ``scorer`` replaces the one made of ``load_snapshot`` and ``load_model``.
     """
 
     spark: SparkSession
@@ -159,50 +225,59 @@ class Pipeline:
     present: str | None = None
     load_snapshot: Callable[[], DataFrame | None] = lambda: None
     load_model: Callable[[], StateModel | None] = lambda: None
-    source_options: Mapping[str, str] = field(default_factory=dict)
+    scorer: Scorer | None = None
+    batches_per_trigger: int = 1
 
     def path(self, table: str) -> str:
         return f"{self.root}/tables/{table}"
 
-    def _checkpoint(self, stage: str) -> str:
-        return f"{self.root}/checkpoints/{stage}"
+    def table(self, name: str) -> BatchTable:
+        return BatchTable(self.spark, self.path(name), f"{self.root}/manifests/{name}")
 
-    def enriched_rows(self) -> DataFrame:
-        filled = latest_fill_stream(self.sensors, self.weather, order=self.order, present=self.present)
-        return enrich_stream(filled, order=self.order, emit_order=EMITTED)
+    def _folder(self, stage: str) -> str:
+        return f"{self.root}/stages/{stage}"
 
-    def start_enrich(self, once: bool = False) -> StreamingQuery:
-        return write_stream(self.enriched_rows(), self.path("enriched_events"), self._checkpoint("enrich"), once)
+    def _both(self) -> DataFrame:
+        return Fill.both(self.sensors, self.weather, AREA_KEYS, self.order, WEATHER)
 
-    def consume_enriched(self) -> DataFrame:
-        schema = self.enriched_rows().schema
-        return self.spark.readStream.schema(schema).options(**self.source_options).parquet(
-            self.path("enriched_events")
-        )
+    def _enriching(self) -> list:
+        return [Fill(order=self.order, present=self.present), Windows(order=self.order, emit_order=EMITTED)]
+
+    def enriched_schema(self) -> T.StructType:
+        rows = self.spark.createDataFrame([], self._both().schema)
+        for step in self._enriching():
+            rows = step(rows, None).rows
+        return rows.schema
+
+    def start_enrich(self, once: bool = False, table: BatchTable | None = None) -> StreamingQuery:
+        table = table or self.table("enriched_events")
+        return CarriedJob(self._enriching(), table, self._folder("enrich")).start(self._both(), once)
 
     def start_consumers(self, once: bool = False) -> list[StreamingQuery]:
-        events = self.consume_enriched()
-        feeds = {
-            "congestion": congestion_alerts_stream(events, order=(EMITTED,)),
-            "accident": accident_alerts_stream(events, order=(EMITTED,)),
-        }
+        enriched, schema = self.table("enriched_events"), self.enriched_schema()
+
+        def rows_of(numbers: DataFrame) -> DataFrame:
+            return enriched.load(numbers, schema)
+
+        def shaped(name: str) -> Callable[[DataFrame], DataFrame]:
+            return lambda alerts: normalize_alerts(as_json(alerts.drop(EMITTED)), name)
+
+        steps = {"congestion": Congestion(order=(EMITTED,)), "accident": Accidents(order=(EMITTED,))}
         queries = [
-            write_stream(
-                normalize_alerts(as_json(alerts.drop(EMITTED)), name),
-                self.path(f"traffic_alerts/feed={name}"),
-                self._checkpoint(name),
-                once,
-            )
-            for name, alerts in feeds.items()
+            CarriedJob(
+                [step], self.table(f"traffic_alerts/feed={name}"), self._folder(name), shaped(name), rows_of
+            ).start(enriched.stream(self.batches_per_trigger), once)
+            for name, step in steps.items()
         ]
+        predictions = self.table("traffic_predictions")
 
         def sink(batch: DataFrame, batch_id: int) -> None:
-            flat = normalize_predictions(as_json(batch))
-            flat.write.mode("overwrite").parquet(f"{self.path('traffic_predictions')}/batch={batch_id}")
+            predictions.write(batch_id, normalize_predictions(as_json(batch)))
 
         queries.append(
             score_stream(
-                events, sink, self._checkpoint("score"), self.load_snapshot, self.load_model, once=once
+                enriched.stream(self.batches_per_trigger), sink, f"{self._folder('score')}/checkpoint",
+                self.load_snapshot, self.load_model, once=once, scorer=self.scorer, source=rows_of,
             )
         )
         return queries
