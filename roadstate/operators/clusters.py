@@ -9,11 +9,12 @@ from multiprocessing.pool import ThreadPool
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from roadstate.operators.aggregates import NotEnoughRows, require_rows
+from roadstate.operators.metrics import silhouette
 from roadstate.operators.quantiles import exact_medians
 from roadstate.schemas import MODEL_FEATURES, ROUTE_KEYS
 
@@ -235,7 +236,8 @@ def fit_states(
         assigned = best.transform(points)
         sizes = [n for n in best.summary.clusterSizes if n]
         if rows > k and len(sizes) > 1:
-            metrics["silhouette_score"] = float(ClusteringEvaluator().evaluate(assigned))
+            found = silhouette(assigned.select(vector_to_array("features").alias("point"), "prediction"))
+            metrics["silhouette_score"], metrics["silhouette_error"] = found
     finally:
         points.unpersist()
     pipeline = state_pipeline(scaling, [c.tolist() for c in best.clusterCenters()])

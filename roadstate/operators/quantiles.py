@@ -1,128 +1,132 @@
 """Exact medians of many columns without gathering any of them.
 
-Spark's exact ``median`` keeps every distinct value of a column in one task.
-Here each wanted rank is narrowed first: a mergeable sketch proposes two values
-around it, exact counts tell on which side of them (or on which of them) the rank
-lies, and the remaining open interval shrinks by about the sketch accuracy with
-every pass over the data. Once few rows remain an exact aggregate finishes. The
-result is exact at any size and with any number of equal values.
+Spark's exact ``median`` keeps every distinct value of a column in one task. Here the
+wanted ranks are found by descent: the range of values a rank lies in is cut into a
+fixed number of buckets, one grouped count tells which bucket holds it, and that
+bucket's own least and greatest value are the next range. A descent ends when a bucket
+holds one value. All columns share each pass, and a pass groups into at most ``buckets``
+entries per wanted rank, whatever the size of the data.
+
+Buckets are of equal width, which suits most data and is plain arithmetic. Where that
+does not spread the values (many magnitudes, infinities), the cuts are equally spaced in
+the order-preserving bit pattern of doubles instead: each such pass fixes as many of the
+64 bits as a bucket number has, so their number is bounded for any data.
 """
 
 from __future__ import annotations
 
+import math
+import struct
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-BRACKET_ROWS = 100_000
-ACCURACY = 10_000
+BUCKETS = 256
 
 
-@dataclass
-class _Rank:
-    """A wanted 0-based rank and the open value interval it lies in."""
+def _bits(x: float) -> int:
+    """An integer that orders like the double."""
+    (n,) = struct.unpack("<q", struct.pack("<d", x + 0.0))
+    return n if n >= 0 else -(n & 0x7FFFFFFFFFFFFFFF)
 
-    column: str
-    rank: int
-    inside: int
-    before: int = 0
-    low: float | None = None
-    high: float | None = None
-    value: float | None = None
-
-    def interval(self) -> Column:
-        c = F.col(self.column)
-        test = c.isNotNull()
-        if self.low is not None:
-            test &= c > F.lit(self.low)
-        if self.high is not None:
-            test &= c < F.lit(self.high)
-        return test
-
-    def proposal(self, accuracy: int) -> Column:
-        share, slack = (self.rank - self.before) / self.inside, 2 / accuracy
-        ends = [max(share - slack, 0.0), min(share + slack, 1.0)]
-        return F.percentile_approx(F.when(self.interval(), F.col(self.column)), ends, accuracy)
-
-    def counts(self, lo: float, hi: float) -> list[Column]:
-        c, within = F.col(self.column), self.interval()
-        return [
-            F.count_if(within & (c < F.lit(lo))),
-            F.count_if(within & (c == F.lit(lo))),
-            F.count_if(within & (c > F.lit(lo)) & (c < F.lit(hi))),
-            F.count_if(within & (c == F.lit(hi)) & F.lit(hi > lo)),
-        ]
 
-    def narrow(self, lo: float, hi: float, counts: Sequence[int]) -> None:
-        less, at_lo, between, at_hi = counts
-        offset = self.rank - self.before
-        if offset < less:
-            self.high, self.inside = lo, less
-        elif offset < less + at_lo:
-            self.value = lo
-        elif offset < less + at_lo + between:
-            self.before += less + at_lo
-            self.low, self.high, self.inside = lo, hi, between
-        elif offset < less + at_lo + between + at_hi:
-            self.value = hi
-        else:
-            skipped = less + at_lo + between + at_hi
-            self.before += skipped
-            self.low, self.inside = hi, self.inside - skipped
-
-    def exact(self) -> Column:
-        # Half a row above the rank: no rounding can move it to a neighbour.
-        share = (self.rank - self.before + 0.5) / self.inside
-        bounds = "".join(
-            f" AND `{self.column}` {sign} {bound!r}D"
-            for sign, bound in ((">", self.low), ("<", self.high))
-            if bound is not None
-        )
-        return F.expr(
-            f"percentile_disc({share!r}D) WITHIN GROUP (ORDER BY "
-            f"CASE WHEN `{self.column}` IS NOT NULL{bounds} THEN `{self.column}` END)"
-        )
+def _double(bits: int) -> float:
+    sign = 0 if bits >= 0 else 1 << 63
+    return struct.unpack("<d", struct.pack("<Q", sign | abs(bits)))[0]
 
 
-def exact_medians(
-    df: DataFrame,
-    columns: Sequence[str],
-    bracket_rows: int = BRACKET_ROWS,
-    accuracy: int = ACCURACY,
-) -> dict[str, float | None]:
+@dataclass(frozen=True)
+class _Range:
+    """Ranks (0-based) of a column that lie among the values from low to high."""
+
+    column: str
+    ranks: tuple[int, ...]
+    before: int
+    count: int
+    low: float
+    high: float
+    by_bits: bool = False
+
+    def bucket(self, buckets: int) -> Column:
+        """Number of the bucket of a value in the range; larger values never get smaller numbers."""
+        c, width = F.col(self.column), self.high - self.low
+        if not self.by_bits and math.isfinite(width) and width > 0 and math.isfinite(buckets / width):
+            number = F.floor((c - F.lit(self.low)) * F.lit(buckets / width)).cast("int")
+            return F.least(number, F.lit(buckets - 1))
+        low, high = _bits(self.low), _bits(self.high)
+        cuts = sorted({low + (high - low) * i // buckets for i in range(1, buckets)} - {low})
+        if not cuts:
+            cuts = [high]
+        points = F.array(*[F.lit(_double(b)) for b in cuts])
+        steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(cuts).bit_length()))])
+
+        def step(at: Column, size: Column) -> Column:
+            return F.when(F.get(points, at + size - 1) <= c, at + size).otherwise(at)
+
+        return F.aggregate(steps, F.lit(0), step)
+
+    def inside(self) -> Column:
+        return F.col(self.column).between(F.lit(self.low), F.lit(self.high))
+
+    def narrow(self, found: Sequence, buckets: int) -> list[_Range]:
+        """The buckets that hold the ranks, from (number, count, least, greatest) rows."""
+        parts, before, left = [], self.before, list(self.ranks)
+        for row in sorted(found, key=lambda r: r["bucket"]):
+            mine = tuple(r for r in left if r < before + row["n"])
+            if mine:
+                left = left[len(mine) :]
+                # A bucket that keeps most of the rows: equal widths do not spread them.
+                poor = self.by_bits or row["n"] > self.count / 2
+                parts.append(_Range(self.column, mine, before, row["n"], row["low"], row["high"], poor))
+            before += row["n"]
+        return parts
+
+
+def exact_medians(df: DataFrame, columns: Sequence[str], buckets: int = BUCKETS) -> dict[str, float | None]:
     """Median of each numeric column (mean of the two middle values).
 
     Null and NaN are missing; a column without values gives None.
     """
     def number(c: str) -> Column:
         value = F.col(c).cast("double")
-        return F.when(~F.isnan(value), value).alias(c)
+        return F.when(~F.isnan(value), value + F.lit(0.0)).alias(c)
 
     data = df.select(*map(number, columns))
-    sizes = data.agg(*[F.count(c).alias(c) for c in columns]).first()
-    wanted = {
-        (c, rank): _Rank(c, rank, sizes[c])
-        for c in columns
-        if sizes[c]
-        for rank in {(sizes[c] - 1) // 2, sizes[c] // 2}
-    }
-    while wide := [r for r in wanted.values() if r.value is None and r.inside > bracket_rows]:
-        ends = data.agg(*[r.proposal(accuracy).alias(str(i)) for i, r in enumerate(wide)]).first()
-        counts = [r.counts(*ends[i]) for i, r in enumerate(wide)]
-        found = data.agg(
-            *[c.alias(f"{i}_{j}") for i, four in enumerate(counts) for j, c in enumerate(four)]
-        ).first()
-        for i, r in enumerate(wide):
-            r.narrow(*ends[i], found[4 * i : 4 * i + 4])
-    rest = [r for r in wanted.values() if r.value is None]
-    if rest:
-        values = data.agg(*[r.exact().alias(str(i)) for i, r in enumerate(rest)]).first()
-        for i, r in enumerate(rest):
-            r.value = values[i]
+    facts = [f(c).alias(f"{c}|{name}") for c in columns for name, f in (("n", F.count), ("low", F.min), ("high", F.max))]
+    first = data.agg(*facts).first()
+    values: dict[str, dict[int, float]] = {c: {} for c in columns}
+    sizes = {c: first[f"{c}|n"] for c in columns}
+    ranges = [
+        _Range(c, tuple(sorted({(n - 1) // 2, n // 2})), 0, n, first[f"{c}|low"], first[f"{c}|high"])
+        for c, n in sizes.items()
+        if n
+    ]
+    while True:
+        for r in ranges:
+            if r.low == r.high:
+                values[r.column] |= dict.fromkeys(r.ranks, r.low)
+        ranges = [r for r in ranges if r.low != r.high]
+        if not ranges:
+            break
+        entries = [
+            F.when(
+                r.inside(),
+                F.struct(F.lit(i).alias("range"), r.bucket(buckets).alias("bucket"), F.col(r.column).alias("value")),
+            )
+            for i, r in enumerate(ranges)
+        ]
+        placed = data.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*")
+        counted = placed.groupBy("range", "bucket").agg(
+            F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
+        )
+        found: dict[int, list] = {}
+        for row in counted.collect():  # at most ``buckets`` rows per range
+            found.setdefault(row["range"], []).append(row)
+        ranges = [part for i, r in enumerate(ranges) for part in r.narrow(found[i], buckets)]
     medians: dict[str, float | None] = dict.fromkeys(columns)
-    for c in columns:
-        if sizes[c]:
-            low, high = wanted[c, (sizes[c] - 1) // 2], wanted[c, sizes[c] // 2]
-            medians[c] = (low.value + high.value) / 2
+    for c, n in sizes.items():
+        if n:
+            low, high = values[c][(n - 1) // 2], values[c][n // 2]
+            medians[c] = low if low == high else (low + high) / 2
     return medians

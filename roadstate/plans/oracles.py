@@ -387,6 +387,23 @@ def _scale() -> str:
     )
 
 
+PLANTED = """planted AS (
+  SELECT r, k, (k // 2 + r) % 3 AS state, 90.0::DOUBLE - 40.0::DOUBLE * ((k // 2 + r) % 3) + (k % 5) / 10.0::DOUBLE AS s,
+    8.0::DOUBLE * ((k // 2 + r) % 3) + (k % 3) / 10.0::DOUBLE AS d, CAST(100 + 200 * ((k // 2 + r) % 3) + k % 7 AS DOUBLE) AS v
+  FROM (SELECT event_id % 6 AS r, event_id // 6 AS k FROM events))"""
+_STATE_NAMES = "list_extract(['clear', 'moderate', 'congested'], CAST(state + 1 AS INTEGER))"
+_METRICS = """z AS (SELECT state, (s - avg(s) OVER ()) / stddev_pop(s) OVER () AS s, (d - avg(d) OVER ()) / stddev_pop(d) OVER () AS d,
+  (v - avg(v) OVER ()) / stddev_pop(v) OVER () AS v FROM planted),
+p AS (SELECT state, round(s, 9) AS s, round(d, 9) AS d, round(v, 9) AS v, count(*) AS n FROM z GROUP BY ALL),
+sizes AS (SELECT state, sum(n) AS size FROM p GROUP BY state),
+means AS (SELECT a.state, a.s, a.d, a.v, a.n, b.state AS other,
+  sum(b.n * sqrt((a.s - b.s) ** 2 + (a.d - b.d) ** 2 + (a.v - b.v) ** 2))
+    / max(z.size - (a.state = b.state)::INT) AS mean
+  FROM p a, p b JOIN sizes z ON z.state = b.state GROUP BY ALL),
+ab AS (SELECT state, s, d, v, n, max(mean) FILTER (WHERE other = state) AS a, min(mean) FILTER (WHERE other <> state) AS b
+  FROM means GROUP BY ALL),
+centres AS (SELECT state, avg(s) AS s, avg(d) AS d, avg(v) AS v FROM z GROUP BY state)"""
+
 ONLINE_KEY = (
     "'traffic:longterm:' || city || ':' || district || ':' || road_name || ':h' || "
     "lpad(CAST(hour AS VARCHAR), 2, '0') || ':dow' || day_of_week"
@@ -617,6 +634,27 @@ SELECT seq, {ROUTE}, avg_speed, event_ts, strftime(event_ts, '%Y-%m-%dT%H:%M:%S'
   SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY n DESC, nxt) AS rn FROM pairs) WHERE rn = 1)""",
             body="""SELECT CAST(k AS INTEGER) AS cluster, CAST(coalesce(nxt, k) AS INTEGER) AS next_cluster
   FROM range(4) r(k) LEFT JOIN best ON cluster = k""",
+        ),
+        "kmeans_planted": _with(
+            PLANTED,
+            """nxt AS (SELECT a.state, b.state AS following, count(*) AS n FROM planted a
+  JOIN planted b ON b.r = a.r AND b.k = a.k + 2 GROUP BY ALL)""",
+            """best AS (SELECT state, following FROM nxt QUALIFY row_number() OVER (PARTITION BY state ORDER BY n DESC) = 1)""",
+            body=f"""SELECT {_STATE_NAMES} AS status, count(*) AS samples, {near('avg(s)')} AS avg_speed,
+  {near('avg(d)')} AS avg_delay_minutes, {near('avg(v)')} AS vehicle_count,
+  {_STATE_NAMES.replace('state', 'following')} AS next_status FROM planted JOIN best USING (state) GROUP BY state, following""",
+        ),
+        "kmeans_metrics": _with(
+            PLANTED, _METRICS,
+            body=f"""SELECT (SELECT round(sum((z.s - c.s) ** 2 + (z.d - c.d) ** 2 + (z.v - c.v) ** 2), 3) FROM z JOIN centres c USING (state)) AS inertia,
+  (SELECT count(*) FROM planted a JOIN planted b ON b.r = a.r AND b.k = a.k + 2) AS transition_rows,
+  {near('sum(n * (b - a) / greatest(a, b)) / sum(n)')} AS silhouette_score, 0.0::DOUBLE AS silhouette_error FROM ab""",
+        ),
+        "topic_view": _with(
+            EV,
+            body=f"""SELECT 'trafic.enriched_events' AS topic, CAST(seq % 3 AS INTEGER) AS "partition", seq // 3 AS "offset",
+  "timestamp", {ROUTE}, avg_speed, vehicle_count, latitude, weather_condition, {', '.join(CALENDAR)},
+  30 AS n_present FROM ev WHERE seq % 13 NOT IN (0, 1)""",
         ),
         # scoring
         "predict_next_state": _with(

@@ -523,6 +523,67 @@ def kmeans_states(spark, sf_dir):
     return clusters.cluster_profiles(states).select("status", "samples", *r4("avg_speed", "avg_delay_minutes"))
 
 
+PLANTED = ["avg_speed", "avg_delay_minutes", "vehicle_count"]
+
+
+def planted_states(spark, sf_dir) -> DataFrame:
+    """Six routes on a 15-minute timeline, in one of three states far apart."""
+    rows = adapters.read_events(spark, sf_dir).select(F.expr("event_id % 6").alias("route"), F.expr("event_id div 6").alias("step"))
+    state = F.expr("CAST((step div 2 + route) % 3 AS INT)")
+    return rows.select(
+        F.concat(F.lit("r"), F.col("route")).alias("road_name"), F.lit("d").alias("district"), F.lit("c").alias("city"),
+        F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, CAST(step * 15 AS INT))").alias("event_ts"),
+        (F.lit(90.0) - 40.0 * state + (F.col("step") % 5) / 10.0).alias("avg_speed"),
+        (8.0 * state + (F.col("step") % 3) / 10.0).alias("avg_delay_minutes"),
+        (F.lit(100) + 200 * state + F.col("step") % 7).alias("vehicle_count"),
+    )
+
+
+@query
+def kmeans_planted(spark, sf_dir):
+    """Fitted clusters by status: size, profile and the state half an hour later."""
+    model, _ = clusters.fit_states(planted_states(spark, sf_dir), PLANTED)
+    status = {k: p["status"] for k, p in model.profiles.items()}
+    rows = [
+        (status[k], p["samples"], p["avg_speed"], p["avg_delay_minutes"], p["vehicle_count"], status[model.transitions[k]])
+        for k, p in model.profiles.items()
+    ]
+    found = spark.createDataFrame(
+        rows, "status string, samples long, avg_speed double, avg_delay_minutes double, vehicle_count double, next_status string"
+    )
+    return found.select("status", "samples", *r4("avg_speed", "avg_delay_minutes", "vehicle_count"), "next_status")
+
+
+@query
+def kmeans_metrics(spark, sf_dir):
+    """The metrics of a fit as a row."""
+    model, _ = clusters.fit_states(planted_states(spark, sf_dir), PLANTED)
+    row = spark.createDataFrame([tuple(map(float, model.metrics.values()))], ", ".join(f"{m} double" for m in model.metrics))
+    return row.select(
+        F.round("inertia", 3).alias("inertia"), F.col("transition_rows").cast("long").alias("transition_rows"),
+        *r4("silhouette_score", "silhouette_error"),
+    )
+
+
+@query
+def topic_view(spark, sf_dir):
+    """The typed view over a topic, of which some messages are no records."""
+    records = sourced(ev(spark, sf_dir))
+    fields = [c for c in TOPIC_SCHEMA.names if c in records.columns]
+    body = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+    broken = F.when(F.col("seq") % 13 == 0, F.substring(body, F.lit(1), F.length(body) - 1))
+    wrong = F.when(F.col("seq") % 13 == 1, F.lit('{"vehicle_count":"many"}'))
+    messages = records.select(
+        F.coalesce(broken, wrong, body).cast("binary").alias("value"), "topic", "partition", "offset",
+        F.col("event_ts").cast("timestamp").alias("timestamp"),
+    )
+    view = topics.read_topic(spark, TOPIC_ENRICHED, TOPIC_SCHEMA, source=messages, streaming=False)
+    return view.select(
+        "topic", F.col("partition").cast("int").alias("partition"), "offset", "timestamp", *ROUTE_KEYS, "avg_speed",
+        "vehicle_count", "latitude", "weather_condition", *CALENDAR, F.size("present").alias("n_present"),
+    )
+
+
 # -- scoring -----------------------------------------------------------------------
 
 

@@ -30,9 +30,32 @@ def test_medians(spark):
         [7.0] * n,
     ]
     check(spark, columns)
-    check(spark, columns, bracket_rows=20, accuracy=25)
-    check(spark, [c[:-1] for c in columns], bracket_rows=20, accuracy=25)
+    check(spark, columns, buckets=5)
+    check(spark, [c[:-1] for c in columns], buckets=2)
 
 
 def test_tiny(spark):
-    check(spark, [[1.0, 2.0], [None, 3.0]], bracket_rows=1, accuracy=10)
+    check(spark, [[1.0, 2.0], [None, 3.0]], buckets=2)
+
+
+def test_many_magnitudes_and_infinities(spark):
+    rng = random.Random(6)
+    inf = float("inf")
+    columns = [
+        [rng.choice([-1, 1]) * 10.0 ** rng.randrange(-300, 300) for _ in range(500)],
+        [rng.choice([-inf, inf, 0.0, -0.0, 5e-324, 1e308, -1e308]) for _ in range(500)],
+        [1e308 if i % 2 else -1e308 for i in range(499)] + [None],
+        [1.0 + i * 2.0**-52 for i in range(500)],
+    ]
+    for buckets in (256, 3):
+        check(spark, columns, buckets=buckets)
+
+
+def test_passes_and_entries_are_bounded(spark, monkeypatch):
+    rows = [(10.0 ** (i % 600 - 300) * (1 + i / 7000),) for i in range(5000)]
+    df = spark.createDataFrame(rows, "v double")
+    collected = []
+    kind, collect = type(df), type(df).collect
+    monkeypatch.setattr(kind, "collect", lambda self: collected.append(collect(self)) or collected[-1])
+    assert exact_medians(df, ["v"], buckets=16)["v"] == statistics.median(r[0] for r in rows)
+    assert len(collected) <= 2 + 64 // 4 and max(map(len, collected)) <= 2 * 16
