@@ -20,6 +20,16 @@ def _typed(df: DataFrame, columns: list[str]) -> DataFrame:
     return cast_all(df.select(*columns), {c: types[c] for c in columns if c in types})
 
 
+def training_layout(events: DataFrame) -> SeriesLayout:
+    """Layout for ``training_set``, measured on narrow rows: the raw events serve as well as
+    the enriched ones, since cut points only steer the balance."""
+    rows = events.where(F.col("event_ts").isNotNull())
+    places = rows.select(
+        *ASOF_KEYS, F.col("event_ts").alias("_time"), F.lit(1).alias("_side"), tie_breaker(rows).alias("_tie")
+    )
+    return SeriesLayout.measure(places, ASOF_KEYS, ASOF_ORDER)
+
+
 def training_set(
     events: DataFrame,
     features: DataFrame,
@@ -37,12 +47,8 @@ def training_set(
     known = _typed(features, [*ASOF_KEYS, *LONGTERM_FEATURES, "source_cutoff"])
     if layout is None:
         # Only the events can pile up on a key; the features have one row per
-        # key and cutoff. Measured on the bare keys, before any feature work.
-        # The hash is computed only if a key has to be cut.
-        bare = rows.select(
-            *ASOF_KEYS, F.col("event_ts").alias("_time"), F.lit(1).alias("_side"), tie_breaker(rows).alias("_tie")
-        )
-        layout = SeriesLayout.measure(bare, ASOF_KEYS, ASOF_ORDER)
+        # key and cutoff. Callers that have the raw events measure on those.
+        layout = training_layout(rows)
     joined = asof_left(rows, known, payload=LONGTERM_FEATURES, layout=layout)
     newest = F.col("feature_source_cutoff").desc_nulls_last()
     single = latest_row(

@@ -432,7 +432,8 @@ def history_without_derived(spark, sf_dir):
 def asof_training_set(spark, sf_dir):
     records = ev(spark, sf_dir)
     events = enrich.enrich_series(records)
-    rows = training.training_set(events, feature_history(spark, sf_dir), "run 1")
+    layout = training.training_layout(records)
+    rows = training.training_set(events, feature_history(spark, sf_dir), "run 1", layout)
     whole = ("hour", "day_of_week")
     return rows.select(
         "training_run_id", *text("dt"), "event_ts", *ROUTE_KEYS,
@@ -766,7 +767,9 @@ def lake_tables(spark, sf_dir):
     features_table.append(history.withColumn("baseline_speed_7d", F.lit(-1.0)))
     features_table.replace(history, "source_cutoff")
     features_table.replace(history.where(F.col("source_cutoff") == oracles.CUTOFFS[-1]), "source_cutoff")
-    run = training.training_set(enrich.enrich_series(ev(spark, sf_dir)), features_table.rows(), "run 1")
+    records = ev(spark, sf_dir)
+    layout = training.training_layout(records)
+    run = training.training_set(enrich.enrich_series(records), features_table.rows(), "run 1", layout)
     target["training_kmeans_30m"].replace(run, "training_run_id")
 
     def shown(name: str, number: Column, value: str) -> DataFrame:

@@ -30,7 +30,7 @@ from roadstate.schemas import (
 )
 from roadstate.session import ROCKSDB
 from roadstate.streaming.carried import Accidents, BatchTable, CarriedJob, Congestion, Fill, Windows
-from roadstate.streaming.processors import SIDE, AccidentDetector, CongestionDetector, LagWindow, LatestFill
+from roadstate.streaming.processors import CARRIED, SIDE, AccidentDetector, CongestionDetector, LagWindow, LatestFill
 
 
 # Order in which enriched records leave the count window.
@@ -68,6 +68,9 @@ def latest_fill_stream(
     right = updates.select(*keys, *order, *fields).withColumn(SIDE, F.lit(0))
     both = left.unionByName(right, allowMissingColumns=True)
     output = T.StructType([both.schema[c] for c in both.columns if c != SIDE])
+    if present is not None:
+        flags = {f"{CARRIED}{f}": F.coalesce(F.array_contains(present, f), F.lit(False)) for f in fields}
+        both = both.withColumns(flags)
     return _stateful(both, keys, LatestFill(output, fields, order, present), output)
 
 

@@ -24,6 +24,8 @@ from roadstate.streaming import steps
 
 # Columns with a leading underscore do not reach a processor.
 SIDE = "side_tag"
+# Prefix of the flags that tell which fields a record did carry.
+CARRIED = "carried_"
 
 
 def _arrived(rows: Iterator[pd.DataFrame], order: Sequence[str]) -> pd.DataFrame:
@@ -78,8 +80,7 @@ class LatestFill(StatefulProcessor):
             if self.present is None:
                 filled[f] = own.where(own.notna(), new)
             else:
-                carried = events[self.present].map(lambda names, f=f: names is not None and f in names)
-                filled[f] = own.where(carried.astype(bool), new)
+                filled[f] = own.where(events[f"{CARRIED}{f}"].astype(bool), new)
         out = events.assign(**filled)[self.schema.names]
         for f in self.schema.fields:
             if f.name in filled and not isinstance(f.dataType, T.StringType):
