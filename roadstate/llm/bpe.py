@@ -15,7 +15,6 @@ result; other columns are neither read nor returned.
 
 from __future__ import annotations
 
-import functools
 import heapq
 import json
 import re
@@ -27,13 +26,17 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadstate.llm.common import batch, text_or_empty
+from roadstate.llm.common import batch, held, text_or_empty
 
 # Fixed: the split pattern of byte-level vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 CUT = re.compile(r"(?<=\S) (?=\S)")
 UNCLEAR = re.compile(r"(?:^|\s) | (?:\s|$)")
 CACHE = 400_000
+#: Characters of the longest text a table keeps, and bytes of a table's generation.
+LONGEST, CACHE_BYTES = 256, 64 << 20
+#: What an entry takes besides its characters and ids.
+ENTRY = 160
 
 
 def byte_symbols() -> dict[int, str]:
@@ -44,20 +47,27 @@ def byte_symbols() -> dict[int, str]:
 
 
 class Chunks(dict):
-    """Chunk to ids as bytes; full generations replace each other."""
+    """Chunk to ids as bytes; generations full by entries or bytes replace each other.
 
-    def __init__(self, make, limit: int):
+    Chunks beyond `LONGEST` characters, as texts without blanks have them, are not kept.
+    """
+
+    def __init__(self, make, limit: int, limit_bytes: int = CACHE_BYTES):
         super().__init__()
-        self.make, self.limit, self.old = make, limit, {}
+        self.make, self.limit, self.limit_bytes = make, limit, limit_bytes
+        self.old, self.bytes = {}, 0
 
     def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= self.limit:
-            self.old = dict(self)
+        if len(chunk) > LONGEST:
+            return self.make(chunk)
+        if len(self) >= self.limit or self.bytes >= self.limit_bytes:
+            self.old, self.bytes = dict(self), 0
             self.clear()
         found = self.old.get(chunk)
         if found is None:
             found = self.make(chunk)
         self[chunk] = found
+        self.bytes += ENTRY + len(chunk) + len(found)
         return found
 
 
@@ -87,8 +97,8 @@ class BytePairCodec:
         longest = sorted(self.special, key=len, reverse=True)
         self.specials = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if longest else None
         self.split = regex.compile(PATTERN).findall
-        self.pieces = Chunks(self.encode_piece, cache // 2)
-        self.first = Chunks(self.encode_chunk, cache // 8)
+        self.pieces = Chunks(self.encode_piece, cache // 4, CACHE_BYTES // 4)
+        self.first = Chunks(self.encode_chunk, cache // 8, CACHE_BYTES // 8)
         self.later = Chunks(lambda chunk: self.encode_chunk(" " + chunk), cache)
 
     def encode_piece(self, piece: str) -> bytes:
@@ -148,10 +158,9 @@ class BytePairCodec:
         return b"".join(map(self.strings.__getitem__, array("I", ids))).decode("utf-8", "replace")
 
 
-@functools.lru_cache(maxsize=2)
 def codec(path: str) -> BytePairCodec:
     """One codec per worker process and vocabulary."""
-    return BytePairCodec(path)
+    return held("bpe", BytePairCodec, path)
 
 
 ARROW_IDS = pa.schema(
@@ -173,7 +182,7 @@ def bpe_round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
                 ids = own.encode(text.as_py())
                 rows.append((row_id, len(ids) // 4, ids, own.decode(ids)))
                 size += len(ids)
-                if size > 16 << 20:
+                if size > 4 << 20:
                     yield batch(rows, ARROW_IDS)
                     rows, size = [], 0
             yield batch(rows, ARROW_IDS)

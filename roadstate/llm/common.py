@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -80,7 +81,44 @@ def tuples(incoming: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         yield from zip(*(c.to_pylist() for c in b.columns), strict=True)
 
 
+#: Bytes of an Arrow batch between Spark and a Python worker. The default of Spark, 64 MB,
+#: is held several times over on both sides.
+ARROW_BYTES = 8 << 20
+
+
+def bound_batches(spark: SparkSession, limit: int = ARROW_BYTES) -> None:
+    """Keep the session's Arrow batches at `limit` bytes, or below if they are already."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name))
+    if not 0 < now <= limit:
+        spark.conf.set(name, str(limit))
+
+
+_HELD: dict[tuple, object] = {}
+
+
+def held(name: str, make: Callable, *args):
+    """`make(*args)`, kept by the worker process until another thing is held.
+
+    Workers are used again by later stages; so they hold the tables of one operator and
+    not those of all that ran before.
+    """
+    key = (name, *args)
+    if key not in _HELD:
+        release()
+        _HELD[key] = make(*args)
+    return _HELD[key]
+
+
+def release() -> None:
+    """Let go of what the worker process holds."""
+    if _HELD:
+        _HELD.clear()
+        gc.collect()
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

@@ -24,7 +24,6 @@ other columns are not read.
 
 from __future__ import annotations
 
-import functools
 import os
 import re
 import struct
@@ -36,15 +35,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from roadstate.llm.common import batch, slices, text_or_empty
+from roadstate.llm.common import batch, held, slices, text_or_empty
 
 HEAD = struct.Struct("<4sIIIQQQ")
 DOCUMENT = np.dtype([("has_id", "u1"), ("id", "<i8"), ("n", "<u4")])
 MAGIC, VERSION, BLOCK = b"TIDS", 1, 4096
-SEGMENT_IDS = 1 << 20
+SEGMENT_IDS = 1 << 18
 CUT = re.compile(r"(?<=\S) (?=\S)")
 UNCLEAR = re.compile(r"(?:^|\s) | (?:\s|$)")
 CACHE = 150_000
+#: Bytes of a generation of the chunk table, and characters of the longest chunk it keeps.
+CACHE_BYTES, LONGEST, ENTRY = 48 << 20, 256, 160
 
 
 def width_of(vocabulary: int) -> int:
@@ -139,6 +140,7 @@ class LibraryEncoder:
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.bytes = 0
         self.vocabulary = self.tokenizer.get_vocab_size()
         # A byte-level token has one character per byte.
         self.lengths = np.zeros(self.vocabulary, np.int64)
@@ -166,8 +168,9 @@ class LibraryEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        if len(self.known) > CACHE:  # chunks in use move on to the next generation
-            self.known, self.older = {}, self.known
+        # Chunks in use move on to the next generation.
+        if len(self.known) > CACHE or self.bytes > CACHE_BYTES:
+            self.known, self.older, self.bytes = {}, self.known, 0
         chunks: list[list[str] | None] = []
         for text in texts:
             if any(s in text for s in self.specials):
@@ -176,23 +179,29 @@ class LibraryEncoder:
                 first, *later = CUT.split(text) if UNCLEAR.search(text) else text.split(" ")
                 chunks.append([first, *[" " + c for c in later]])
         known, older, new = self.known, self.older, []
-        for chunk in {c for some in chunks if some is not None for c in some} - known.keys():
+        missing = {c for some in chunks if some is not None for c in some} - known.keys()
+        for chunk in missing:
             ids = older.get(chunk)
             if ids is None:
                 new.append(chunk)
             else:
                 known[chunk] = ids
         self.learn(new)
-        return [
-            self.library([text])[0].tobytes() if some is None else b"".join(map(self.known.__getitem__, some))
+        found = [
+            self.library([text])[0].tobytes() if some is None else b"".join(map(known.__getitem__, some))
             for text, some in zip(texts, chunks, strict=True)
         ]
+        for chunk in missing:
+            if len(chunk) > LONGEST:
+                del known[chunk]
+            else:
+                self.bytes += ENTRY + len(chunk) + len(known[chunk])
+        return found
 
 
-@functools.lru_cache(maxsize=2)
 def encoder(path: str) -> LibraryEncoder:
     """One encoder per worker process and vocabulary."""
-    return LibraryEncoder(path)
+    return held("token files", LibraryEncoder, path)
 
 
 def packed_segments(path: str, end_id: int):
@@ -255,24 +264,31 @@ ARROW_READ = pa.schema(
         ("row_id", pa.int64()),
         ("before", pa.int64()),
         ("n_tokens", pa.int64()),
+        ("ids_crc32", pa.int64()),
         ("ids", pa.binary()),
     ]
 )
 
 
-def unpacked(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in incoming:
-        for name, content in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-            before = 0
-            for s in segments(content.as_py()):
-                data, starts = s.read_range(0, s.ids).tobytes(), s.starts.tolist()
-                for first in range(0, len(s.index), 500):
-                    rows = []
-                    for i in range(first, min(first + 500, len(s.index))):
-                        a, b_ = starts[i], starts[i + 1]
-                        rows.append((name, s.row_id(i), before + a, b_ - a, data[4 * a : 4 * b_]))
-                    yield batch(rows, ARROW_READ)
-                before += s.ids
+def unpacked(with_ids: bool):
+    """Documents of whole files; without `with_ids` the ids stay in the task and only their crc32 leaves."""
+
+    def run(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in incoming:
+            for name, content in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                before = 0
+                for s in segments(content.as_py()):
+                    data, starts = memoryview(s.read_range(0, s.ids).tobytes()), s.starts.tolist()
+                    for first in range(0, len(s.index), 500):
+                        rows = []
+                        for i in range(first, min(first + 500, len(s.index))):
+                            a, z = starts[i], starts[i + 1]
+                            ids = data[4 * a : 4 * z]
+                            rows.append((name, s.row_id(i), before + a, z - a, zlib.crc32(ids), bytes(ids) if with_ids else None))
+                        yield batch(rows, ARROW_READ)
+                    before += s.ids
+
+    return run
 
 
 def totals(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -287,22 +303,41 @@ def totals(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def read_token_files(spark: SparkSession, folder: str, id_col: str = "doc_id") -> DataFrame:
-    """id, start (ids of all documents before it), n_tokens, ids, per document.
+#: Files whose totals one task adds up, and the most totals that are broadcast.
+FILES_A_GROUP, BROADCAST_FILES = 1000, 100_000
+
+
+def file_starts(per_file: DataFrame) -> DataFrame:
+    """file, file_start: ids in all files before it, from (file, ids).
 
-    Only one total per file is ordered globally; files hold megabytes, so that list is
-    short. Starts within a file come from its own counts.
+    Sums of sums: within groups of consecutive files, then over the groups, so no task
+    sees more than a group's files or one row per group.
+    """
+    number = F.regexp_extract("file", r"part-(\d+)", 1).cast("long")
+    placed = per_file.withColumn("part", F.floor(number / FILES_A_GROUP))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    groups = placed.groupBy("part").agg(F.sum("ids").alias("in_part"))
+    groups = groups.select("part", F.coalesce(F.sum("in_part").over(earlier), F.lit(0)).alias("part_start"))
+    inside = Window.partitionBy("part").orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    own = placed.select("part", "file", F.coalesce(F.sum("ids").over(inside), F.lit(0)).alias("in_front"))
+    return own.join(groups, "part").select("file", (F.col("part_start") + F.col("in_front")).alias("file_start"))
+
+
+def read_token_files(
+    spark: SparkSession, folder: str, id_col: str = "doc_id", with_ids: bool = True
+) -> DataFrame:
+    """id, start (ids of all documents before it), n_tokens, ids_crc32 and, unless left out, ids, per document.
+
+    The starts of files (one row each) are broadcast while they are at most
+    `BROADCAST_FILES`; beyond that documents are joined to them.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder)
     named = files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content")
-    rows = named.mapInArrow(unpacked, "file string, row_id long, before long, n_tokens long, ids binary")
-    per_file = named.mapInArrow(totals, "file string, ids long")
-    starts = per_file.select(
-        "file",
-        (F.sum("ids").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, 0)) - F.col("ids")).alias(
-            "file_start"
-        ),
-    )
-    return rows.join(starts, "file").select(
-        F.col("row_id").alias(id_col), (F.col("file_start") + F.col("before")).alias("start"), "n_tokens", "ids"
-    )
+    schema = "file string, row_id long, before long, n_tokens long, ids_crc32 long, ids binary"
+    rows = named.mapInArrow(unpacked(with_ids), schema)
+    starts = file_starts(named.mapInArrow(totals, "file string, ids long"))
+    if len(files.inputFiles()) <= BROADCAST_FILES:
+        starts = F.broadcast(starts)
+    start = (F.col("file_start") + F.col("before")).alias("start")
+    found = rows.join(starts, "file").select(F.col("row_id").alias(id_col), start, "n_tokens", "ids_crc32", "ids")
+    return found if with_ids else found.drop("ids")

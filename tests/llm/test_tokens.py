@@ -93,6 +93,39 @@ def test_files(spark, docs_of, library, tmp_path):
     assert sorted(((r.doc_id, r.n_tokens, zlib.crc32(bytes(r.ids))) for r in rows), key=key) == sorted(want, key=key)
 
 
+def test_crc_without_ids(spark, docs_of, tmp_path):
+    folder = str(tmp_path / "ids")
+    token_files.write_token_files(docs_of(ROWS), folder, PATH, 2, file_bytes=20_000)
+    whole = token_files.read_token_files(spark, folder)
+    narrow = token_files.read_token_files(spark, folder, with_ids=False)
+    assert narrow.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+    want = [(r.doc_id, r.start, r.n_tokens, zlib.crc32(bytes(r.ids))) for r in whole.collect()]
+    assert sorted(map(tuple, narrow.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_starts_of_many_files(spark, monkeypatch):
+    monkeypatch.setattr(token_files, "FILES_A_GROUP", 7)
+    sizes = [i * 37 % 11 for i in range(100)]
+    files = [(f"part-{i:05d}-x-c000.txt", n) for i, n in enumerate(sizes)]
+    got = token_files.file_starts(spark.createDataFrame(files, "file string, ids long").repartition(4)).collect()
+    assert {r.file: r.file_start for r in got} == {f: sum(sizes[:i]) for i, (f, _) in enumerate(files)}
+
+
+def test_tables_are_bounded_by_bytes(library):
+    seen = []
+    table = bpe.Chunks(lambda c: seen.append(c) or b"1234" * len(c), 1000, limit_bytes=20_000)
+    for _ in range(2):
+        for i in range(300):
+            assert table[f"{i:0100d}"] == b"1234" * 100
+    assert len(table) + len(table.old) < 100 and len(seen) > 300
+    assert table["x" * 1000] == b"1234" * 1000 and "x" * 1000 not in table
+    own = token_files.LibraryEncoder(PATH)
+    long = "本" * 5000
+    for text, ids in zip([long, f"a {long} b"], own.encode([long, f"a {long} b"]), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert max(map(len, own.known)) <= token_files.LONGEST
+
+
 def test_no_files_for_no_rows(spark, docs_of, tmp_path):
     folder = str(tmp_path / "ids")
     token_files.write_token_files(docs_of(ROWS).where("false"), folder, PATH, 2)
