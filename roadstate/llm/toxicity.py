@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadstate.llm.common import batches, fold, text_or_empty, tuples, written
+from roadstate.llm.common import batches, fold, release, text_or_empty, tuples, written
 
 WINDOW, STRIDE = 48, 24
 GRAMS = (3, 5)  # bytes
@@ -271,7 +271,7 @@ def fit(net: Network, windows: list[list[bytes]], labels: np.ndarray, epochs: in
     values, hashes = net.inputs(words)
     known = {w: i for i, w in enumerate(words)}
     x = np.zeros((len(windows), WINDOW, 3), np.float32)
-    buckets = np.zeros((len(windows), WINDOW), np.int64)
+    buckets = np.zeros((len(windows), WINDOW), np.int32)
     mask = np.zeros((len(windows), WINDOW), np.float32)
     for i, w in enumerate(windows):
         at = [known[token] for token in w]
@@ -431,10 +431,17 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int, features: int, m
         return Network({})
     net = Network(evidence(chosen, taken[1], taken[0], features))
     rows = chosen.mapInArrow(training_windows(net), "words binary, toxic int").collect()  # four windows a row at most
-    fit(net, [bytes(r["words"]).split() for r in rows], np.array([r["toxic"] for r in rows]))
+    fit(net, Split(bytes(r["words"]) for r in rows), np.array([r["toxic"] for r in rows]))
     return net
 
 
+class Split(list):
+    """Texts that are split into words when they are looked at."""
+
+    def __iter__(self) -> Iterator[list[bytes]]:
+        return (text.split() for text in super().__iter__())
+
+
 def training_windows(net: Network, each: int = 4):
     """Windows of a document with the most toxic evidence; for clean ones half by hash."""
 
@@ -463,59 +470,51 @@ def training_windows(net: Network, each: int = 4):
     return run
 
 
-def with_toxicity(
+#: Characters of text that a task scores together.
+AT_ONCE = 1 << 20
+
+
+def toxicity(
     docs: DataFrame,
     labels: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
     modulus: int = 3,
     held: int = 1,
+    threshold: float = 0.7,
     sample_docs: int = 3000,
     features: int = 10_000,
 ) -> DataFrame:
-    """(row, score) per row of `docs`; `row` is a struct of its columns as they are.
+    """id, held_out, score, predicted, per row of `docs`.
 
     `labels` has doc_id and toxic; rows whose fold of `modulus` is `held` never train.
+    Only the id and the text of a row pass through Python, and only the score comes back.
     """
-    net = train(docs, labels, sample_docs, features, modulus, held, id_col, text_col)
+    own = docs.select(F.col(id_col).cast("long").alias("row_id"), F.col(text_col).alias("text"))
+    net = train(own, labels, sample_docs, features, modulus, held, "row_id", "text")
     sent = docs.sparkSession.sparkContext.broadcast(net)
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    schema = docs.select(row).schema.add("score", "double")
 
     def run(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         scorer = Scorer(sent.value)
         for b in incoming:
-            texts = b.column(1).to_pylist()
-            scores, at = [], 0
-            while at < len(texts):
-                end, size = at, 0
-                while end < len(texts) and size <= 1 << 20:
-                    size += len(texts[end])
-                    end += 1
-                scores += scorer.scores(texts[at:end]).tolist()
+            sizes = b.column(2).to_numpy()
+            at = 0
+            while at < b.num_rows:
+                # The row that passes the bound is still in: very long texts go alone.
+                end = at + 1 + int(np.searchsorted(np.cumsum(sizes[at:]), AT_ONCE))
+                part = b.slice(at, end - at)
+                scores = scorer.scores(part.column(1).to_pylist())
+                yield pa.record_batch([part.column(0), pa.array(scores, pa.float64())], ["row_id", "score"])
                 at = end
-            yield pa.record_batch([b.column(0), pa.array(scores, pa.float64())], ["row", "score"])
-
-    return docs.select(row, text_or_empty(text_col).cast("binary").alias("text")).mapInArrow(run, schema)
 
-
-def toxicity(
-    docs: DataFrame,
-    labels: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    modulus: int = 3,
-    held: int = 1,
-    threshold: float = 0.7,
-    sample_docs: int = 3000,
-    features: int = 10_000,
-) -> DataFrame:
-    """id, held_out, score, predicted, per row of `docs`."""
-    own = docs.select(F.col(id_col).cast("long").alias("row_id"), F.col(text_col).alias("text"))
-    scored = with_toxicity(own, labels, "row_id", "text", modulus, held, sample_docs, features)
+    text = text_or_empty("text").cast("binary")
+    scored = own.select("row_id", text.alias("text"), F.octet_length(text).cast("long").alias("size")).mapInArrow(
+        run, "row_id long, score double"
+    )
     return scored.select(
-        F.col("row.row_id").alias(id_col),
-        (fold(F.col("row.row_id"), modulus) == held).alias("held_out"),
+        F.col("row_id").alias(id_col),
+        (fold(F.col("row_id"), modulus) == held).alias("held_out"),
         "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
