@@ -261,6 +261,14 @@ def repeated_lines(
     return found.groupBy("row_id", "mark").agg(F.collect_list(lines).alias("lines"))
 
 
+def stats_name(columns: list[str]) -> str:
+    """`line_stats`, with underscores until no column has that name."""
+    name = "line_stats"
+    while name.lower() in {c.lower() for c in columns}:
+        name += "_"
+    return name
+
+
 def line_dedup(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -271,7 +279,7 @@ def line_dedup(
     filter_bits: int = 26,
     copy_percent: int | None = None,
 ) -> DataFrame:
-    """`docs` with repeated lines dropped from the text, plus `line_stats`.
+    """`docs` with repeated lines dropped from the text, plus `line_stats` (see `stats_name`).
 
     A key is the line without the white space around it, A-Z lower-cased. Keys found
     in at least `min_docs` rows lose all their lines, or all but the first occurrence.
@@ -308,4 +316,4 @@ def line_dedup(
     columns = [
         F.col("kept").cast("string").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns
     ]
-    return done.select(*columns, F.struct("n_lines", "n_dropped").alias("line_stats"))
+    return done.select(*columns, F.struct("n_lines", "n_dropped").alias(stats_name(docs.columns)))

@@ -71,3 +71,11 @@ def test_no_repeat_is_missed_by_the_filters():
     seen.add(hashes_of([b"k%d" % i for i in range(3000)]))
     seen.add(hashes_of([b"k%d" % i for i in range(2000, 5000)]))
     assert seen.suspects(hashes_of([b"k%d" % i for i in range(2000, 3000)])).all()
+
+
+def test_own_column_of_the_name_of_the_statistics(spark):
+    rows = [(i, "shared line\nown %d" % i, "theirs", "too") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, line_stats string, LINE_STATS_ string")
+    got = line_dedup(docs, min_docs=2, keep_first=False)
+    assert got.columns == [*docs.columns, "line_stats__"]
+    assert {(r[1], r[2], r[3], r[4].n_dropped) for r in got.collect()} == {(f"own {i}", "theirs", "too", 1) for i in range(3)}
