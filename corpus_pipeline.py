@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from roadstate.llm import bpe, decontaminate, line_dedup, near_dedup
 from roadstate.llm import toxicity as toxic_texts
-from roadstate.llm.common import table, written
+from roadstate.llm.common import bound_batches, table, written
 from roadstate.llm.queries import VOCABULARY
 
 TOXIC = 0.7
@@ -28,8 +28,9 @@ def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the network scores 0.7 or more go."""
-    scored = toxic_texts.with_toxicity(docs, table(spark, sf_dir, "labels"))
-    return scored.where(F.col("score") < TOXIC).select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    scored = toxic_texts.toxicity(docs, table(spark, sf_dir, "labels"), threshold=TOXIC)
+    # Ids only: written before the rows are read again, so their size is known to the join.
+    return without(docs, written(scored.where("predicted = 1").select("doc_id"), "pipeline-toxic"))
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,14 +38,17 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     Rows that this leaves without text go too; n_chars follows the text.
     """
+    bound_batches(spark)
     found = line_dedup.line_dedup(docs, min_docs=10, keep_first=False, copy_percent=COPY_PERCENT)
-    emptied = (F.col("line_stats.n_dropped") > 0) & ~F.col("text").rlike(r"[^ \t\n\x0B\f\r]")
-    kept = found.where(~emptied).drop("line_stats")
+    stats = line_dedup.stats_name(docs.columns)
+    emptied = (F.col(f"{stats}.n_dropped") > 0) & ~F.col("text").rlike(r"[^ \t\n\x0B\f\r]")
+    kept = found.where(~emptied).drop(stats)
     return kept.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else kept
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that share 80 % of their five-word shingles the smallest id stays."""
+    bound_batches(spark)
     found = near_dedup.near_dedup(docs, k=5, percent=80)
     return without(docs, found.where(~F.col("kept")).select("doc_id"))
 
@@ -57,6 +61,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of the kept documents and the text they decode to."""
+    bound_batches(spark)
     return bpe.bpe_round_trip(docs, VOCABULARY)
 
 
