@@ -97,3 +97,35 @@ def test_one_of_many_copies_keeps_its_text(spark):
     assert all(got[i or None] == own(i) for i in range(12)) and got[201] == "edition 1"
     final = corpus_pipeline.near_duplicates(spark, lines, "")
     assert [t for _, t in pairs(final)].count(text) == 1
+
+
+def empty_tables(spark, folder, documents):
+    documents.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return folder
+
+
+def test_empty_tables(spark, tmp_path):
+    none = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    assert corpus_pipeline.run(spark, empty_tables(spark, str(tmp_path), none)).collect() == []
+
+
+def test_columns_with_names_of_the_stages(spark, tmp_path):
+    names = ["line_stats", "row", "row_id", "kept", "score", "key", "n_tokens", "__gone", "predicted"]
+    rows = [(i, f"document number {i} says something of its own {i * 7}\nfooter", *[f"{n}{i}" for n in names]) for i in range(12)]
+    schema = "doc_id long, text string, " + ", ".join(f"{n} string" for n in names)
+    folder = empty_tables(spark, str(tmp_path), spark.createDataFrame(rows, schema))
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, folder)
+        assert docs.columns == ["doc_id", "text", *names], name
+    got = {r.doc_id: r for r in docs.collect()}
+    assert len(got) == 12
+    for i, r in got.items():
+        assert r.text == rows[i][1].removesuffix("\nfooter") and tuple(r)[2:] == rows[i][2:]
+    assert stage_rows(spark, docs, folder) == 12
+
+
+def stage_rows(spark, docs, folder):
+    return corpus_pipeline.encode(spark, docs, folder).count()
