@@ -363,7 +363,7 @@ _TRAINING = f"""joined AS (
   FROM enriched e LEFT JOIN longterm f ON f.road_name = e.road_name AND f.district = e.district
     AND f.city = e.city AND f.hour = e.hour AND f.day_of_week = e.day_of_week AND f.source_cutoff <= e.event_ts)"""
 _TRAIN_OUT = ", ".join(
-    f"{near(c)} AS {c}" if c not in ("hour", "day_of_week") else c
+    f"{near(c)} AS {c}" if c in (*ROLL_OUT, *LT_VALUES) else c
     for c in [*_TRAIN_FEATURES, *LT_VALUES]
 )
 

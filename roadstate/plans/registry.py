@@ -434,10 +434,10 @@ def asof_training_set(spark, sf_dir):
     events = enrich.enrich_series(records)
     layout = training.training_layout(records)
     rows = training.training_set(events, feature_history(spark, sf_dir), "run 1", layout)
-    whole = ("hour", "day_of_week")
+    means = {*ROLLING_COLUMNS, *LONGTERM_FEATURES}
     return rows.select(
         "training_run_id", *text("dt"), "event_ts", *ROUTE_KEYS,
-        *[F.col(c) if c in whole else near(F.col(c)).alias(c) for c in MODEL_FEATURES],
+        *[near(F.col(c)).alias(c) if c in means else F.col(c) for c in MODEL_FEATURES],
         "feature_source_cutoff",
     )
 

@@ -56,6 +56,26 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+#: Paths that this process has taken and not cleared.
+_TAKEN: list[str] = []
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A new, unused path below the shared folder, until ``clear_work``."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _TAKEN.append(path)
+    return path
+
+
+def clear_work(spark: SparkSession) -> int:
+    """Remove what this process has written to paths of ``work_dir``; returns their number.
+
+    Results are read from these paths when they are computed, so call it when the
+    results of all queries so far have been used or stored elsewhere.
+    """
+    gone = 0
+    while _TAKEN:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_TAKEN.pop())
+        store = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        gone += bool(store.delete(target, True))
+    return gone

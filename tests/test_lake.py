@@ -182,3 +182,20 @@ def test_lookup_by_route_equals_lookup_by_event(spark):
     by_route = scoring.with_online_features(events, snapshot, events.select("road_name", "district", "city").distinct())
     assert by_event.where("baseline_speed_7d IS NULL").isEmpty()
     assert rows_of(by_route.select(*by_event.columns)) == rows_of(by_event)
+
+
+def test_work_is_cleared_when_asked(spark):
+    from pathlib import Path
+
+    from roadstate import session
+
+    kept = session._TAKEN[:]
+    session._TAKEN.clear()
+    try:
+        path = session.work_dir(spark, "cleared")
+        spark.range(3).write.parquet(path)
+        session.work_dir(spark, "never-written")
+        assert Path(path).exists() and session.clear_work(spark) == 1 and not Path(path).exists()
+        assert session.clear_work(spark) == 0
+    finally:
+        session._TAKEN += kept
