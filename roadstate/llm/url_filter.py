@@ -4,9 +4,11 @@ Only DataFrame functions and the gradient-boosted trees of Spark ML: features, l
 and verdicts are columns.
 
 The trees learn from labelled URLs; where no labels are given, the URLs that the rules
-decide are the labels. Suffix statistics are smoothed block rates of the last one and
-two host labels over all labelled URLs. The trees are fitted on about `sample_rows`
-labelled rows, chosen by a hash (a parameter).
+decide are the labels. Equal URLs of one label count once, with their number as weight, so
+a URL with a third of all rows is one row of the fit. Suffix statistics are smoothed block
+rates of the last one and two host labels over all labelled URLs; a row of the fit gets
+them from the folds it is not in, so its own label is not among its features. The trees
+are fitted on about `sample_rows` labelled URLs, chosen by a hash (a parameter).
 
 Defined results: a null URL or one without `://` has an empty host and path and no rule;
 the longest rule wins, then the one with the longer host; if the labels are all of one
@@ -17,7 +19,7 @@ are not read.
 
 from __future__ import annotations
 
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -29,6 +31,8 @@ NUMERIC = [
     "length", "host_length", "path_length", "labels", "depth", "digit_ratio", "hyphens", "entropy", "parameters",
     "query_length", "has_fragment", "secure", "suffix_rate", "domain_rate", "suffix_n",
 ]
+#: Labelled URLs are dealt to so many folds by a hash of the URL.
+FOLDS = 5
 
 
 def parts(url: Column) -> tuple[Column, Column, Column]:
@@ -89,6 +93,80 @@ def lexical(frame: DataFrame) -> DataFrame:
     )
 
 
+def labelled_urls(known: DataFrame) -> DataFrame:
+    """url, label, weight, fold, and the lexical features, per different (url, label)."""
+    host, path, rest = parts(F.col("url"))
+    different = known.groupBy("url", "label").agg(F.count(F.lit(1)).alias("weight"))
+    fold = F.pmod(F.xxhash64(F.lit("fold"), "url"), F.lit(FOLDS))
+    return lexical(different.withColumns({"host": host, "path": path, "rest": rest, "fold": fold}))
+
+
+def sums_by(marked: DataFrame, column: str, *more: str) -> DataFrame:
+    return marked.groupBy(column, *more).agg(
+        F.sum(F.col("weight") * F.col("label")).alias("blocked"), F.sum("weight").alias("n")
+    )
+
+
+def smooth(blocked: Column, n: Column, rate: float) -> Column:
+    return (blocked + 5 * rate) / (n + 5)
+
+
+def all_rates(marked: DataFrame, column: str, rate: float) -> DataFrame:
+    """Block rate and number of labelled rows per suffix or domain."""
+    found = sums_by(marked, column)
+    return found.select(column, smooth(F.col("blocked"), F.col("n"), rate).alias(f"{column}_rate"), F.col("n").alias(f"{column}_n"))
+
+
+def outside_rates(marked: DataFrame, column: str, rate: float) -> DataFrame:
+    """The same per fold, from the other folds."""
+    own = sums_by(marked, column, "fold")
+    total = sums_by(marked, column).select(column, F.col("blocked").alias("all_blocked"), F.col("n").alias("all_n"))
+    blocked, n = F.col("all_blocked") - F.col("blocked"), F.col("all_n") - F.col("n")
+    return own.join(total, column).select(column, "fold", smooth(blocked, n, rate).alias(f"{column}_rate"), n.alias(f"{column}_n"))
+
+
+def with_rates(df: DataFrame, tables: list[DataFrame], more: list[str], rate: float) -> DataFrame:
+    """`df` with the rates of its suffix and domain; what is not known gets the overall rate."""
+    for found in tables:
+        column = found.columns[0]
+        df = df.join(found, [column, *more], "left")
+    return df.fillna({"suffix_rate": rate, "domain_rate": rate, "suffix_n": 0})
+
+
+def assembled(df: DataFrame) -> DataFrame:
+    return VectorAssembler(inputCols=NUMERIC, outputCol="features").transform(df)
+
+
+def fit(marked: DataFrame, rate: float, sample_rows: int, trees: int) -> GBTClassificationModel | None:
+    """Trees on about `sample_rows` labelled URLs; None where they are all of one kind."""
+    n = marked.count()
+    pick = F.pmod(F.xxhash64("url", F.lit("sample")), F.lit(1 << 20)) < min(1.0, sample_rows / max(1, n)) * (1 << 20)
+    outside = [outside_rates(marked, c, rate) for c in ("suffix", "domain")]
+    rows = with_rates(marked.where(pick), outside, ["fold"], rate)
+    sample = assembled(rows).select("features", "label", F.col("weight").cast("double").alias("weight"))
+    if sample.agg(F.countDistinct("label")).first()[0] < 2:
+        return None
+    return GBTClassifier(maxIter=trees, maxDepth=4, seed=1, weightCol="weight").fit(sample)
+
+
+def held_out(known: DataFrame, sample_rows: int = 20_000, trees: int = 10) -> DataFrame:
+    """label, predicted, n over the URLs of one fold, judged by trees and rates of the other folds.
+
+    `known` has url and label (0 or 1). Empty where the other folds have one kind of label.
+    """
+    marked = labelled_urls(known)
+    test, train = marked.where("fold = 0"), marked.where("fold <> 0")
+    totals = train.agg(F.sum("weight").alias("n"), F.sum(F.col("weight") * F.col("label")).alias("blocked")).first()
+    rate = totals["blocked"] / totals["n"] if totals["n"] else 0.0
+    model = fit(train, rate, sample_rows, trees) if 0 < rate < 1 else None
+    if model is None:
+        return known.sparkSession.createDataFrame([], "label double, predicted double, n long")
+    full = [all_rates(train, c, rate) for c in ("suffix", "domain")]
+    scored = model.transform(assembled(with_rates(test, full, [], rate)))
+    predicted = (vector_to_array("probability")[1] >= 0.5).cast("double").alias("predicted")
+    return scored.groupBy("label", predicted).agg(F.sum("weight").alias("n"))
+
+
 def judge(
     pages: DataFrame,
     rules: list[tuple[str, str]],
@@ -108,34 +186,19 @@ def judge(
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     rows = lexical(rows.withColumns({"rule": rule, "by_rule": verdict}))
     if labelled is None:
-        marked = rows.where("by_rule is not null").withColumn("label", (F.col("by_rule") == "block").cast("double"))
+        known = rows.where("by_rule is not null").select("url", (F.col("by_rule") == "block").cast("double").alias("label"))
     else:
         known = labelled.select("url", F.col("block").cast("double").alias("label")).where("label in (0, 1)")
-        marked = lexical(split(known))
-
-    totals = marked.agg(F.count("*").alias("n"), F.avg("label").alias("rate")).first()
-    n, rate = totals["n"], totals["rate"]
-    judged = rows.withColumn("score", F.lit(0.0 if not n else float(rate)))
-    if n and 0 < rate < 1:
-        smooth = lambda: (F.sum("label") + 5 * rate) / (F.count("*") + 5)
-        suffixes = marked.groupBy(F.col("suffix").alias("s")).agg(smooth().alias("suffix_rate"), F.count("*").alias("suffix_n"))
-        domains = marked.groupBy(F.col("domain").alias("d")).agg(smooth().alias("domain_rate"))
-
-        def with_rates(df: DataFrame) -> DataFrame:
-            return (
-                df.join(suffixes, F.col("suffix") == F.col("s"), "left")
-                .join(domains, F.col("domain") == F.col("d"), "left")
-                .fillna({"suffix_rate": rate, "domain_rate": rate, "suffix_n": 0})
-            )
-
-        assemble = VectorAssembler(inputCols=NUMERIC, outputCol="features")
-        pick = F.pmod(F.xxhash64("url", F.lit("sample")), F.lit(1 << 20)) < min(1.0, sample_rows / n) * (1 << 20)
-        sample = assemble.transform(with_rates(marked.where(pick))).select("features", "label")
-        kinds = sample.agg(F.countDistinct("label")).first()[0]
-        if kinds == 2:
-            model = GBTClassifier(maxIter=trees, maxDepth=4, seed=1).fit(sample)
-            scored = model.transform(assemble.transform(with_rates(rows)))
-            judged = scored.withColumn("score", vector_to_array("probability")[1])
+    marked = labelled_urls(known)
+
+    totals = marked.agg(F.sum("weight").alias("n"), F.sum(F.col("weight") * F.col("label")).alias("blocked")).first()
+    rate = totals["blocked"] / totals["n"] if totals["n"] else 0.0
+    judged = rows.withColumn("score", F.lit(float(rate)))
+    model = fit(marked, rate, sample_rows, trees) if 0 < rate < 1 else None
+    if model is not None:
+        full = [all_rates(marked, c, rate) for c in ("suffix", "domain")]
+        scored = model.transform(assembled(with_rates(rows, full, [], rate)))
+        judged = scored.withColumn("score", vector_to_array("probability")[1])
     by_method = F.when(F.col("score") >= 0.5, F.lit("block")).otherwise(F.lit("allow"))
     return judged.select(
         F.col("row_id").alias(id_col), "host", "path", "rule", F.coalesce("by_rule", by_method).alias("verdict"), "score"
