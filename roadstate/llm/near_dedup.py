@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadstate.llm.common import batches, checkpointed, text_or_empty, tuples, written
+from roadstate.llm.common import batches, checkpointed, held, text_or_empty, tuples, written
 from roadstate.llm.components import components
 
 BANDS, ROWS = 24, 5
@@ -57,24 +57,23 @@ def permutations() -> tuple[np.ndarray, np.ndarray]:
 
 
 class WordHashes(dict):
-    """64-bit hashes of words, forgotten when the table is full."""
+    """64-bit hashes of words of up to 64 bytes, forgotten when the table is full."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
-            self.clear()
-        value = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        value = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        if len(word) <= 64:
+            if len(self) > 300_000:
+                self.clear()
+            self[word] = value
         return value
 
 
-WORDS = WordHashes()
-
-
 def shingles(text: bytes, k: int) -> np.ndarray:
     """Sorted distinct hashes of runs of k words; all words if there are fewer."""
     words = text.lower().split()  # bytes: A-Z and ASCII white space only
     if not words:
         return np.empty(0, np.uint64)
-    h = np.fromiter(map(WORDS.__getitem__, words), np.uint64, len(words))
+    h = np.fromiter(map(held("word hashes", WordHashes).__getitem__, words), np.uint64, len(words))
     width = min(k, len(h))
     out = np.full(len(h) - width + 1, np.uint64(width))
     for j in range(width):
@@ -97,17 +96,18 @@ def signature(values: np.ndarray) -> np.ndarray:
 def fewest_matches(percent: int, miss: float) -> tuple[int, ...]:
     """Matches that a pair needs after each batch to stay a candidate.
 
+    `miss` is for all batches together; each may spend an equal part of it.
     With m of n hashes equal the posterior of the similarity is Beta(m + 1, n - m + 1);
     P(similarity >= t) is then a binomial sum: P(Bin(n + 1, t) <= m).
     """
-    t = percent / 100
+    t, each = percent / 100, miss / (HASHES // BATCH)
     needs = []
     for n in range(BATCH, HASHES + 1, BATCH):
         total, m = 0.0, -1
         while m < n:
             m += 1
             total += math.comb(n + 1, m) * t**m * (1 - t) ** (n + 1 - m)
-            if total >= miss:
+            if total >= each:
                 break
         needs.append(m)
     return tuple(needs)
@@ -371,7 +371,8 @@ def near_dedup(
     lows = classes.join(reached, "node", "left").select(
         "digest", "low", F.coalesce("root", "node").alias("root")
     )
-    low = lows.groupBy("root").agg(F.min("low").alias("component_id"))
+    # Written first: the join then stands alone, and Spark can split a component with many classes.
+    low = checkpointed(lows.groupBy("root").agg(F.min("low").alias("component_id")))
     named = lows.join(low, "root").select("digest", "component_id")
     rows = signed.select("row_id", "n_shingles", "digest")
     own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("row_id"))
