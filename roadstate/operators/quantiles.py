@@ -92,7 +92,15 @@ def exact_medians(df: DataFrame, columns: Sequence[str], buckets: int = BUCKETS)
         value = F.col(c).cast("double")
         return F.when(~F.isnan(value), value + F.lit(0.0)).alias(c)
 
-    data = df.select(*map(number, columns))
+    # Every pass reads the same narrow rows; what they come from is computed once.
+    data = df.select(*map(number, columns)).persist()
+    try:
+        return _medians(data, columns, buckets)
+    finally:
+        data.unpersist()
+
+
+def _medians(data: DataFrame, columns: Sequence[str], buckets: int) -> dict[str, float | None]:
     facts = [f(c).alias(f"{c}|{name}") for c in columns for name, f in (("n", F.count), ("low", F.min), ("high", F.max))]
     first = data.agg(*facts).first()
     values: dict[str, dict[int, float]] = {c: {} for c in columns}
