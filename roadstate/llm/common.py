@@ -50,8 +50,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Eager checkpoint in the shared folder, for tables of a few columns."""
+def checkpointed(df: DataFrame, parts: int | None = None) -> DataFrame:
+    """Eager checkpoint in the shared folder, for tables of a few columns.
+
+    `parts` is the most partitions of a table whose size is known: small tables that are
+    written and shuffled again and again should not do so in hundreds of files.
+    """
+    if parts is not None:
+        df = df.coalesce(parts)
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(df.sparkSession))
