@@ -65,23 +65,42 @@ class GramTable:
     """Evidence of character n-grams, looked up for many words at once.
 
     An n-gram is the number its bytes spell. A slot array leads from a hash of the
-    number to one entry, and the entry's number decides, so nothing is mistaken.
+    number to one entry, and the entry's number decides, so nothing is mistaken. Numbers
+    whose slot another one has go to a further slot array with a hash of its own, and so
+    on until all have a place, so nothing is lost.
     """
 
     BITS = 20
+    MULTIPLIER = 0x9E3779B97F4A7C15
 
     def __init__(self, weights: dict[bytes, float]):
-        self.slots, self.keys, self.values = {}, {}, {}
+        self.slots: dict[int, list[np.ndarray]] = {}
+        self.keys, self.values = {}, {}
         for n in GRAMS:
             some = {int.from_bytes(k[1:], "little"): v for k, v in weights.items() if k[:1] == b"\0" and len(k) == n + 1}
             keys = np.array([0, *some], np.uint64)
-            slots = np.zeros(1 << self.BITS, np.int32)
-            slots[self.hash(keys[1:])] = np.arange(1, len(keys))
-            self.slots[n], self.keys[n] = slots, keys
+            self.slots[n], left = [], np.arange(1, len(keys))
+            while len(left) or not self.slots[n]:
+                level = len(self.slots[n])
+                slots = np.zeros(1 << self.BITS if not level else 1 << 12, np.int32)
+                at = self.hash(keys[left], level)
+                slots[at] = left
+                self.slots[n].append(slots)
+                left = left[slots[at] != left]
+            self.keys[n] = keys
             self.values[n] = np.array([0.0, *some.values()], np.float32)
 
-    def hash(self, keys: np.ndarray) -> np.ndarray:
-        return (keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.BITS)
+    def hash(self, keys: np.ndarray, level: int) -> np.ndarray:
+        bits = self.BITS if not level else 12
+        return (keys * np.uint64((self.MULTIPLIER * (2 * level + 1)) % (1 << 64))) >> np.uint64(64 - bits)
+
+    def entries(self, n: int, numbers: np.ndarray) -> np.ndarray:
+        """Entry of every number, 0 for numbers without one."""
+        keys, found = self.keys[n], np.zeros(len(numbers), np.int32)
+        for level, slots in enumerate(self.slots[n]):
+            entry = slots[self.hash(numbers, level)]
+            found = np.where(keys[entry] == numbers, entry, found)
+        return found
 
     def of_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Strongest and mean evidence of each word's n-grams."""
@@ -100,8 +119,8 @@ class GramTable:
             number = np.zeros(len(data) - n + 1, np.uint64)
             for j in range(n):
                 number |= data[j : j + len(number)] << np.uint64(8 * j)
-            entry = self.slots[n][self.hash(number)]
-            entry[(self.keys[n][entry] != number) | (left[: len(number)] < n)] = 0
+            entry = self.entries(n, number)
+            entry[left[: len(number)] < n] = 0
             value = np.zeros(len(data), np.float32)
             value[: len(number)] = self.values[n][entry]
             high = np.maximum(high, np.maximum.reduceat(value, starts))

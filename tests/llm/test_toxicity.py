@@ -107,3 +107,16 @@ def test_windows_cover_everything():
         spans = tx.windows_of(n)
         assert set(range(n)) == {i for a, b in spans for i in range(a, b)}
         assert all(b - a <= tx.WINDOW for a, b in spans)
+
+
+def test_no_ngram_is_lost_to_another_one():
+    rng = np.random.default_rng(8)
+    grams = {b"\0" + bytes(rng.integers(97, 123, n).astype(np.uint8)): float(i + 1) for i in range(30_000) for n in (3, 5)}
+    table = tx.GramTable(grams)
+    for n in tx.GRAMS:
+        own = {int.from_bytes(k[1:], "little"): v for k, v in grams.items() if len(k) == n + 1}
+        numbers = np.array(list(own), np.uint64)
+        assert (table.values[n][table.entries(n, numbers)] == np.array(list(own.values()), np.float32)).all()
+        assert n == 3 or len(table.slots[n]) > 1
+        others = numbers ^ np.uint64(1 << 40)
+        assert (table.entries(n, others[~np.isin(others, numbers)]) == 0).all()
