@@ -10,7 +10,7 @@ from roadstate.plans import registry
 
 # Covered by the stream, source and model tests; the full comparison is check.py.
 SLOW = {name for name in registry.QUERIES if name.startswith("stream_")} | {
-    "kmeans_states", "kmeans_planted", "kmeans_metrics", "pipeline_once", "model_by_alias", "ingest_topic", "merge_insert_only", "replace_by_key", "drain_predictions",
+    "kmeans_states", "kmeans_planted", "kmeans_metrics", "pipeline_once", "lake_tables", "ingest_ledger", "model_by_alias", "ingest_topic", "merge_insert_only", "replace_by_key", "drain_predictions",
 }
 
 
