@@ -64,13 +64,15 @@ def terms_of(text: str | None) -> list[bytes]:
 class Block:
     """Items of one pass: id, terms by index and their counts, and the block's vocabulary."""
 
-    first: int
     ids: list[int | None]
     terms: list[np.ndarray]
     counts: list[np.ndarray]
     vocabulary: dict[bytes, int]
 
 
+ITEM = pa.schema([("row_id", pa.int64()), ("terms", pa.list_(pa.binary())), ("counts", pa.list_(pa.int64()))])
+
+
 def blocks(items: DataFrame, id_col: str, text_col: str, entries: int) -> Iterator[Block]:
     """Items in blocks of at most `entries` (item, term) pairs, one block at a time on the driver.
 
@@ -86,23 +88,20 @@ def blocks(items: DataFrame, id_col: str, text_col: str, entries: int) -> Iterat
 
     rows = items.select(F.col(id_col).cast("long").alias("row_id"), text_or_empty(text_col).alias("text"))
     found = written(rows.mapInArrow(distinct, "row_id long, terms array<binary>, counts array<long>"), "search-items")
-    block, size, first = Block(0, [], [], [], {}), 0, 0
+    block, size = Block([], [], [], {}), 0
     for row in found.toLocalIterator():
         if block.ids and size + len(row.terms) > entries:
             yield block
-            block, size = Block(first, [], [], [], {}), 0
+            block, size = Block([], [], [], {}), 0
         vocabulary = block.vocabulary
         block.ids.append(row.row_id)
         block.terms.append(np.array([vocabulary.setdefault(bytes(t), len(vocabulary)) for t in row.terms], np.int64))
         block.counts.append(np.array(row.counts, np.int64))
-        size, first = size + len(row.terms), first + 1
+        size += len(row.terms)
     if block.ids:
         yield block
 
 
-ITEM = pa.schema([("row_id", pa.int64()), ("terms", pa.list_(pa.binary())), ("counts", pa.list_(pa.int64()))])
-
-
 def lists(values: np.ndarray, lengths: list[int]) -> pa.Array:
     offsets = np.zeros(len(lengths) + 1, np.int32)
     np.cumsum(lengths, out=offsets[1:])
