@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date
 
@@ -36,6 +37,22 @@ def ensure_tables(spark: SparkSession, root: str, database: str = "traffic") ->
     return names
 
 
+@contextmanager
+def partition_swaps(spark: SparkSession) -> Iterator[None]:
+    """Overwrites by table name replace the partitions they write and no others.
+
+    ``insertInto`` takes the mode from the session only; under the default one it would
+    drop all other partitions, and a plan that reads the table is refused.
+    """
+    name = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 @dataclass(frozen=True)
 class LakeTable:
     """A partitioned table of the catalog, written and read by its name.
@@ -85,8 +102,8 @@ class LakeTable:
                 others = old.join(F.broadcast(wanted), same, "left_semi").join(keys, theirs, "left_anti")
                 final = rows.unionByName(others)
             stay = {tuple(r) for r in final.select(*days).distinct().collect()}
-            writer = final.hint("rebalance", *days).write.option("partitionOverwriteMode", "dynamic")
-            writer.insertInto(self.name, overwrite=True)
+            with partition_swaps(self.spark):
+                final.hint("rebalance", *days).write.insertInto(self.name, overwrite=True)
             for day in holding:
                 if tuple(day) not in stay:
                     self._drop(day.asDict())

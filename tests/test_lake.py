@@ -80,6 +80,20 @@ def messages(spark, ends):
     return spark.createDataFrame(rows, "partition int, offset long, avg_speed double")
 
 
+def test_replace_in_a_session_with_static_overwrites(spark, named):
+    table, name = named["longterm_features"], "spark.sql.sources.partitionOverwriteMode"
+    first, second = datetime(2024, 1, 1), datetime(2024, 1, 2)
+    before = spark.conf.get(name)
+    spark.conf.set(name, "static")
+    try:
+        table.append(features_of(spark, [("a", first, first.date(), 1.0), ("b", second, second.date(), 2.0)]))
+        table.replace(features_of(spark, [("a", first, first.date(), 3.0)]), "source_cutoff")
+        assert spark.conf.get(name) == "static"
+    finally:
+        spark.conf.set(name, before)
+    assert rows_of(table.rows(), "road_name", "baseline_speed_7d") == [("a", 3.0), ("b", 2.0)]
+
+
 def test_ledger_moves_after_the_merge_only(spark, tmp_path):
     book = ledger.OffsetLedger(spark, str(tmp_path / "ledger"))
     merged = []
