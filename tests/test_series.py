@@ -307,3 +307,12 @@ def test_asof_with_one_time_for_all_events(spark):
     got = asof.asof_left(df, right, payload=["v"], layout=layout)
     assert got.count() == 300 and got.where("v IS NULL").isEmpty()
     assert rows_of(got) == rows_of(asof.asof_left(df, right, payload=["v"]))
+
+
+def test_joinable_count_makes_no_table_of_the_feature_rows(spark):
+    events = frame(spark, [record(i, f"R{i % 2}", 5 * i) for i in range(8)])
+    right = events.select(*asof.ASOF_KEYS).withColumn("source_cutoff", F.lit("2024-01-01").cast("timestamp_ntz"))
+    # Eight events, each with the four copies of the features of its route.
+    assert asof.joinable_count(events, right).first()[0] == 32
+    plan = asof.joinable_count(events, right)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 2  # events of one time, and the total
