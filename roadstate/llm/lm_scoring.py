@@ -15,10 +15,10 @@ target with noise from the unigram distribution; scoring normalises over the gro
 over the group of the target with one matrix product per batch of tokens, so its cost
 grows with the square root of the number of symbols.
 
-* The network learns from a fixed share of the blocks of the training text, drawn by a
-  hash (`share`, and `least_tokens` on small input), so what it reads grows with the
-  input. Tasks train on their blocks, each from the same start, and a grouped sum averages
-  what they have learned, weighted by tokens, for `rounds` rounds of different blocks.
+* The network learns from every block of the training text, unless a caller asks for a
+  smaller `share` of them (`least_tokens` at least). Tasks train on their blocks, each from
+  the same start, and a grouped sum averages what they have learned, weighted by tokens, for
+  `rounds` rounds of different blocks; a hash deals the blocks to the rounds.
 * Counts of the `table_words` most frequent words go to the workers; the words beyond
   leave the scoring pass as (document, word, number), already summed per document, and
   are joined with the count table.
@@ -89,6 +89,14 @@ def groups_of(unigram: np.ndarray) -> np.ndarray:
     return found
 
 
+def add_rows(out: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
+    """`np.add.at` by sums of equal places, which is several times as fast."""
+    order = np.argsort(at, kind="stable")
+    places = at[order]
+    first = np.flatnonzero(np.append(True, places[1:] != places[:-1]))
+    out[places[first]] += np.add.reduceat(rows[order], first, axis=0)
+
+
 @dataclass
 class Outputs:
     """Output tables with their biases as last columns; symbols stand group by group."""
@@ -137,8 +145,8 @@ class LogBilinear:
         up = 1 - 1 / (1 + np.exp(-right.clip(-30, 30)))
         down = 1 / (1 + np.exp(-wrong.clip(-30, 30)))
         of_out, of_bias = np.zeros_like(out), np.zeros_like(b)
-        np.add.at(of_out, targets, up[:, None] * h)
-        np.add.at(of_bias, targets, up)
+        add_rows(of_out, targets, up[:, None] * h)
+        of_bias += np.bincount(targets, up, len(b)).astype(np.float32)
         np.subtract.at(of_out, drawn, down.T @ h)
         np.subtract.at(of_bias, drawn, down.sum(0))
         return {table: of_out, bias: of_bias}, up[:, None] * out[targets] - down @ out[drawn]
@@ -167,8 +175,7 @@ class LogBilinear:
                 gh = gh + of_groups
                 grads["position"] = np.stack([x.T @ gh for x in inputs])
                 gs = np.zeros_like(self.source)
-                for j in range(CONTEXT):
-                    np.add.at(gs, ctx[:, j], gh @ self.position[j].T)
+                add_rows(gs, ctx.T.reshape(-1), np.concatenate([gh @ c.T for c in self.position]))
                 grads["source"] = gs
                 self.steps += 1
                 for name, g in grads.items():
@@ -296,7 +303,7 @@ def symbols_of(words: list[bytes], rank: dict[bytes, int], symbol: np.ndarray, n
     return found, syms
 
 
-def sampled_blocks(model, share: float, classes: int, rounds: int, block: int = 64):
+def training_blocks(model, share: float, classes: int, rounds: int, block: int = 64):
     """(round, symbols): symbol blocks for training, each with its context before it."""
 
     def run(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -455,7 +462,7 @@ def learn(
     words: int | None = None,
     classes: int = 128,
     table_words: int = 150_000,
-    share: float = 0.1,
+    share: float = 1.0,
     least_tokens: int = 2_000_000,
     rounds: int = 6,
 ) -> Learned:
@@ -491,7 +498,7 @@ def learn(
         blocks = written(
             train.where(chosen)
             .select(text.alias("text"))
-            .mapInArrow(sampled_blocks(first, part / rows_part, classes, rounds), "round int, symbols binary"),
+            .mapInArrow(training_blocks(first, part / rows_part, classes, rounds), "round int, symbols binary"),
             "training-blocks",
         )
         learn_rounds(net, blocks, rounds)
@@ -508,7 +515,7 @@ def lm_scores(
     words: int | None = None,
     classes: int = 128,
     table_words: int = 150_000,
-    share: float = 0.1,
+    share: float = 1.0,
     least_tokens: int = 2_000_000,
     rounds: int = 6,
     learned: Learned | None = None,

@@ -153,3 +153,11 @@ def test_empty_tables(docs_of):
         ),
         sorted(brute(held)),
     )
+
+
+def test_network_learns_from_every_training_token(docs_of, monkeypatch):
+    seen = []
+    monkeypatch.setattr(lm, "learn_rounds", lambda net, blocks, rounds: seen.append(blocks.collect()))
+    docs = docs_of([(i, f"word{i} " * (i % 90)) for i in range(300)])
+    learned = lm.learn(docs, words=4, classes=8, least_tokens=0)
+    assert sum(len(r["symbols"]) // 4 - lm.CONTEXT for r in seen[0]) == learned.n_train
