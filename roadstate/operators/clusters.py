@@ -4,15 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from roadstate.operators import kmeans
 from roadstate.operators.aggregates import NotEnoughRows, require_rows
 from roadstate.operators.metrics import silhouette
 from roadstate.operators.quantiles import exact_medians
@@ -23,9 +20,6 @@ CLUSTERS, SEED, RESTARTS, HORIZON_MINUTES, MIN_TRAINING_ROWS = 3, 42, 10, 30, 50
 STATUS_NAMES = ("clear", "moderate", "congested")
 
 
-PARALLEL_FITS = 10
-
-
 @dataclass(frozen=True)
 class Scaling:
     """Per-feature fill value, mean and scale (a handful of numbers each)."""
@@ -192,19 +186,6 @@ class StateModel:
         )
 
 
-def _best_of(points: DataFrame, k: int, seeds: Sequence[int]) -> KMeansModel:
-    """The fit with the lowest training cost.
-
-    The fits share the cached points and run side by side, since each is a chain
-    of short jobs that alone would leave most of a cluster idle.
-    """
-    estimator = KMeans(k=k, featuresCol="features")
-    fits = estimator.fitMultiple(points, [{estimator.seed: s} for s in seeds])
-    with ThreadPool(min(PARALLEL_FITS, len(seeds))) as pool:
-        models = dict(pool.map(lambda _: next(fits), seeds))
-    return min((models[i] for i in range(len(seeds))), key=lambda m: m.summary.trainingCost)
-
-
 def fit_states(
     training: DataFrame,
     features: Sequence[str] = tuple(MODEL_FEATURES),
@@ -216,31 +197,28 @@ def fit_states(
 ) -> tuple[StateModel, DataFrame]:
     """Fit the clusters; returns the model and the training rows with ``cluster``.
 
-    The best of ``restarts`` seeds by training cost is kept. Raises when there
-    are fewer rows than clusters or no pair of states at the horizon.
+    The best of ``restarts`` seeds by training cost is kept; all share the passes over
+    the rows. Raises when there are fewer rows than clusters or no pair of states at the
+    horizon.
     """
     rows = require_rows(training, max(k, min_rows or k), "training rows")
     scaling = learn_scaling(training, features)
     z = scaled(training, scaling)
-    columns = training.select(*[c.alias(name) for name, c in z.items()])
-    points = VectorAssembler(inputCols=list(z), outputCol="features").transform(columns)
-    points = points.select("features")
+    points = training.select(F.array(*z.values()).alias("point"))
     # The upstream plan may end in few partitions; the iterations want all slots.
     slots = training.sparkSession.sparkContext.defaultParallelism
     if points.rdd.getNumPartitions() < slots:
         points = points.repartition(slots)
-    points = points.persist(StorageLevel.MEMORY_AND_DISK)
+    blocks = kmeans.packed(points)
     try:
-        best = _best_of(points, k, [seed + i for i in range(restarts)])
-        metrics = {"inertia": float(best.summary.trainingCost)}
-        assigned = best.transform(points)
-        sizes = [n for n in best.summary.clusterSizes if n]
-        if rows > k and len(sizes) > 1:
-            found = silhouette(assigned.select(vector_to_array("features").alias("point"), "prediction"))
+        best = kmeans.fit(blocks, len(z), k, [seed + i for i in range(restarts)])
+        metrics = {"inertia": best.cost}
+        if rows > k and sum(n > 0 for n in best.sizes) > 1:
+            found = silhouette(kmeans.assigned(blocks, best.centres))
             metrics["silhouette_score"], metrics["silhouette_error"] = found
     finally:
-        points.unpersist()
-    pipeline = state_pipeline(scaling, [c.tolist() for c in best.clusterCenters()])
+        blocks.unpersist()
+    pipeline = state_pipeline(scaling, best.centres.tolist())
     states = pipeline.transform(training).withColumnRenamed("current_cluster", "cluster")
     # k * k counts and k profiles at most.
     counts = transition_counts(states, horizon=horizon).collect()

@@ -21,6 +21,8 @@ SAMPLE = 2000
 CONFIDENCE = 0.99
 #: Rows whose distances to all taken points a task holds at once.
 AT_ONCE = 256
+#: Squared distance, as a share of the squared distances from the origin, below which a pair is close.
+CLOSE = 1e-6
 
 
 def silhouette(
@@ -68,6 +70,27 @@ def silhouette(
         points.unpersist()
 
 
+def squared_distances(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Between all rows of both, by a matrix product.
+
+    A product loses digits where rows are close for their distance from the origin. The
+    origin is put in the middle of ``left``; pairs that are still close for it are taken
+    by differences, so that at most about six of sixteen digits are lost.
+    """
+    middle = left.mean(0)
+    a, b = left - middle, right - middle
+    norms = np.square(a).sum(1)[:, None] + np.square(b).sum(1)
+    squares = a @ b.T
+    squares *= -2
+    squares += norms
+    norms *= CLOSE
+    at = np.flatnonzero(squares < norms)
+    for start in range(0, len(at), 1 << 16):
+        i, j = np.divmod(at[start : start + (1 << 16)], len(right))
+        squares[i, j] = np.square(left[i] - right[j]).sum(1)
+    return squares
+
+
 def _distance_sums(points: DataFrame, taken: np.ndarray, place: dict[int, int]) -> np.ndarray:
     """Sum of the distances from every taken point to the rows of each cluster."""
     sent = points.sparkSession.sparkContext.broadcast((taken, place))
@@ -82,12 +105,10 @@ def _distance_sums(points: DataFrame, taken: np.ndarray, place: dict[int, int])
             weights = b.column(2).to_numpy().astype(float)
             for at in range(0, len(rows), AT_ONCE):
                 here = slice(at, at + AT_ONCE)
-                squares = np.zeros((len(centres), len(rows[here])))
-                for d in range(centres.shape[1]):  # differences first: no cancellation between large squares
-                    squares += np.square(centres[:, d, None] - rows[here, d])
+                squares = squared_distances(centres, rows[here])
                 spread = np.zeros((len(columns[here]), len(numbers)))
                 spread[np.arange(len(spread)), columns[here]] = weights[here]
-                sums += np.sqrt(squares) @ spread
+                sums += np.sqrt(squares, out=squares) @ spread
         yield pa.record_batch([pa.array(np.arange(len(centres), dtype=np.int32)), pa.array(list(sums))], schema=schema)
 
     parts = points.select("point", "cluster", "n").mapInArrow(run, "at int, sums array<double>")
