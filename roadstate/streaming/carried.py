@@ -124,7 +124,7 @@ def arrival_copy(df: DataFrame, path: str, order: Sequence[str], files: int) ->
 
     One file per range, older by name and by modification time, so that
     ``maxFilesPerTrigger`` cuts the stream into micro-batches of bounded size that come
-    in arrival order. All files are written at once; only their times are set one by one, a
+    in arrival order. A micro-batch of several files is read by as many tasks. All files are written at once; only their times are set one by one, a
     millisecond apart.
     """
     df.repartitionByRange(files, *order).sortWithinPartitions(*order).write.parquet(path)
@@ -245,10 +245,12 @@ class Congestion:
     order: Sequence[str] = ("seq",)
     max_rows: int = MAX_ROWS
 
-    def __call__(self, batch: DataFrame, carried: DataFrame | None) -> Done:
+    def columns(self, batch: DataFrame) -> list[str]:
         extra = ["ingested_at"] if "ingested_at" in batch.columns else []
-        wanted = [*self.order, *ROUTE_KEYS, "timestamp", "avg_speed", "vehicle_count", *extra]
-        rows = batch.select(*wanted)
+        return [*self.order, *ROUTE_KEYS, "timestamp", "avg_speed", "vehicle_count", *extra]
+
+    def __call__(self, batch: DataFrame, carried: DataFrame | None) -> Done:
+        rows = batch.select(*self.columns(batch))
         layout = SeriesLayout.measure(rows, ROUTE_KEYS, self.order, self.max_rows)
         # Two answers come from the runs, so they are computed once.
         runs = speed_runs(rows, self.speed, ROUTE_KEYS, self.order, layout, carried).persist()
@@ -265,8 +267,11 @@ class Accidents:
     order: Sequence[str] = ("seq",)
     max_rows: int = MAX_ROWS
 
+    def columns(self, batch: DataFrame) -> list[str]:
+        return [*self.order, *ROUTE_KEYS, "timestamp", "accident_count", "avg_speed", "vehicle_count"]
+
     def __call__(self, batch: DataFrame, carried: DataFrame | None) -> Done:
-        columns = [*self.order, *ROUTE_KEYS, "timestamp", "accident_count", "avg_speed", "vehicle_count"]
+        columns = self.columns(batch)
         order = (ROUND, *self.order)
         both = _marked(batch.select(*columns), carried)
         layout = SeriesLayout.measure(both, ROUTE_KEYS, order, self.max_rows)
@@ -283,7 +288,8 @@ class CarriedJob:
     """Steps, one after the other, on every micro-batch of a stream.
 
     ``finish`` shapes the rows that are written; ``source`` reads the rows of a
-    micro-batch where the stream itself only names them (a ``BatchTable``).
+    micro-batch where the stream itself only names them (a ``BatchTable``). A first step
+    that has ``columns`` gets these only, so that no others are computed and cached.
     """
 
     steps: Sequence[Step]
@@ -298,7 +304,10 @@ class CarriedJob:
     def run(self, batch: DataFrame, batch_id: int) -> None:
         """One micro-batch: rows, then state. Running it again changes nothing."""
         states = self.states(batch.sparkSession)
-        rows = self.source(batch).persist()
+        rows = self.source(batch)
+        if hasattr(self.steps[0], "columns"):
+            rows = rows.select(*self.steps[0].columns(rows))
+        rows = rows.persist()
         cached, after = [rows], []
         try:
             for i, (step, state) in enumerate(zip(self.steps, states, strict=True)):

@@ -10,7 +10,8 @@ from test_streaming import SCHEMA, stories
 
 from roadstate import adapters
 from roadstate.operators import enrich, rules
-from roadstate.schemas import AREA_KEYS, LAG_COLUMNS, WEATHER
+from roadstate.plans import registry
+from roadstate.schemas import AREA_KEYS, LAG_COLUMNS, ROUTE_KEYS, WEATHER
 from roadstate.streaming import carried, jobs
 
 FILES = 5
@@ -187,3 +188,19 @@ def test_pipeline_stopped_half_way_equals_one_run(spark, tmp_path):
             ]
         )
     assert all(outputs[0]) and outputs[0] == outputs[1]
+
+
+def test_tasks_share_a_micro_batch_of_the_columns_a_step_needs(spark, monkeypatch):
+    monkeypatch.setattr(registry, "ROWS_PER_FILE", 70, raising=False)
+    seen = []
+
+    class Watching(carried.Congestion):
+        def __call__(self, batch, before):
+            seen.append((batch.rdd.getNumPartitions(), set(batch.columns)))
+            return super().__call__(batch, before)
+
+    registry.finished(spark, registry.arrivals(spark, "/root/testdata/sf0.001"), [Watching()], "watched")
+    assert len(seen) == registry.LEAST_BATCHES
+    for tasks, columns in seen:
+        assert tasks > 1
+        assert columns == {"seq", *ROUTE_KEYS, "timestamp", "avg_speed", "vehicle_count"}
