@@ -7,6 +7,7 @@ import pytest
 from conftest import SF, frame, record, rows_of
 from pyspark.sql import functions as F
 
+from roadstate import adapters
 from roadstate.operators import clusters, enrich, features, projections, training
 from roadstate.plans import registry
 from roadstate.schemas import ENRICHED_COLUMNS, ENRICHED_SCHEMA, LONGTERM_FEATURES, MODEL_FEATURES, ROUTE_KEYS, SENSOR_SCHEMA, TOPIC_SCHEMA
@@ -208,3 +209,15 @@ def test_drain_takes_everything_whatever_the_batches(spark, tmp_path):
     drained = [tables.drain_to_parquet(stream, target, f"r:{run}", date(2024, 1, 1), mark) for run in range(2)]
     assert drained == [90, 0]
     assert spark.read.parquet(f"{target}/dt=2024-01-01").count() == 90
+
+
+def test_route_part_of_online_keys_is_made_once_per_route(spark):
+    records = adapters.traffic(spark, "/root/testdata/sf0.001")
+    plain, keyed = (features.longterm_features(records, online=online) for online in (False, True))
+    assert "online_route" not in plain.columns
+    # The slugs stand below the generator of the grid, not above it.
+    plan = features.online_snapshot(keyed)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace" not in plan[: plan.index("Generate")]
+    values = ["feature_key", "baseline_speed_7d", "avg_speed_hour_dow_4w", "written_at"]
+    plain, keyed = (features.online_snapshot(df).select(values) for df in (plain, keyed))
+    assert plain.count() > 0 and plain.exceptAll(keyed).isEmpty() and keyed.exceptAll(plain).isEmpty()
