@@ -24,6 +24,7 @@ other columns are not read.
 
 from __future__ import annotations
 
+import codecs
 import os
 import re
 import struct
@@ -32,20 +33,27 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from roadstate.llm.common import batch, held, slices, text_or_empty
+from roadstate.llm.bpe import PATTERN, byte_symbols
+from roadstate.llm.common import batch, checkpointed, held, slices, text_or_empty, written
 
 HEAD = struct.Struct("<4sIIIQQQ")
 DOCUMENT = np.dtype([("has_id", "u1"), ("id", "<i8"), ("n", "<u4")])
 MAGIC, VERSION, BLOCK = b"TIDS", 1, 4096
 SEGMENT_IDS = 1 << 18
 CUT = re.compile(r"(?<=\S) (?=\S)")
-UNCLEAR = re.compile(r"(?:^|\s) | (?:\s|$)")
-CACHE = 150_000
-#: Bytes of a generation of the chunk table, and characters of the longest chunk it keeps.
-CACHE_BYTES, LONGEST, ENTRY = 48 << 20, 256, 160
+#: A space beside another blank.
+UNCLEAR = re.compile(r" (?:(?<=\s )|(?=\s))")
+#: First character whose class is not taken as settled.
+SETTLED = "\u0250"
+#: Bytes of text whose words are looked up together, and most words of the table.
+AT_ONCE, CACHE = 4 << 20, 150_000
+#: Bytes of the word table, characters of the longest word it keeps, and what a word takes besides its own bytes.
+CACHE_BYTES, LONGEST, ENTRY = 48 << 20, 256, 16
 
 
 def width_of(vocabulary: int) -> int:
@@ -54,11 +62,15 @@ def width_of(vocabulary: int) -> int:
 
 
 def pack(ids: np.ndarray, width: int) -> bytes:
+    if width in (8, 16, 32):  # whole bytes
+        return ids.astype(f">u{width // 8}").tobytes()
     bits = np.unpackbits(ids.astype(">u4").view(np.uint8).reshape(-1, 4), axis=1)[:, 32 - width :]
     return np.packbits(bits.reshape(-1)).tobytes()
 
 
 def unpack(data: bytes, count: int, width: int) -> np.ndarray:
+    if width in (8, 16, 32):
+        return np.frombuffer(data, f">u{width // 8}", count).astype("<u4")
     bits = np.unpackbits(np.frombuffer(data, np.uint8), count=count * width).reshape(count, width)
     wide = np.zeros((count, 32), np.uint8)
     wide[:, 32 - width :] = bits
@@ -120,82 +132,215 @@ def segments(data: bytes) -> Iterator[Segment]:
         at = found.end + 1  # the newline of the sink
 
 
+def gathered(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Stretches of `flat` one after the other, and where each of them ends."""
+    ends = np.cumsum(lengths, dtype=np.int64)
+    at = np.repeat(starts - (ends - lengths), lengths)
+    at += np.arange(len(at))
+    return flat[at], ends
+
+
 class LibraryEncoder:
-    """Ids of whole texts by the tokenizers library, each chunk once.
+    """Ids of whole texts by the tokenizers library, each word once.
 
     Texts are cut at single spaces between visible characters; the split pattern of a
-    byte-level vocabulary starts a piece there, so a chunk's ids do not depend on its
-    neighbours. Chunks that a bounded table does not hold yet are strung together for
-    the library, and the byte lengths of its tokens tell where each chunk ends. Texts
-    with a special token's string go to the library uncut.
+    byte-level vocabulary starts a piece there, so a word's ids do not depend on its
+    neighbours. The distinct words of a batch are looked up in a bounded table, which keeps
+    the words used last, and the ids of its texts are gathered from there. First words of
+    texts, which have no space before them, go to the library one by one.
+
+    Words the table lacks are cut into pieces by the vocabulary's split pattern. Pieces that
+    are no words of the table, each once, are strung together for the library's model, and
+    the byte lengths of its tokens tell where each piece ends. Words with characters beyond
+    `SETTLED`, whose classes may differ between versions of Unicode, go to the library
+    uncut, and so do texts with a special token's string.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import CharDelimiterSplit
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.bytes = 0
+        self.model = Tokenizer(self.tokenizer.model)  # the same merges, for pieces between spaces
+        self.model.pre_tokenizer = CharDelimiterSplit(" ")
+        self.pieces = regex.compile(PATTERN).findall
+        # What stands for each byte in the vocabulary; 255 is in no text and parts the pieces.
+        symbols = byte_symbols()
+        self.symbols = "".join(symbols[b] for b in range(255)) + " "
         self.vocabulary = self.tokenizer.get_vocab_size()
         # A byte-level token has one character per byte.
         self.lengths = np.zeros(self.vocabulary, np.int64)
         for token, i in self.tokenizer.get_vocab().items():
             self.lengths[i] = len(token)
+        # The table: words, their ids one after the other, and the batch that used each last.
+        self.words = pa.array([], pa.string())
+        self.ids = np.empty(0, "<u4")
+        self.counts = np.empty(0, np.int64)
+        self.used = np.empty(0, np.int64)
+        self.batch = 0
+
+    @property
+    def known(self) -> list[str]:
+        return self.words.to_pylist()
 
     def library(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4") for e in found]
 
-    def learn(self, chunks: list[str]) -> None:
-        """Puts the ids of new chunks into the table."""
-        joined = [c for c in chunks if c[:1] == " " and not c[-1].isspace()]
-        for at in range(0, len(joined), 2000):
-            part = joined[at : at + 2000]
-            (ids,) = self.library(["".join(part)])
-            ends = np.cumsum([len(c.encode()) for c in part])
-            cuts = np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1
-            data, start = ids.tobytes(), 0
-            for chunk, end in zip(part, (4 * cuts).tolist(), strict=True):
-                self.known[chunk] = data[start:end]
-                start = end
-        alone = [c for c in chunks if not (c[:1] == " " and not c[-1].isspace())]
-        self.known.update((c, ids.tobytes()) for c, ids in zip(alone, self.library(alone), strict=True))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def per_part(self, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Number of ids of each part of a text, from the ids of the whole and the parts' bytes."""
+        cuts = np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum(lengths)) + 1
+        return np.diff(cuts, prepend=0)
+
+    def by_model(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces, and how many each has."""
+        found, counts = [np.empty(0, "<u4")], [np.empty(0, np.int64)]
+        for at in range(0, len(pieces), 4000):
+            part = pieces.slice(at, 4000)
+            data = b"\xff".join(part.cast(pa.binary()).to_pylist())
+            joined = codecs.charmap_decode(data, "strict", self.symbols)[0]
+            (coded,) = self.model.encode_batch_fast([joined], add_special_tokens=False)
+            found.append(np.array(coded.ids, "<u4"))
+            counts.append(self.per_part(found[-1], pc.binary_length(part).to_numpy()))
+        return np.concatenate(found), np.concatenate(counts)
+
+    def by_pieces(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words, and how many each has, from their pieces."""
+        cut = self.pieces(" " + " ".join(words))
+        coded = pa.array(cut, pa.string()).dictionary_encode()
+        distinct, codes = coded.dictionary, coded.indices.to_numpy()
+        # A piece that is a word of the table needs no second encoding.
+        word = pc.if_else(pc.starts_with(distinct, " "), pc.utf8_slice_codeunits(distinct, 1), None)
+        at = pc.index_in(word, value_set=self.words, skip_nulls=True)
+        ids, counts = self.by_model(distinct.filter(at.is_null()))
+        at = at.fill_null(-1).to_numpy()
+        flat = np.concatenate([self.ids, ids])
+        number = np.empty(len(at), np.int64)
+        number[at >= 0], number[at < 0] = self.counts[at[at >= 0]], counts
+        starts = np.empty(len(at), np.int64)
+        starts[at >= 0] = (np.cumsum(self.counts) - self.counts)[at[at >= 0]]
+        starts[at < 0] = len(self.ids) + np.cumsum(counts) - counts
+        found, ends = gathered(flat, starts[codes], number[codes])
+        lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        last = np.searchsorted(np.cumsum(np.fromiter(map(len, cut), np.int64, len(cut))), np.cumsum(lengths))
+        return found, np.diff(ends[last], prepend=0)
+
+    def learn(self, words: list[str], blank: set[str]) -> np.ndarray:
+        """Puts new words, of which those of `blank` end in one, into the table and returns their places."""
+        alone = [i for i, word in enumerate(words) if word in blank] if blank else []
+        way = np.array([word.isascii() or max(word) < SETTLED for word in words], np.int8)
+        way[alone] = 2
+        cut, uncut = np.flatnonzero(way == 1).tolist(), np.flatnonzero(way == 0).tolist()
+        ids, counts = [self.ids], [self.counts]
+        for at in range(0, len(cut), 1 << 17):
+            found = self.by_pieces([words[i] for i in cut[at : at + (1 << 17)]])
+            ids.append(found[0])
+            counts.append(found[1])
+        for at in range(0, len(uncut), 2000):
+            part = [" " + words[i] for i in uncut[at : at + 2000]]
+            ids += self.library(["".join(part)])
+            counts.append(self.per_part(ids[-1], np.array([len(w.encode()) for w in part])))
+        ids += (found := self.library([" " + words[i] for i in alone]))
+        counts.append(np.array([len(f) for f in found], np.int64))
+        order, base = cut + uncut + alone, len(self.words)
+        self.words = pa.concat_arrays([self.words, pa.array([words[i] for i in order], pa.string())])
+        self.ids, self.counts = np.concatenate(ids), np.concatenate(counts)
+        self.used = np.append(self.used, np.zeros(len(order), np.int64))
+        places = np.empty(len(order), np.int64)
+        places[order] = base + np.arange(len(order))
+        return places
+
+    def forget(self, learned: list[str], blank: set[str]) -> None:
+        """Drops words that are not to be kept, and the older half of a full table."""
+        odd = [*blank, *(w for w in learned if len(w) > LONGEST)]
+        size = len(self.words) * ENTRY + self.words.nbytes + self.ids.nbytes
+        if not odd and len(self.words) <= CACHE and size <= CACHE_BYTES:
+            return
+        keep = pc.invert(pc.is_in(self.words, value_set=pa.array(odd, pa.string()))).to_numpy(zero_copy_only=False)
+        if len(self.words) > CACHE or size > CACHE_BYTES:
+            by_use = np.argsort(-self.used, kind="stable")
+            keep[by_use[min(CACHE, len(self.words)) // 2 :]] = False
+        rows = np.flatnonzero(keep)
+        self.ids, _ = gathered(self.ids, (np.cumsum(self.counts) - self.counts)[rows], self.counts[rows])
+        self.words, self.counts, self.used = self.words.take(pa.array(rows)), self.counts[rows], self.used[rows]
+
+    def coded(self, lists: pa.Array, rows: np.ndarray, found: list, clear: bool) -> np.ndarray:
+        """Puts the ids of texts, given as lists of words, into `found`.
+
+        Returns the rows left out, as they have a blank beside a space (`clear`: none has).
+        """
+        offsets = lists.offsets.to_numpy()
+        values, offsets = lists.flatten(), offsets - offsets[0]
+        firsts = values.take(pa.array(offsets[:-1])).to_pylist()
+        is_later = np.ones(len(values), bool)
+        is_later[offsets[:-1]] = False
+        per_text = np.diff(offsets) - 1
+        ends = np.cumsum(per_text)
+        split = values.filter(pa.array(is_later)).dictionary_encode()
+        codes = split.indices.to_numpy()
+        at = pc.index_in(split.dictionary, value_set=self.words).fill_null(-1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(at < 0)
+        words = split.dictionary.take(pa.array(new)).to_pylist()
+        # No word of the table begins or ends in a blank. The last one of a text may end in one.
+        blank = {w for w in words if not w or w != w.strip()} if words and UNCLEAR.search(f" {' '.join(words)} ") else set()
+        if not clear:
+            odd = np.array([bool(n) and (not f or f[-1].isspace()) for f, n in zip(firsts, per_text, strict=True)], bool)
+            if blank:
+                begins, stops = np.zeros(len(at), bool), np.zeros(len(at), bool)
+                for code, word in zip(new.tolist(), words, strict=True):
+                    if word in blank:
+                        begins[code], stops[code] = not word or word[0].isspace(), True
+                inner = stops[codes]
+                inner[ends[per_text > 0] - 1] = False
+                odd[np.searchsorted(ends, np.flatnonzero(inner | begins[codes]), side="right")] = True
+            if odd.any():
+                self.coded(lists.take(pa.array(np.flatnonzero(~odd))), rows[~odd], found, True)
+                return rows[odd]
+        at[new] = self.learn(words, blank)
+        self.batch += 1
+        self.used[at] = self.batch
+        starts = np.cumsum(self.counts) - self.counts
+        one_by_one = self.library(firsts)
+        first = 0
+        while first < len(rows):
+            begin = ends[first] - per_text[first]
+            last = max(first + 1, int(np.searchsorted(ends, begin + (1 << 17), side="right")))
+            some = at[codes[begin : ends[last - 1]]]
+            ids, cuts = gathered(self.ids, starts[some], self.counts[some])
+            data, cuts = memoryview(ids.tobytes()), np.append(0, 4 * cuts)
+            for i in range(first, last):
+                part = data[cuts[ends[i] - per_text[i] - begin] : cuts[ends[i] - begin]]
+                found[rows[i]] = one_by_one[i].tobytes() + bytes(part)
+            first = last
+        self.forget(words, blank)
+        return rows[:0]
+
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        # Chunks in use move on to the next generation.
-        if len(self.known) > CACHE or self.bytes > CACHE_BYTES:
-            self.known, self.older, self.bytes = {}, self.known, 0
-        chunks: list[list[str] | None] = []
-        for text in texts:
-            if any(s in text for s in self.specials):
-                chunks.append(None)
-            else:
-                first, *later = CUT.split(text) if UNCLEAR.search(text) else text.split(" ")
-                chunks.append([first, *[" " + c for c in later]])
-        known, older, new = self.known, self.older, []
-        missing = {c for some in chunks if some is not None for c in some} - known.keys()
-        for chunk in missing:
-            ids = older.get(chunk)
-            if ids is None:
-                new.append(chunk)
-            else:
-                known[chunk] = ids
-        self.learn(new)
-        found = [
-            self.library([text])[0].tobytes() if some is None else b"".join(map(known.__getitem__, some))
-            for text, some in zip(texts, chunks, strict=True)
-        ]
-        for chunk in missing:
-            if len(chunk) > LONGEST:
-                del known[chunk]
-            else:
-                self.bytes += ENTRY + len(chunk) + len(known[chunk])
+        if isinstance(texts, list):
+            texts = pa.array(texts, pa.string())
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64) // AT_ONCE
+        cuts = [0, *(np.flatnonzero(np.diff(ends)) + 1).tolist(), len(texts)]
+        found: list[bytes] = []
+        for start, end in zip(cuts, cuts[1:]):
+            found += self.encode_slice(texts.slice(start, end - start))
+        return found
+
+    def encode_slice(self, texts: pa.Array) -> list[bytes]:
+        found: list[bytes | None] = [None] * len(texts)
+        special = np.zeros(len(texts), bool)
+        for s in self.specials:
+            special |= pc.match_substring(texts, s).to_numpy(zero_copy_only=False)
+        for i in np.flatnonzero(special).tolist():
+            found[i] = self.library([texts[i].as_py()])[0].tobytes()
+        rows = np.flatnonzero(~special)
+        odd = self.coded(pc.split_pattern(texts.take(pa.array(rows)), " "), rows, found, False)
+        cut = pa.array([CUT.split(texts[i].as_py()) for i in odd.tolist()], pa.list_(pa.string()))
+        self.coded(cut, odd, found, True)
         return found
 
 
@@ -214,14 +359,12 @@ def packed_segments(path: str, end_id: int):
         documents, size = [], 0
         end = struct.pack("<I", end_id)
         for b in incoming:
-            for at in range(0, b.num_rows, 100):
-                ids_of, texts = (c.to_pylist() for c in b.slice(at, 100).columns)
-                for row_id, ids in zip(ids_of, own.encode(texts), strict=True):
-                    documents.append((row_id, ids + end))
-                    size += len(ids) // 4 + 1
-                    if size >= SEGMENT_IDS:
-                        yield batch([(segment(documents, width),)], schema)
-                        documents, size = [], 0
+            for row_id, ids in zip(b.column(0).to_pylist(), own.encode(b.column(1)), strict=True):
+                documents.append((row_id, ids + end))
+                size += len(ids) // 4 + 1
+                if size >= SEGMENT_IDS:
+                    yield batch([(segment(documents, width),)], schema)
+                    documents, size = [], 0
         if documents:
             yield batch([(segment(documents, width),)], schema)
 
@@ -335,7 +478,12 @@ def read_token_files(
     named = files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content")
     schema = "file string, row_id long, before long, n_tokens long, ids_crc32 long, ids binary"
     rows = named.mapInArrow(unpacked(with_ids), schema)
-    starts = file_starts(named.mapInArrow(totals, "file string, ids long"))
+    if with_ids:
+        per_file = checkpointed(named.mapInArrow(totals, "file string, ids long"))
+    else:  # the rows are narrow, so files need not be read again for their totals
+        rows = written(rows, "token-rows")
+        per_file = rows.groupBy("file").agg(F.sum("n_tokens").alias("ids"))
+    starts = file_starts(per_file)
     if len(files.inputFiles()) <= BROADCAST_FILES:
         starts = F.broadcast(starts)
     start = (F.col("file_start") + F.col("before")).alias("start")

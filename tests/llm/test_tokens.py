@@ -140,3 +140,27 @@ def test_digests_of_the_query(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     for r in QUERIES["op4_bpe"](spark, SF).collect():
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+
+
+def test_every_word_is_encoded_once_per_batch(library, monkeypatch):
+    """The library's model sees a piece once, whatever stands around it and however often."""
+    own, seen = token_files.LibraryEncoder(PATH), []
+    by_model = own.by_model
+    monkeypatch.setattr(own, "by_model", lambda pieces: seen.extend(pieces.to_pylist()) or by_model(pieces))
+    texts = ["x zyxwv, zyxwv! qrstu\nzyxwv", "x zyxwv; qrstu", "x qrstu, again"]
+    for _ in range(2):
+        for text, ids in zip(texts, own.encode(texts), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert sorted(seen) == sorted([" zyxwv", ",", "!", " qrstu", "\n", "zyxwv", ";", " again"])
+
+
+def test_blanks_and_settled_characters(library):
+    """Every character up to the bound, and blanks at all places of words that the table may know."""
+    own = token_files.LibraryEncoder(PATH)
+    texts = [f"ab {chr(c)} a{chr(c)}b {chr(c)}1 {chr(c)}" for c in range(0x260)]
+    blanks = ["", " ", "  ", "\n", " \n", "\n ", "\x1c", "\x85 ", "\xa0", "　 ", "\t\t"]
+    texts += [f"{a}ab{b}cd{c}" for a in blanks for b in blanks for c in blanks]
+    for _ in range(2):
+        for text, ids in zip(texts, own.encode(texts), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+    assert not any(w != w.strip() for w in own.known)
