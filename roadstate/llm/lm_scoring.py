@@ -37,6 +37,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -89,12 +90,12 @@ def groups_of(unigram: np.ndarray) -> np.ndarray:
     return found
 
 
-def add_rows(out: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
-    """`np.add.at` by sums of equal places, which is several times as fast."""
-    order = np.argsort(at, kind="stable")
-    places = at[order]
-    first = np.flatnonzero(np.append(True, places[1:] != places[:-1]))
-    out[places[first]] += np.add.reduceat(rows[order], first, axis=0)
+def summed(columns: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """Sums of the columns (one row of `columns` each) by place, of `size` places."""
+    out = np.empty((size, len(columns)), np.float32)
+    for k, column in enumerate(columns):
+        out[:, k] = np.bincount(at, column, size)
+    return out
 
 
 @dataclass
@@ -137,19 +138,26 @@ class LogBilinear:
         padded = np.concatenate([np.full(CONTEXT, start, symbols.dtype), symbols])
         return np.lib.stride_tricks.sliding_window_view(padded, CONTEXT)[: len(symbols)]
 
-    def contrast(self, h: np.ndarray, targets: np.ndarray, drawn: np.ndarray, table: str, bias: str, odds: np.ndarray):
+    def contrast(self, h: np.ndarray, targets: np.ndarray, drawn: np.ndarray, table: str, bias: str, odds: np.ndarray, columns: np.ndarray):
         """Gradients of one output table and of h: targets against `drawn` noise."""
         out, b = getattr(self, table), getattr(self, bias)
-        right = (h * out[targets]).sum(1) + b[targets] - odds[targets]
-        wrong = h @ out[drawn].T + b[drawn] - odds[drawn]
+        own, noise = out.take(targets, axis=0), out[drawn]
+        right = np.einsum("ij,ij->i", h, own) + (b - odds)[targets]
         up = 1 - 1 / (1 + np.exp(-right.clip(-30, 30)))
-        down = 1 / (1 + np.exp(-wrong.clip(-30, 30)))
-        of_out, of_bias = np.zeros_like(out), np.zeros_like(b)
-        add_rows(of_out, targets, up[:, None] * h)
-        of_bias += np.bincount(targets, up, len(b)).astype(np.float32)
+        # The logistic function of the noise's scores, in place from their negatives.
+        down = h @ -noise.T
+        down += (odds - b)[drawn]
+        np.clip(down, -30, 30, out=down)
+        np.exp(down, out=down)
+        down += 1
+        np.reciprocal(down, out=down)
+        columns = columns[:, : len(h)]
+        np.multiply(h.T, up, out=columns)
+        of_out = summed(columns, targets, len(out))
+        of_bias = np.bincount(targets, up, len(b)).astype(np.float32)
         np.subtract.at(of_out, drawn, down.T @ h)
         np.subtract.at(of_bias, drawn, down.sum(0))
-        return {table: of_out, bias: of_bias}, up[:, None] * out[targets] - down @ out[drawn]
+        return {table: of_out, bias: of_bias}, up[:, None] * own - down @ noise
 
     def train(self, contexts: np.ndarray, targets: np.ndarray, epochs: int = 2, noise: int = 64, rate: float = 0.08) -> None:
         """Noise-contrastive estimation with AdaGrad steps."""
@@ -158,25 +166,28 @@ class LogBilinear:
         group_odds = np.log(noise * self.mass).astype(np.float32)
         # Noise by binary search in the running sum: a draw costs the logarithm of the vocabulary.
         running, group_running = np.cumsum(self.unigram), np.cumsum(self.mass)
+        contexts, targets = contexts.astype(np.intp), targets.astype(np.intp)
         step = 2048
+        columns = np.empty((self.source.shape[1], CONTEXT * step))  # used again by every step
         for _ in range(epochs):
             order = rng.permutation(len(targets))
             for at in range(0, len(order), step):
                 rows = order[at : at + step]
-                ctx, t = contexts[rows], targets[rows]
+                ctx, t = contexts.take(rows, axis=0), targets[rows]
                 n = len(rows)
                 drawn = np.minimum(np.searchsorted(running, rng.random(noise)), len(running) - 1)
                 drawn_groups = np.minimum(np.searchsorted(group_running, rng.random(noise)), len(group_running) - 1)
-                inputs = [self.source[ctx[:, j]] for j in range(CONTEXT)]
-                h = sum(x @ c for x, c in zip(inputs, self.position, strict=True))
-                grads, gh = self.contrast(h, t, drawn, "target", "bias", odds)
-                more, of_groups = self.contrast(h, self.group[t], drawn_groups, "group_target", "group_bias", group_odds)
+                inputs = self.source.take(ctx, axis=0).reshape(n, -1)
+                h = inputs @ self.position.reshape(-1, self.position.shape[2])
+                grads, gh = self.contrast(h, t, drawn, "target", "bias", odds, columns)
+                more, of_groups = self.contrast(h, self.group[t], drawn_groups, "group_target", "group_bias", group_odds, columns)
                 grads |= more
                 gh = gh + of_groups
-                grads["position"] = np.stack([x.T @ gh for x in inputs])
-                gs = np.zeros_like(self.source)
-                add_rows(gs, ctx.T.reshape(-1), np.concatenate([gh @ c.T for c in self.position]))
-                grads["source"] = gs
+                grads["position"] = (inputs.T @ gh).reshape(self.position.shape)
+                # One row per dimension: that of every context symbol, position by position.
+                by_dim = self.position.transpose(1, 0, 2).reshape(-1, gh.shape[1]) @ gh.T
+                columns[:, : CONTEXT * n] = by_dim.reshape(gh.shape[1], -1)
+                grads["source"] = summed(columns[:, : CONTEXT * n], ctx.T.reshape(-1), len(self.source))
                 self.steps += 1
                 for name, g in grads.items():
                     g /= n
@@ -211,37 +222,46 @@ def chosen_log(scores: np.ndarray, at: np.ndarray) -> np.ndarray:
     np.clip(scores, -60, 60, out=scores)
     chosen = scores[np.arange(len(at)), at].astype(np.float64)
     np.exp(scores, out=scores)
-    return chosen - np.log(scores.sum(axis=1, dtype=np.float64))
+    return chosen - np.log((scores @ np.ones(scores.shape[1], np.float32)).astype(np.float64))
 
 
 def log_probabilities(projected: np.ndarray, output: Outputs, contexts: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Normalised natural log-probabilities of the targets.
 
-    Targets are taken in the order of their groups: a matrix product for the groups per
-    4096 of them, and one for the symbols of each group that is among these.
+    Targets are taken in the order of their groups, 65,536 at a time: a matrix product for
+    the groups per 4096 of them, and one for the symbols of each group that is among these.
     """
     out = np.empty(len(targets), np.float64)
-    dim = projected.shape[2]
+    for at in range(0, len(targets), 1 << 16):
+        some = slice(at, at + (1 << 16))
+        out[some] = log_slice(projected, output, contexts[some], targets[some])
+    return out
+
+
+def log_slice(projected: np.ndarray, output: Outputs, contexts: np.ndarray, targets: np.ndarray) -> np.ndarray:
     group = output.group[targets]
     order = np.argsort(group, kind="stable")
-    h = np.ones((4096, dim + 1), np.float32)
+    dim, own = projected.shape[2], group[order]
+    h = np.ones((len(order), dim + 1), np.float32)
+    logp = np.empty(len(order), np.float64)
     for at in range(0, len(order), 4096):
-        rows = order[at : at + 4096]
-        ctx, n = contexts[rows], len(rows)
-        h[:n, :dim] = projected[0][ctx[:, 0]]
+        ctx, part = contexts[order[at : at + 4096]], h[at : at + 4096]
+        part[:, :dim] = projected[0][ctx[:, 0]]
         for j in range(1, CONTEXT):
-            h[:n, :dim] += projected[j][ctx[:, j]]
-        own = group[rows]
-        logp = chosen_log(h[:n] @ output.groups.T, own)
-        ends = np.flatnonzero(np.append(own[1:] != own[:-1], True)) + 1
-        start = 0
-        for end in ends.tolist():
-            g = own[start]
-            first, last = output.starts[g], output.starts[g + 1]
-            inside = output.place[targets[rows[start:end]]] - first
-            logp[start:end] += chosen_log(h[start:end] @ output.symbols[first:last].T, inside)
-            start = end
-        out[rows] = logp
+            part[:, :dim] += projected[j][ctx[:, j]]
+        logp[at : at + 4096] = chosen_log(part @ output.groups.T, own[at : at + 4096])
+    places = output.place[targets[order]]
+    ends = np.flatnonzero(np.append(own[1:] != own[:-1], len(own) > 0)) + 1
+    start = 0
+    for end in ends.tolist():
+        first, last = output.starts[own[start]], output.starts[own[start] + 1]
+        symbols = output.symbols[first:last].T
+        for at in range(start, end, 4096):
+            some = slice(at, min(at + 4096, end))
+            logp[some] += chosen_log(h[some] @ symbols, places[some] - first)
+        start = end
+    out = np.empty(len(order), np.float64)
+    out[order] = logp
     return out
 
 
@@ -296,10 +316,10 @@ def frequent(counts: DataFrame, limit: int) -> list[tuple[bytes, int]]:
 
 def symbols_of(words: list[bytes], rank: dict[bytes, int], symbol: np.ndarray, n_words: int, classes: int) -> tuple[np.ndarray, np.ndarray]:
     """Rank (-1: not in the table) and symbol of each word."""
-    found = np.fromiter((rank.get(w, -1) for w in words), np.int32, len(words))
+    found = np.fromiter(map(rank.get, words, repeat(-1)), np.int32, len(words))
     syms = symbol[found] if len(symbol) else np.zeros(len(words), np.int32)
-    for i in np.flatnonzero(found < 0):
-        syms[i] = n_words + suffix_class(words[i], classes)
+    rare = np.flatnonzero(found < 0)
+    syms[rare] = [n_words + suffix_class(words[i], classes) for i in rare.tolist()]
     return found, syms
 
 
@@ -404,12 +424,17 @@ def score_texts(model, classes: int, per_batch: int = 1 << 16):
         m: Model = model.value
         start = len(m.output)
 
-        def scored(ids: list, texts: list[list[bytes]]) -> list[tuple]:
+        def scored(ids: list, texts: list[list[bytes]]) -> pa.RecordBatch:
             words = [w for t in texts for w in t]
             found, syms = symbols_of(words, m.rank, m.symbol, m.n_words, classes)
-            ends = np.cumsum([len(t) for t in texts])
-            begins = np.concatenate([[0], ends[:-1]])
-            contexts = np.concatenate([LogBilinear.contexts(syms[a:b], start) for a, b in zip(begins, ends, strict=True)])
+            lengths = np.array([len(t) for t in texts])
+            ends = np.cumsum(lengths)
+            begins = ends - lengths
+            # All texts in one array, with the start of a text before each.
+            place = np.arange(len(syms)) + CONTEXT * np.repeat(np.arange(1, len(texts) + 1), lengths)
+            padded = np.full(len(syms) + CONTEXT * len(texts), start, np.intp)
+            padded[place] = syms
+            contexts = padded[place[:, None] + np.arange(-CONTEXT, 0)]
             logp = log_probabilities(m.projected, m.output, contexts, syms) / np.log(10)
             rare = found < 0
             known = ~rare
@@ -417,28 +442,29 @@ def score_texts(model, classes: int, per_batch: int = 1 << 16):
             logp[known] += m.share[found[known]]
             logp[rare] -= m.mass[syms[rare] - m.n_words]
             sums = [np.add.reduceat(v, begins) for v in (known.astype(np.int64), base, logp)]
-            out = []
-            for i, (row_id, a, b) in enumerate(zip(ids, begins, ends, strict=True)):
-                some = Counter(words[a + j] for j in np.flatnonzero(rare[a:b]))
-                out.append(
-                    (row_id, int(b - a), int(sums[0][i]), float(sums[1][i]), float(sums[2][i]),
-                     [{"word": w, "n": n} for w, n in some.items()])
-                )
-            return out
-
-        def rows() -> Iterator[tuple]:
-            ids, texts, size = [], [], 0
-            for row_id, text in tuples(incoming):
-                ids.append(row_id)
-                texts.append(tokens(text))
-                size += len(texts[-1])
-                if size >= per_batch:
-                    yield from scored(ids, texts)
-                    ids, texts, size = [], [], 0
-            if ids:
-                yield from scored(ids, texts)
-
-        return batches(rows(), ARROW_SCORED, 512)
+            at = np.flatnonzero(rare)
+            rare_words = [words[i] for i in at.tolist()]
+            some, times, offsets = [], [], [0]
+            for a, b in zip(np.searchsorted(at, begins).tolist(), np.searchsorted(at, ends).tolist(), strict=True):
+                counted = Counter(rare_words[a:b])
+                some += counted.keys()
+                times += counted.values()
+                offsets.append(len(some))
+            pairs = pa.StructArray.from_arrays([pa.array(some, pa.binary()), pa.array(times, pa.int64())], ["word", "n"])
+            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pairs)
+            columns = [pa.array(ids, pa.int64()), *map(pa.array, (lengths, *sums)), lists]
+            return pa.record_batch(columns, schema=ARROW_SCORED)
+
+        ids, texts, size = [], [], 0
+        for row_id, text in tuples(incoming):
+            ids.append(row_id)
+            texts.append(tokens(text))
+            size += len(texts[-1])
+            if size >= per_batch:
+                yield scored(ids, texts)
+                ids, texts, size = [], [], 0
+        if ids:
+            yield scored(ids, texts)
 
     return run
 

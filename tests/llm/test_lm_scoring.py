@@ -161,3 +161,25 @@ def test_network_learns_from_every_training_token(docs_of, monkeypatch):
     docs = docs_of([(i, f"word{i} " * (i % 90)) for i in range(300)])
     learned = lm.learn(docs, words=4, classes=8, least_tokens=0)
     assert sum(len(r["symbols"]) // 4 - lm.CONTEXT for r in seen[0]) == learned.n_train
+
+
+def test_steps_equal_plain_gradients():
+    """A step's sums by symbol are those of `np.add.at`, and rows of no gradient stay."""
+    rng = np.random.default_rng(5)
+    columns, at = rng.normal(size=(6, 500)), rng.integers(0, 40, 500)
+    want = np.zeros((50, 6))
+    np.add.at(want, at, columns.T)
+    assert lm.summed(columns, at, 50) == pytest.approx(want, abs=1e-5)
+    assert (lm.summed(columns, at, 50)[40:] == 0).all()
+
+
+def test_probabilities_of_many_tokens_equal_those_of_few():
+    """Slices and groups of any length: more tokens than are taken at once."""
+    rng = np.random.default_rng(6)
+    net = lm.LogBilinear(rng.random(60) ** 3 + 1e-6, dim=4)
+    n = (1 << 16) + 5000
+    contexts, targets = rng.integers(0, 61, (n, lm.CONTEXT)), rng.integers(0, 60, n)
+    whole = lm.log_probabilities(*net.freeze(), contexts, targets)
+    few = [lm.log_probabilities(*net.freeze(), contexts[a : a + 999], targets[a : a + 999]) for a in range(0, n, 999)]
+    assert whole == pytest.approx(np.concatenate(few), abs=1e-5)
+    assert len(lm.log_probabilities(*net.freeze(), contexts[:0], targets[:0])) == 0
