@@ -39,14 +39,17 @@ def fold_of(row_id: object, modulus: int) -> int:
     return zlib.crc32(b"" if row_id is None else str(row_id).encode()) % modulus
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """The rows, written once below the shared folder and read from there.
 
+    With `by` there is a folder per value of that column, and readers of one value read
+    no other.
+
     Cuts the lineage: tasks run again after a lost executor read the files, and
     ids that are unique but not reproducible keep the value they were written with.
     """
     path = work_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=by)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -67,13 +67,20 @@ def count_words(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(word, n) of a task, flushed when the table grows."""
     schema = pa.schema([("word", pa.binary()), ("n", pa.int64())])
     counts: Counter[bytes] = Counter()
+
+    def flushed() -> Iterator[pa.RecordBatch]:
+        words, n = list(counts), np.fromiter(counts.values(), np.int64, len(counts))
+        for at in range(0, len(words), 50_000):
+            some = slice(at, at + 50_000)
+            yield pa.record_batch([pa.array(words[some], pa.binary()), pa.array(n[some])], schema=schema)
+
     for b in incoming:
         for text in b.column(0):
             counts.update(tokens(text.as_py()))
             if len(counts) > 400_000:
-                yield from batches(counts.items(), schema, 50_000)
-                counts = Counter()
-    yield from batches(counts.items(), schema, 50_000)
+                yield from flushed()
+                counts.clear()
+    yield from flushed()
 
 
 def groups_of(unigram: np.ndarray) -> np.ndarray:
@@ -350,26 +357,29 @@ def training_blocks(model, share: float, classes: int, rounds: int, block: int =
 SLICE, TRAIN_TOKENS = 64, 1 << 18
 
 
+def cut(blocks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Contexts and targets of all blocks."""
+    symbols = np.frombuffer(b"".join(blocks), "<i4")
+    length = np.fromiter(map(len, blocks), np.intp, len(blocks)) // 4 - CONTEXT
+    at = np.arange(length.sum()) + CONTEXT * np.repeat(np.arange(1, len(blocks) + 1), length)
+    return symbols[at[:, None] + np.arange(-CONTEXT, 0)], symbols[at]
+
+
 def trained(net):
     """What a task's blocks teach: slices of the learned vector, with its tokens as weight."""
 
     def run(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own: LogBilinear = pickle.loads(pickle.dumps(net.value))  # the shared start stays as it is
-        views, held, total = [], 0, 0
-
-        def learn() -> None:
-            contexts = np.concatenate([np.lib.stride_tricks.sliding_window_view(v, CONTEXT)[:-1] for v in views])
-            own.train(contexts, np.concatenate([v[CONTEXT:] for v in views]), epochs=1)
-
+        blocks, held, total = [], 0, 0
         for b in incoming:
             for symbols in b.column(0).to_pylist():
-                views.append(np.frombuffer(symbols, "<i4"))
-                held += len(views[-1]) - CONTEXT
+                blocks.append(symbols)
+                held += len(symbols) // 4 - CONTEXT
                 if held >= TRAIN_TOKENS:
-                    learn()
-                    views, held, total = [], 0, total + held
-        if views:
-            learn()
+                    own.train(*cut(blocks), epochs=1)
+                    blocks, held, total = [], 0, total + held
+        if blocks:
+            own.train(*cut(blocks), epochs=1)
             total += held
         if total:
             state = own.state()
@@ -526,6 +536,7 @@ def learn(
             .select(text.alias("text"))
             .mapInArrow(training_blocks(first, part / rows_part, classes, rounds), "round int, symbols binary"),
             "training-blocks",
+            by="round",
         )
         learn_rounds(net, blocks, rounds)
         model = Model(rank, logs, symbol, portion, smoothed, n_words, *net.freeze())

@@ -2,8 +2,10 @@ import math
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF
+from pyspark.sql import functions as F
 
 from roadstate.llm import lm_scoring as lm
 from roadstate.llm.common import fold_of
@@ -183,3 +185,28 @@ def test_probabilities_of_many_tokens_equal_those_of_few():
     few = [lm.log_probabilities(*net.freeze(), contexts[a : a + 999], targets[a : a + 999]) for a in range(0, n, 999)]
     assert whole == pytest.approx(np.concatenate(few), abs=1e-5)
     assert len(lm.log_probabilities(*net.freeze(), contexts[:0], targets[:0])) == 0
+
+
+def test_blocks_are_cut_at_once():
+    """Blocks of any length give the contexts and targets of one text after the other."""
+    rng = np.random.default_rng(8)
+    texts = [rng.integers(0, 9, n).astype("<i4") for n in (64, 1, 7, 64, 30)]
+    blocks = [np.concatenate([np.full(lm.CONTEXT, 9), t]).astype("<i4").tobytes() for t in texts]
+    contexts, targets = lm.cut(blocks)
+    assert (targets == np.concatenate(texts)).all()
+    assert (contexts == np.concatenate([lm.LogBilinear.contexts(t, 9) for t in texts])).all()
+
+
+def test_a_round_reads_its_own_blocks_only(docs_of, monkeypatch):
+    seen = []
+    monkeypatch.setattr(lm, "learn_rounds", lambda net, blocks, rounds: seen.append(blocks))
+    lm.learn(docs_of([(i, f"word{i} " * (i % 90)) for i in range(300)]), words=4, classes=8, rounds=3)
+    rows = seen[0].select("round", F.input_file_name().alias("file")).distinct().collect()
+    assert len(rows) == len({r["file"] for r in rows}) and {r["round"] for r in rows} == {0, 1, 2}
+
+
+def test_counts_of_a_task_are_flushed_whole():
+    words = [b"w%d" % (i % 70_000) for i in range(90_000)]
+    found = [b for b in lm.count_words(iter([pa.record_batch([pa.array([b" ".join(words)])], ["text"])]))]
+    got = {w: n for b in found for w, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)}
+    assert got == Counter(words) + Counter([lm.END]) and max(b.num_rows for b in found) <= 50_000
