@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import zlib
 from collections.abc import Callable, Iterable, Iterator
@@ -119,11 +120,25 @@ def held(name: str, make: Callable, *args):
     return _HELD[key]
 
 
+def give_back() -> None:
+    """Return freed memory to the system.
+
+    Without it a process that ran several operators keeps the largest heap that any of
+    them needed, beside what the next one takes.
+    """
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library than glibc
+        pass
+
+
 def release() -> None:
     """Let go of what the worker process holds."""
     if _HELD:
         _HELD.clear()
-        gc.collect()
+        give_back()
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadstate.llm.common import batches, fold, release, text_or_empty, tuples, written
+from roadstate.llm.common import batches, fold, give_back, release, text_or_empty, tuples, written
 
 WINDOW, STRIDE = 48, 24
 GRAMS = (3, 5)  # bytes
@@ -348,8 +348,11 @@ class Scorer:
             x = np.concatenate([values, p["embed"][hashes]], axis=1)
             start, end = len(index), len(index) + len(new)
             for d, (w, b) in enumerate((("wf", "bf"), ("wb", "bb"))):
-                while end > len(self.tables[d]):
-                    self.tables[d] = np.concatenate([self.tables[d], np.zeros_like(self.tables[d])])
+                if end > len(self.tables[d]):
+                    # Rows beyond `end` are not written, so they take no memory yet.
+                    grown = np.zeros((max(end, 2 * len(self.tables[d])), 3 * HIDDEN), np.float32)
+                    grown[:start] = self.tables[d][:start]
+                    self.tables[d] = grown
                 self.tables[d][start:end] = x @ p[w] + p[b]
             index.update(zip(new, range(start, end), strict=True))
         return np.fromiter(map(index.__getitem__, tokens), np.int32, len(tokens))
@@ -511,6 +514,7 @@ def toxicity(
     """
     own = docs.select(F.col(id_col).cast("long").alias("row_id"), F.col(text_col).alias("text"))
     net = train(own, labels, sample_docs, features, modulus, held, "row_id", "text")
+    give_back()  # windows and gradients of the fit
     sent = docs.sparkSession.sparkContext.broadcast(net)
 
     def run(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -526,6 +530,8 @@ def toxicity(
                 scores = scorer.scores(part.column(1).to_pylist())
                 yield pa.record_batch([part.column(0), pa.array(scores, pa.float64())], ["row_id", "score"])
                 at = end
+        del scorer
+        give_back()  # the worker's next task may be another operator's
 
     text = text_or_empty("text").cast("binary")
     scored = own.select("row_id", text.alias("text"), F.octet_length(text).cast("long").alias("size")).mapInArrow(
