@@ -31,13 +31,15 @@ class Scaling:
     empty: tuple[str, ...] = ()
 
 
-def learn_scaling(df: DataFrame, features: Sequence[str] = tuple(MODEL_FEATURES)) -> Scaling:
+def learn_scaling(
+    df: DataFrame, features: Sequence[str] = tuple(MODEL_FEATURES), stored: bool = False
+) -> Scaling:
     """Median fill, then mean and population deviation of the filled values.
 
     A feature without any value is filled with 0 and listed in ``empty``; a
-    feature without variance is scaled by 1.
+    feature without variance is scaled by 1. ``stored``: see ``exact_medians``.
     """
-    medians = exact_medians(df, features)
+    medians = exact_medians(df, features, stored=stored)
     fill = {f: 0.0 if medians[f] is None else medians[f] for f in features}
     filled = {f: F.coalesce(F.col(f).cast("double"), F.lit(fill[f])) for f in features}
     stats = df.agg(
@@ -194,22 +196,21 @@ def fit_states(
     restarts: int = RESTARTS,
     horizon: str = f"{HORIZON_MINUTES} minutes",
     min_rows: int | None = None,
+    stored: bool = False,
 ) -> tuple[StateModel, DataFrame]:
     """Fit the clusters; returns the model and the training rows with ``cluster``.
 
     The best of ``restarts`` seeds by training cost is kept; all share the passes over
     the rows. Raises when there are fewer rows than clusters or no pair of states at the
-    horizon.
+    horizon. ``stored`` says that ``training`` is read from a table.
     """
     rows = require_rows(training, max(k, min_rows or k), "training rows")
-    scaling = learn_scaling(training, features)
+    scaling = learn_scaling(training, features, stored)
     z = scaled(training, scaling)
     points = training.select(F.array(*z.values()).alias("point"))
-    # The upstream plan may end in few partitions; the iterations want all slots.
-    slots = training.sparkSession.sparkContext.defaultParallelism
-    if points.rdd.getNumPartitions() < slots:
-        points = points.repartition(slots)
-    blocks = kmeans.packed(points)
+    # The upstream plan may end in few partitions, or in large ones.
+    largest = points.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    blocks = kmeans.packed(kmeans.spread(points, len(z), rows, largest))
     try:
         best = kmeans.fit(blocks, len(z), k, [seed + i for i in range(restarts)])
         metrics = {"inertia": best.cost}

@@ -5,6 +5,10 @@ as packed blocks, a matrix product gives the distances to the centres of every r
 and a grouped sum adds up what the tasks have found. The number of passes is that of one
 fit, and what leaves a task is a row per centre, whatever the number of rows.
 
+What a task holds at once is bounded, too. Spark keeps blocks through a Java stream that
+holds up to 100 of its batches (some 4 MB each), so ``spread`` bounds the rows of a
+partition; and an Arrow batch has up to 10,000 blocks, so a block is small.
+
 Seeding is k-means++ over all rows: the next centre of a restart is a row drawn with its
 squared distance from the centres so far as weight. The least of exponential draws divided
 by the weights is such a row, so tasks draw on their own and the smallest draw wins.
@@ -24,6 +28,8 @@ from pyspark.sql import DataFrame, functions as F
 MAX_ITERATIONS, TOLERANCE = 20, 1e-4
 #: Rows whose distances to all centres a task holds at once.
 AT_ONCE = 4096
+#: Bytes of a block, if it has more than one row, and of the rows of a partition.
+BLOCK_BYTES, PARTITION_BYTES = 1 << 10, 1 << 26
 
 
 @dataclass(frozen=True)
@@ -35,6 +41,19 @@ class Fit:
     sizes: list[int]
 
 
+def spread(points: DataFrame, width: int, rows: int, largest: int) -> DataFrame:
+    """``rows`` points over all slots, none of them with more than PARTITION_BYTES.
+
+    ``largest`` is the number of rows of the largest partition so far. Splits of one file
+    can leave all rows to one of them, so the number of partitions does not tell.
+    """
+    slots = points.sparkSession.sparkContext.defaultParallelism
+    most = max(1, PARTITION_BYTES // (8 * width))
+    if largest <= most and points.rdd.getNumPartitions() >= slots:
+        return points
+    return points.repartition(max(slots, -(-rows // most)))
+
+
 def packed(points: DataFrame) -> DataFrame:
     """Arrays of doubles as blocks of rows, which the passes read without looking at rows."""
 
@@ -44,15 +63,23 @@ def packed(points: DataFrame) -> DataFrame:
                 values = b.column(0).flatten().to_numpy(zero_copy_only=False)
                 if np.isnan(values).any():
                     raise ValueError("a feature is not a number")
-                yield pa.record_batch([pa.array([values.tobytes()], pa.binary())], ["block"])
+                row = values.nbytes // b.num_rows
+                step = max(1, BLOCK_BYTES // row) * row
+                ends = np.minimum(np.arange(0, values.nbytes + step, step), values.nbytes).astype(np.int32)
+                buffers = [None, pa.py_buffer(ends), pa.py_buffer(values)]
+                yield pa.record_batch([pa.Array.from_buffers(pa.binary(), len(ends) - 1, buffers)], ["block"])
 
     return points.mapInArrow(run, "block binary").persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def _parts(incoming: Iterator[pa.RecordBatch], width: int) -> Iterator[np.ndarray]:
     for b in incoming:
-        for block in b.column(0):
-            rows = np.frombuffer(block.as_buffer(), float).reshape(-1, width)
+        blocks = b.column(0).cast(pa.binary())
+        if len(blocks):
+            # The bytes of all blocks of a batch stand in a row.
+            _, ends, values = blocks.buffers()
+            ends = np.frombuffer(ends, np.int32)[blocks.offset : blocks.offset + len(blocks) + 1]
+            rows = np.frombuffer(values, float, (ends[-1] - ends[0]) // 8, ends[0]).reshape(-1, width)
             for at in range(0, len(rows), AT_ONCE):
                 yield rows[at : at + AT_ONCE]
 

@@ -83,17 +83,23 @@ class _Range:
         return parts
 
 
-def exact_medians(df: DataFrame, columns: Sequence[str], buckets: int = BUCKETS) -> dict[str, float | None]:
+def exact_medians(
+    df: DataFrame, columns: Sequence[str], buckets: int = BUCKETS, stored: bool = False
+) -> dict[str, float | None]:
     """Median of each numeric column (mean of the two middle values).
 
-    Null and NaN are missing; a column without values gives None.
+    Null and NaN are missing; a column without values gives None. Rows of a ``stored``
+    table are read by every pass, of others the wanted columns are kept.
     """
     def number(c: str) -> Column:
         value = F.col(c).cast("double")
         return F.when(~F.isnan(value), value + F.lit(0.0)).alias(c)
 
+    data = df.select(*map(number, columns))
+    if stored:
+        return _medians(data, columns, buckets)
     # Every pass reads the same narrow rows; what they come from is computed once.
-    data = df.select(*map(number, columns)).persist()
+    data.persist()
     try:
         return _medians(data, columns, buckets)
     finally:

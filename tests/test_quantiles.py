@@ -59,3 +59,14 @@ def test_passes_and_entries_are_bounded(spark, monkeypatch):
     monkeypatch.setattr(kind, "collect", lambda self: collected.append(collect(self)) or collected[-1])
     assert exact_medians(df, ["v"], buckets=16)["v"] == statistics.median(r[0] for r in rows)
     assert len(collected) <= 2 + 64 // 4 and max(map(len, collected)) <= 2 * 16
+
+
+def test_rows_of_a_stored_table_are_not_kept(spark, tmp_path, monkeypatch):
+    at = str(tmp_path / "table")
+    spark.range(4001).selectExpr("CAST(id % 97 AS DOUBLE) AS a", "IF(id % 3 = 0, NULL, id * 0.5D) AS b").write.parquet(at)
+    table = spark.read.parquet(at)
+    kept = []
+    monkeypatch.setattr(type(table), "persist", lambda self, *level: kept.append(self) or self)
+    found = exact_medians(table, ["a", "b"], stored=True)
+    assert not kept
+    assert found == exact_medians(table, ["a", "b"]) and len(kept) == 1
